@@ -1,0 +1,21 @@
+"""Broadcast hints that are given only after the size was looked at."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 100_000
+MAX_BYTES = 16 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it is within both bounds, else as it is.
+
+    Reads at most ``max_rows + 1`` rows to find out. Without the hint the join is planned, and at
+    run time re-planned, by the sizes Spark sees.
+    """
+    head = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes"))
+    size = head.agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    small = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
