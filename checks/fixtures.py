@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,35 +40,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as posts; each line gives an attribute path, and maybe a category and a brand."""
+    """Orders as posts; each line gives an attribute path, and maybe a category and a brand.
+
+    An order can repeat a path; nothing downstream depends on rows being distinct.
+    """
     first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    # Strings are put together once for each part, not for each line.
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.lit("场景."), "p_type").alias("scene"),
+        F.concat_ws(".", F.lit("场景"), "p_type", first).alias("sub_scene"),
+        F.concat(F.lit("TP."), second).alias("touch"),
+        F.concat_ws(".", F.lit("TP"), second, first).alias("sub_touch"),
+        F.concat_ws(".", F.lit("TP"), second, first, F.lit("deep")).alias("deep"),
+        (F.col("p_size") % 10).cast("string").alias("category"),
+        F.concat_ws("_", (F.col("p_size") % 10).cast("string"), F.substring("p_brand", 7, 100)).alias("code"),
+    )
     line = F.col("l_linenumber")
     attr = (
-        F.when(line == 1, F.concat(F.lit("场景."), "p_type"))
-        .when(line == 2, F.concat_ws(".", F.lit("场景"), "p_type", first))
-        .when(line == 3, F.concat(F.lit("TP."), second))
-        .when(line == 4, F.concat_ws(".", F.lit("TP"), second, first))
+        F.when(line == 1, F.col("scene"))
+        .when(line == 2, F.col("sub_scene"))
+        .when(line == 3, F.col("touch"))
+        .when(line == 4, F.col("sub_touch"))
         .when(line == 5, "TP内圈.A.场景A")
         .when(line == 6, "TP内圈.B.场景B")
-        .otherwise(F.concat_ws(".", F.lit("TP"), second, first, F.lit("deep")))
+        .otherwise(F.col("deep"))
+    )
+    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    paths = lines.select("l_orderkey", attr.alias("attr"))
+    # Distinct first: an order has no more of these rows than parts have categories and brands.
+    facts = lines.select(
+        "l_orderkey",
+        F.when(F.col("l_returnflag") != "N", F.col("category")).alias("category"),
+        F.when(F.col("l_linestatus") == "O", F.col("code")).alias("code"),
+    ).distinct()
+    lists = facts.groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_set("category")).alias("categories"),
+        F.sort_array(F.collect_set("code")).alias("codes"),
     )
-    category = (F.col("p_size") % 10).cast("string")
-    brand = F.concat_ws("_", category, F.substring("p_brand", 7, 100))
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    # The sets are drawn from the paths, categories and brands of parts: bounded for any order.
-    posts = lines.groupBy("l_orderkey").agg(
-        F.collect_set(attr).alias("attrs"),
-        F.sort_array(F.collect_set(F.when(F.col("l_returnflag") != "N", category))).alias("categories"),
-        F.sort_array(F.collect_set(F.when(F.col("l_linestatus") == "O", brand))).alias("codes"),
+    # A left join by the keys of a group: dropped by the optimizer where no list is asked for.
+    posts = paths.join(lists, "l_orderkey", "left").join(
+        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    known = posts.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return known.select(
+    return posts.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.substring("o_orderpriority", 1, 1).alias("platform_id"),
         F.when(F.size("categories") > 0, F.col("categories")).alias("categoryids"),
         F.when(F.size("codes") > 0, F.col("codes")).alias("brands"),
-        F.explode("attrs").alias("attr"),
+        "attr",
     )
 
 
@@ -90,7 +111,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def special_people(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SPECIAL_PEOPLE, "id bigint, value string, state int")
+    return _literal_table(spark, SPECIAL_PEOPLE, "id bigint, value string, state int")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,4 +123,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_rules(spark: SparkSession) -> DataFrame:
     row = (FX1.name, json.dumps(TAGS), json.dumps(DIMENSIONS), json.dumps(OBJECTS))
     other = ("fx2", json.dumps({"only": "the"}), None, None)
-    return spark.createDataFrame([row, other], "name string, tags string, dimensions string, objects string")
+    return _literal_table(spark, [row, other], "name string, tags string, dimensions string, objects string")
+
+
+def _literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    columns = list(zip(*rows))
+    return spark.createDataFrame(pa.table(dict(zip([f.split()[0] for f in schema.split(", ")], columns))), schema)

@@ -14,7 +14,9 @@ def segments(path: Column | str) -> Column:
 
 
 def n_segments(path: Column | str) -> Column:
-    return F.size(segments(path))
+    """Number of parts of a dotted path, from its length with and without dots: no array is built."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.octet_length(path) - F.octet_length(F.replace(path, F.lit("."), F.lit(""))) + 1
 
 
 def segment(path: Column | str, index: int) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import brand_of, category_of, segment
@@ -25,6 +25,10 @@ RUN = "data_model"
 POST = ["platform_id", "id"]
 
 
+def _angled() -> Column:
+    return F.col("people_type").isNotNull() & F.col("people_angle").isNotNull()
+
+
 def has_one_author(post_attr: DataFrame) -> bool:
     """Whether every post, i.e. every ``platform_id, id``, is by one ``user_id``. Reads the whole table."""
     ids = post_attr.filter(F.col("id").isNotNull() & F.col("platform_id").isNotNull())
@@ -83,10 +87,10 @@ class TouchPointMetrics:
 
     # ---- from rows of posts to users of angles -------------------------------------------------
 
-    def _users(self, facts: DataFrame) -> DataFrame:
-        """Distinct facts of users: post and person columns become angle and user."""
+    def _of_users(self, facts: DataFrame) -> DataFrame:
+        """Distinct facts of persons, as facts of the users of each angle. May repeat a user."""
         facts = facts.distinct()
-        return self._to_angles(facts).distinct() if self.late_angles else facts
+        return self._to_angles(facts) if self.late_angles else facts
 
     def _to_angles(self, facts: DataFrame) -> DataFrame:
         """Facts of a person, keyed by PERSON, for each angle of that person."""
@@ -108,26 +112,23 @@ class TouchPointMetrics:
         return reach.withColumn("category", F.col("category").try_cast("int"))
 
     def _scene_reach(self, category: list[str]) -> DataFrame:
-        keys = [RUN, *ANGLE, *category, "scene"]
         flags = ["counted", "has_tp", "in_a", "in_b", "of_scene"]
         facts = self._reach_facts(category)
-        per_user = facts.groupBy(*[c for c in facts.columns if c not in flags]).agg(*_any(flags))
+        facts = facts.groupBy(*[c for c in facts.columns if c not in flags]).agg(*_any(flags))
         if self.late_angles:
-            per_user = self._to_angles(per_user)
             # A match across a missing type or angle does not count, as no two nulls are equal.
-            angled = F.col("people_type").isNotNull() & F.col("people_angle").isNotNull()
-            per_user = per_user.withColumns({c: F.col(c) & angled for c in ("has_tp", "in_a", "in_b")})
-            per_user = per_user.groupBy(*keys, "user_id").agg(*_any(flags))
-        counts = per_user.groupBy(*keys).agg(
-            _users_where(F.col("counted"), "user_count"),
-            _users_where(F.col("has_tp"), "tp_user"),
-            _users_where(F.col("in_a") | F.col("in_b"), "inside_track_user"),
-            _users_where(F.col("in_a"), "inside_track_A_user"),
-            _users_where(F.col("in_b"), "inside_track_B_user"),
-        )
+            facts = self._to_angles(facts)
+            facts = facts.withColumns({c: F.col(c) & _angled() for c in ("has_tp", "in_a", "in_b")})
         whole = [RUN, *ANGLE, *category]
-        total = per_user.filter("of_scene").groupBy(*whole).agg(F.countDistinct("user_id").alias("all_scene_user"))
-        return _with_total(counts.filter(F.col("user_count") > 0), total, whole)
+        measures = {
+            "user_count": F.col("counted"),
+            "tp_user": F.col("has_tp"),
+            "inside_track_user": F.col("in_a") | F.col("in_b"),
+            "inside_track_A_user": F.col("in_a"),
+            "inside_track_B_user": F.col("in_b"),
+        }
+        totals = {"all_scene_user": (whole, F.col("of_scene"))}
+        return user_counts(facts, [*whole, "scene"], flags, measures, totals).filter(F.col("user_count") > 0)
 
     def _reach_facts(self, category: list[str]) -> DataFrame:
         """Who is reached by a scene, by run, with flags for what else is on the post.
@@ -139,12 +140,10 @@ class TouchPointMetrics:
         picked = [c for c in values if c not in self.match]
         columns = list(dict.fromkeys([*self.who, *values]))
         rest = self.rows.filter(F.col("kind") != "scene")
-        runs_of = lambda kind: F.array_distinct(F.flatten(F.collect_set(F.when(F.col("kind") == kind, F.col("data_models")))))
-        # One row per post. The sets hold the few different lists of runs that a path can have.
         marks = rest.groupBy(*self.match).agg(
             F.bool_or(F.col("kind").isin("tp", "sub_tp")).alias("has_tp"),
-            runs_of("scene_A").alias("a_runs"),
-            runs_of("scene_B").alias("b_runs"),
+            self.runs.of_any(F.col("kind") == "scene_A").alias("a_runs"),
+            self.runs.of_any(F.col("kind") == "scene_B").alias("b_runs"),
         )
         joined = self._scenes().join(marks, self.match, "left")
         if picked:
@@ -173,12 +172,7 @@ class TouchPointMetrics:
     def scene_brand(self) -> DataFrame:
         """By scene, category and brand: users; users of all brands of the category."""
         brands = _brand_codes(self._scenes().select(*self.who, "data_models", "scene", "brands"))
-        return self._brand_share(self._by_run(self._users(brands)), ["scene", "category"])
-
-    def _brand_share(self, users: DataFrame, names: list[str]) -> DataFrame:
-        whole = [RUN, *ANGLE, *names]
-        total = users.groupBy(*whole).agg(F.countDistinct("user_id").alias("brand_all_user"))
-        return _with_total(_count_users(users, [*whole, "brand"]), total, whole)
+        return _brand_share(self._by_run(self._of_users(brands)), ["scene", "category"])
 
     def subscene(self, need_child: bool = False) -> DataFrame:
         """By scene path: users and posts. Posts tagged with the parent only have a null ``scene``,
@@ -216,65 +210,75 @@ class TouchPointMetrics:
         return scenes.join(self._touches(*kinds).select(*wanted).distinct(), self.match, "inner")
 
     def _pair_users(self, pairs: DataFrame) -> DataFrame:
-        users = self._by_run(self._users(pairs))
-        return users.filter(F.col("people_type").isNotNull() & F.col("people_angle").isNotNull())
+        return self._by_run(self._of_users(pairs)).filter(_angled())
 
     def scene_tp(self) -> DataFrame:
         """By scene and touch point of the same post: users."""
         pairs = self._pairs(["tp", "sub_tp"], []).select(*self.who, "data_models", "scene", "parent_tp", "tp")
-        return _count_users(self._pair_users(pairs), [RUN, *ANGLE, "scene", "parent_tp", "tp"])
+        return user_counts(self._pair_users(pairs), [RUN, *ANGLE, "scene", "parent_tp", "tp"])
 
     def scene_tp_category(self) -> DataFrame:
         """As ``scene_tp`` for each category, with the users of the scene and of the touch point in it."""
         pairs = self._pairs(["tp", "sub_tp"], ["categoryids"]).withColumn("category", F.explode("categoryids"))
         users = self._pair_users(pairs.select(*self.who, "data_models", "scene", "parent_tp", "tp", "category"))
-        # A scene and a touch point can share several lists of runs; count each user once in a run.
-        users = users.distinct()
-        of_scene, of_tp = [RUN, *ANGLE, "scene", "category"], [RUN, *ANGLE, "parent_tp", "tp", "category"]
-        counts = _count_users(users, [RUN, *ANGLE, "scene", "parent_tp", "tp", "category"])
-        in_scene = users.groupBy(*of_scene).agg(F.countDistinct("user_id").alias("tp_user_count"))
-        in_tp = users.groupBy(*of_tp).agg(F.countDistinct("user_id").alias("scene_user_count"))
-        table = _with_total(_with_total(counts, in_scene, of_scene), in_tp, of_tp)
-        return table.withColumn("category", F.col("category").try_cast("int"))
+        totals = {
+            "tp_user_count": ([RUN, *ANGLE, "scene", "category"], None),
+            "scene_user_count": ([RUN, *ANGLE, "parent_tp", "tp", "category"], None),
+        }
+        counts = user_counts(users, [RUN, *ANGLE, "scene", "parent_tp", "tp", "category"], totals=totals)
+        return counts.withColumn("category", F.col("category").try_cast("int"))
 
     def scene_tp_brand(self) -> DataFrame:
         """By scene, touch point, category and brand: users; users of all brands of the category."""
         pairs = _brand_codes(self._pairs(["tp"], ["brands"]))
         facts = pairs.select(*self.who, "data_models", "scene", "tp", "category", "brand")
-        return self._brand_share(self._pair_users(facts), ["scene", "tp", "category"])
+        return _brand_share(self._pair_users(facts), ["scene", "tp", "category"])
 
     def tp(self) -> DataFrame:
         """By touch point: users, users with a scene on the same post, users of all touch points.
 
-        Only the middle one depends on the run; the others are counted once.
+        Only the middle one depends on the run; the others are counted once for all runs.
         """
-        touches = self._touches("tp")
-        keys = [*ANGLE, "tp"]
-        users = self._users(touches.select(*self.who, "tp"))
-        total = users.groupBy(*ANGLE).agg(F.countDistinct("user_id").alias("tp_all_user"))
-        whole = self.runs.stamp(_with_total(_count_users(users, keys), total, ANGLE))
         scened = self._by_run(self._scenes().select(*self.match, "data_models")).distinct()
-        shared = self._users(touches.join(scened, self.match, "inner").select(RUN, *self.who, "tp"))
-        in_scene = shared.groupBy(RUN, *keys).agg(F.countDistinct("user_id").alias("scene_user"))
-        return _with_total(whole, in_scene, [RUN, *keys])
+        touches = self._touches("tp").join(scened, self.match, "left")
+        users = self._of_users(touches.select(*self.who, "tp", RUN))
+        users = users.withColumn(RUN, F.when(_angled(), F.col(RUN)))
+        keys = [*ANGLE, "tp"]
+        grains = grain_counts(users, [*keys, RUN], [keys, ANGLE, [*keys, RUN]])
+        of_tp, of_all, of_run = (F.col("grain") == g for g in grain_ids([*keys, RUN], [keys, ANGLE, [*keys, RUN]]))
+        total = F.max(F.when(of_all, F.col("user_count"))).over(Window.partitionBy(*ANGLE))
+        grains = grains.withColumn("tp_all_user", F.when(_angled(), total)).filter(of_tp | (of_run & F.col(RUN).isNotNull()))
+        grains = grains.withColumn(RUN, F.explode(F.when(of_tp, self.runs.ids()).otherwise(F.array(RUN))))
+        with_scene = F.max(F.when(of_run, F.col("user_count"))).over(Window.partitionBy(RUN, *keys))
+        table = grains.withColumn("scene_user", with_scene).filter(of_tp).fillna(0, subset=["scene_user", "tp_all_user"])
+        return table.select(RUN, *keys, "scene_user", "user_count", "tp_all_user")
 
     def tp_brand(self) -> DataFrame:
         """By touch point, category and brand: users."""
-        return self.runs.stamp(_count_users(self._tp_brands(), [*ANGLE, "tp", "category", "brand"]))
-
-    def _tp_brands(self) -> DataFrame:
-        return self._users(_brand_codes(self._touches("tp").select(*self.who, "tp", "brands")))
+        brands = _brand_codes(self._touches("tp").select(*self.who, "tp", "brands"))
+        return self.runs.stamp(user_counts(self._of_users(brands), [*ANGLE, "tp", "category", "brand"]))
 
     def tp_category(self) -> DataFrame:
         """By category and touch point: users by category, users by brand, users of the category."""
-        keys, whole = [*ANGLE, "category", "tp"], [*ANGLE, "category"]
-        exploded = self._touches("tp").withColumn("category", F.explode("categoryids"))
-        category = F.col("category").try_cast("int").alias("category")
-        users = self._users(exploded.select(*self.who, "tp", category))
-        total = users.groupBy(*whole).agg(F.countDistinct("user_id").alias("tp_all_user"))
-        by_brand = self._tp_brands().groupBy(*keys).agg(F.countDistinct("user_id").alias("brand_all_user"))
-        table = _with_total(_with_total(_count_users(users, keys), by_brand, keys), total, whole)
-        return self.runs.stamp(table)
+        fact = lambda category, by_category: F.struct(
+            category.alias("category"), F.lit(by_category).alias("by_category"), F.lit(not by_category).alias("by_brand")
+        )
+        none = F.array().cast("array<struct<category:int,by_category:boolean,by_brand:boolean>>")
+        facts = F.concat(
+            F.coalesce(F.transform("categoryids", lambda c: fact(c.try_cast("int"), True)), none),
+            F.coalesce(F.transform("brands", lambda b: fact(category_of(b), False)), none),
+        )
+        touches = self._touches("tp").select(*self.who, "tp", F.explode(facts).alias("fact"))
+        users = self._of_users(touches.select(*self.who, "tp", "fact.*"))
+        whole = [*ANGLE, "category"]
+        measures = {
+            "user_count": F.col("by_category"),
+            # Brands are matched to the rows of the categories, which null keys never are.
+            "brand_all_user": F.col("by_brand") & F.col("category").isNotNull() & _angled(),
+        }
+        totals = {"tp_all_user": (whole, F.col("by_category"))}
+        counts = user_counts(users, [*whole, "tp"], ["by_category", "by_brand"], measures, totals)
+        return self.runs.stamp(counts.filter(F.col("user_count") > 0))
 
 
 # Names of the eleven target tables.
@@ -315,16 +319,65 @@ def _fact(values: dict[str, Column], counted: Column, has_tp: Column, in_a: Colu
     return F.struct(*[column.alias(name) for name, column in {**values, **flags}.items()])
 
 
-def _users_where(flag: Column, name: str) -> Column:
-    """Users with a flag, on rows that are one per user."""
-    return F.count_if(flag).alias(name)
+# ---- distinct users at several grains ----------------------------------------------------------
+
+Total = tuple[Sequence[str], Column | None]
 
 
-def _count_users(users: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return users.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_count"))
+def grain_ids(keys: Sequence[str], grains: Sequence[Sequence[str]]) -> list[int]:
+    """Spark's ``grouping_id`` over ``keys`` and the user, for each grain: one bit per key left out."""
+    columns = [*keys, "user_id"]
+    top = len(columns) - 1
+    return [sum(1 << (top - i) for i, c in enumerate(columns[:-1]) if c not in grain) for grain in grains]
 
 
-def _with_total(counts: DataFrame, total: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``counts`` with the measure of ``total``; 0 where there is none, also for null keys."""
-    measures = [c for c in total.columns if c not in keys]
-    return counts.join(total, list(keys), "left").fillna(0, subset=measures)
+def grain_counts(
+    facts: DataFrame,
+    keys: Sequence[str],
+    grains: Sequence[Sequence[str]],
+    flags: Sequence[str] = (),
+    measures: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Distinct users by each of several subsets of ``keys``, in one pass over ``facts``.
+
+    Rows are first made one per user and grain, which Spark begins before the shuffle, then counted:
+    a large group is spread over its users. ``measures`` count the users for whom a condition on the
+    ``flags`` holds; a flag holds for a user if any of the rows has it.
+    """
+    sets = [[*grain, "user_id"] for grain in grains]
+    per_user = facts.groupingSets(sets, *keys, "user_id").agg(F.grouping_id().alias("grain"), *_any(flags))
+    measures = measures or {"user_count": F.lit(True)}
+    return per_user.groupBy(*keys, "grain").agg(*[F.count_if(m).alias(name) for name, m in measures.items()])
+
+
+def user_counts(
+    facts: DataFrame,
+    keys: Sequence[str],
+    flags: Sequence[str] = (),
+    measures: dict[str, Column] | None = None,
+    totals: dict[str, Total] | None = None,
+) -> DataFrame:
+    """Distinct users by ``keys``, with totals at coarser keys on every row.
+
+    A total is its keys and the condition its users meet. Rows with a null among the keys of a total
+    have 0 for it.
+    """
+    measures = measures or {"user_count": F.lit(True)}
+    if not totals:
+        return facts.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_count"))
+    grains = [keys, *[of for of, _ in totals.values()]]
+    conditions = {name: F.lit(True) if condition is None else condition for name, (_, condition) in totals.items()}
+    counts = grain_counts(facts, keys, grains, flags, {**measures, **conditions})
+    fine, *coarse = grain_ids(keys, grains)
+    for (name, (of, _)), grain in zip(totals.items(), coarse):
+        # The window runs over counts, which are as few as the rows of the finished table.
+        total = F.max(F.when(F.col("grain") == grain, F.col(name))).over(Window.partitionBy(*of))
+        keyed = _all([F.col(k).isNotNull() for k in of])
+        counts = counts.withColumn(f"{name}_of_all", F.when(keyed, total).otherwise(0))
+    own = counts.filter(F.col("grain") == fine)
+    return own.select(*keys, *measures, *[F.col(f"{name}_of_all").alias(name) for name in totals])
+
+
+def _brand_share(users: DataFrame, names: list[str]) -> DataFrame:
+    whole = [RUN, *ANGLE, *names]
+    return user_counts(users, [*whole, "brand"], totals={"brand_all_user": (whole, None)})

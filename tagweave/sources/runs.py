@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.sources.sizing import broadcast_if_small
-
 # States of a run that is waiting to be computed.
 PENDING_STATES = (2, 4)
 # data_model of a computation without a special-people table.
 DEFAULT_RUN = 0
 
+# Bounds up to which runs and their words become literals of the plan; beyond them they are joined.
+MAX_RUNS = 200
+MAX_WORDS = 20_000
+# Runs up to which membership is aggregated as one boolean per run.
+MAX_FLAGS = 32
+
 _IDS = "array<bigint>"
 
 
@@ -23,49 +27,77 @@ class Runs:
     count, so a value of commas alone lets no scene pass.
     """
 
-    def __init__(self, special_people: DataFrame | None = None):
-        self._pending = None
+    def __init__(self, special_people: DataFrame | None = None, max_runs: int = MAX_RUNS, max_words: int = MAX_WORDS):
+        self._pending: DataFrame | None = None
+        self._listed: list[tuple[int, list[str]]] | None = [(DEFAULT_RUN, [""])]
         if special_people is not None:
             value = F.coalesce("value", F.lit(""))
             kept = F.rtrim(value, F.lit(","))
             words = F.when((kept == "") & (value != ""), F.array().cast("array<string>")).otherwise(F.split(kept, ","))
             pending = special_people.filter(F.col("state").isin(*PENDING_STATES))
             self._pending = pending.select(F.col("id").cast("bigint").alias("id"), words.alias("words"))
+            self._listed = self._list(max_runs, max_words)
 
-    def ids(self) -> Column:
-        """Ids of all pending runs, as an array that is the same on every row."""
-        return self._id_array(F.lit(True))
-
-    def open_ids(self) -> Column:
-        """Ids of the runs that let every scene pass."""
-        return self._id_array(F.array_contains("words", ""))
+    def _list(self, max_runs: int, max_words: int) -> list[tuple[int, list[str]]] | None:
+        """Runs and words if both are within the bounds. No more than the bounds reach the driver."""
+        fit = F.slice("words", 1, max_words + 1)
+        rows = self._pending.select("id", fit.alias("words")).take(max_runs + 1)
+        within = len(rows) <= max_runs and sum(len(r["words"]) for r in rows) <= max_words
+        return [(r["id"], r["words"]) for r in rows] if within else None
 
-    def _id_array(self, which: Column) -> Column:
-        if self._pending is None:
-            return F.array(F.lit(DEFAULT_RUN).cast("bigint"))
-        return self._pending.filter(which).agg(F.sort_array(F.collect_set("id")).alias("ids")).scalar()
-
-    def words(self) -> DataFrame | None:
-        """``word, word_runs``: the runs that name a word, for the runs that do limit scenes."""
-        if self._pending is None:
-            return None
-        limited = self._pending.filter(~F.array_contains("words", ""))
-        named = limited.select("id", F.explode("words").alias("word"))
-        return named.groupBy("word").agg(F.collect_set("id").alias("word_runs"))
+    def ids(self) -> Column:
+        """Ids of all pending runs, sorted, as an array that is the same on every row."""
+        if self._listed is not None:
+            return _literal_ids({run for run, _ in self._listed})
+        return self._queried_ids(F.lit(True))
 
     def assign(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
         """``rows`` with ``data_models``, the sorted ids of the runs a row takes part in.
 
         Rows other than scenes are in every run. Rows that are in no run are dropped.
         """
-        words = self.words()
-        if words is None:
-            return rows.withColumn("data_models", self.ids())
-        named = rows.withColumn("word", word).join(broadcast_if_small(words), "word", "left")
-        scene_runs = F.array_union(self.open_ids(), F.coalesce("word_runs", F.array().cast(_IDS)))
+        if self._listed is not None:
+            assigned = rows.withColumn("data_models", F.when(is_scene, self._listed_runs(word)).otherwise(self.ids()))
+        else:
+            assigned = self._join_runs(rows, is_scene, word)
+        return assigned.filter(F.size("data_models") > 0)
+
+    def _listed_runs(self, word: Column) -> Column:
+        whole = {run for run, words in self._listed if "" in words}
+        named = {run: set(words) for run, words in self._listed if run not in whole}
+        if not named:
+            return _literal_ids(whole)
+        hits = [F.when(word.isin(*sorted(named[run])), F.lit(run).cast("bigint")) for run in sorted(named)]
+        return F.sort_array(F.concat(_literal_ids(whole), F.array_compact(F.array(*hits))))
+
+    def _join_runs(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
+        whole = F.array_contains("words", "")
+        by_word = self._pending.filter(~whole).select("id", F.explode("words").alias("word"))
+        by_word = by_word.groupBy("word").agg(F.collect_set("id").alias("word_runs"))
+        named = rows.withColumn("word", word).join(by_word, "word", "left")
+        scene_runs = F.array_union(self._queried_ids(whole), F.coalesce("word_runs", F.array().cast(_IDS)))
         runs = F.when(is_scene, F.sort_array(scene_runs)).otherwise(self.ids())
-        return named.withColumn("data_models", runs).drop("word", "word_runs").filter(F.size("data_models") > 0)
+        return named.withColumn("data_models", runs).drop("word", "word_runs")
+
+    def _queried_ids(self, which: Column) -> Column:
+        return self._pending.filter(which).agg(F.sort_array(F.collect_set("id")).alias("ids")).scalar()
+
+    def of_any(self, condition: Column) -> Column:
+        """Aggregate: the runs that any row meeting ``condition`` takes part in.
+
+        For a few runs one boolean each, which Spark can aggregate in place. Otherwise a set of the
+        lists of runs, of which there are no more than paths differ in their words.
+        """
+        ids = sorted(run for run, _ in self._listed or [])
+        if self._listed is None or len(ids) > MAX_FLAGS:
+            return F.array_distinct(F.flatten(F.collect_set(F.when(condition, F.col("data_models")))))
+        taken = [F.bool_or(condition & F.array_contains("data_models", F.lit(i).cast("bigint"))) for i in ids]
+        return F.array_compact(F.array(*[F.when(t, F.lit(i).cast("bigint")) for t, i in zip(taken, ids)])).cast(_IDS)
 
     def stamp(self, metric: DataFrame) -> DataFrame:
         """One copy of a metric for each pending run, for metrics that no run changes."""
         return metric.withColumn("data_model", F.explode(self.ids()))
+
+
+def _literal_ids(ids: set[int]) -> Column:
+    return F.array(*[F.lit(i) for i in sorted(ids)]).cast(_IDS)
