@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -9,25 +10,69 @@ from pyspark.sql import functions as F
 
 # The punctuation marks that end a clause.
 CLAUSE_MARKS = "，,。;；!！…"
+# Characters with a meaning in a regular expression.
+REGEX_MARKS = frozenset("\\.[]{}()*+?^$|")
+# The characters outside ASCII whose lower case begins with an ASCII letter.
+FOLDS_INTO_ASCII = ("K", "İ")
 
 # Tags per array expression. Keeps each generated method small for lexicons of thousands of tags.
 CHUNK = 50
 
+_NAMES = "array<string>"
 
-def found(text: Column, pattern: str) -> Column:
-    """Whether ``pattern`` is found in ``text``; only ASCII letters ignore case. Null text gives null."""
-    return text.rlike(f"(?i){pattern}")
 
+def fold(text: Column) -> Column:
+    """Lower case of ``text``, in which an ASCII letter only stems from an ASCII letter."""
+    for character in FOLDS_INTO_ASCII:
+        text = F.replace(text, F.lit(character), F.lit("\u0000"))
+    return F.lower(text)
 
-def matched_tags(text: Column, tags: Mapping[str, str]) -> Column:
-    """Names of the tags whose pattern is found in ``text``, in lexicon order; empty for null text."""
+
+def plain_words(pattern: str) -> list[str] | None:
+    """The words of a pattern that is plain words joined by ``|``, else None.
+
+    Words with an ASCII letter may hold no other letter that has a case, as only ASCII ignores case.
+    """
+    words = pattern.split("|")
+    for word in words:
+        if not word or REGEX_MARKS & set(word) or "\u0000" in word:
+            return None
+        cased = [c for c in word if not c.isascii() and unicodedata.category(c)[0] in "LM" and unicodedata.category(c) != "Lo"]
+        if cased and any(c.isascii() and c.isalpha() for c in word):
+            return None
+    return words
+
+
+def found(text: Column, pattern: str, folded: Column | None = None) -> Column:
+    """Whether ``pattern`` is found in ``text``; only ASCII letters ignore case. Null text gives null.
+
+    Patterns of plain words are looked up as substrings, which reads the bytes of the text as they
+    are; anything else is matched as a Java regular expression.
+    """
+    words = plain_words(pattern)
+    if words is None:
+        return text.rlike(f"(?i){pattern}")
+    folded = fold(text) if folded is None else folded
+    result = None
+    for word in words:
+        lettered = any(c.isascii() and c.isalpha() for c in word)
+        hit = F.contains(folded, F.lit(word.lower())) if lettered else F.contains(text, F.lit(word))
+        result = hit if result is None else result | hit
+    return result
+
+
+def matched_tags(text: Column, tags: Mapping[str, str], folded: Column | None = None) -> Column:
+    """Names of the tags whose pattern is found in ``text``, in lexicon order; empty for null text.
+
+    ``folded`` is a column that holds ``fold(text)``, so that it is computed once for all tags.
+    """
     names = list(tags)
     chunks = [
-        F.array_compact(F.array(*[F.when(found(text, tags[n]), F.lit(n)) for n in names[i : i + CHUNK]]))
+        F.array_compact(F.array(*[F.when(found(text, tags[n], folded), F.lit(n)) for n in names[i : i + CHUNK]]))
         for i in range(0, len(names), CHUNK)
     ]
     if not chunks:
-        return F.array().cast("array<string>")
+        return F.array().cast(_NAMES)
     return chunks[0] if len(chunks) == 1 else F.concat(*chunks)
 
 
@@ -40,4 +85,9 @@ def clauses(text: Column, marks: str = CLAUSE_MARKS) -> Column:
     kept = F.rtrim(text, F.lit(marks))
     cut = F.split(kept, f"[{marks}]")
     only_marks = (kept == "") & (text != "")
-    return F.when(only_marks, F.array().cast("array<string>")).otherwise(cut)
+    return F.when(only_marks, F.array().cast(_NAMES)).otherwise(cut)
+
+
+def folded_clauses(text: Column) -> Column:
+    """Clauses as structs of ``text`` and ``folded``."""
+    return F.transform(clauses(text), lambda clause: F.struct(clause.alias("text"), fold(clause).alias("folded")))
