@@ -39,7 +39,7 @@ def _metric(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         # An order has one customer, so a post has one author.
         metrics = TouchPointMetrics(
-            fx.post_attr(spark, sf_dir), fx.people(spark, sf_dir), fx.special_people(spark), one_author=True
+            fx.post_attr(spark, sf_dir), fx.people(spark, sf_dir), fx.special_people(spark), late_angles=True
         )
         return metrics.table(name)
 

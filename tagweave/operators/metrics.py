@@ -5,8 +5,8 @@ person, and only then joined to the angles of that person, since a count of user
 posts any more. Facts of one person are few however many posts there are, so neither the angles nor
 a person who wrote a large part of all posts multiplies the data.
 
-That order is exact as long as a post has one author. For other data (``one_author=False``) rows are
-joined to angles first and matched within the angle.
+That order is exact as long as a post has one author and nobody has a null type or angle. For other
+data (``late_angles=False``) rows are joined to angles first and matched within the angle.
 """
 
 from __future__ import annotations
@@ -29,11 +29,15 @@ def _angled() -> Column:
     return F.col("people_type").isNotNull() & F.col("people_angle").isNotNull()
 
 
-def has_one_author(post_attr: DataFrame) -> bool:
-    """Whether every post, i.e. every ``platform_id, id``, is by one ``user_id``. Reads the whole table."""
+def may_join_late(post_attr: DataFrame, people: DataFrame) -> bool:
+    """Whether every post (``platform_id, id``) is by one user and no type or angle is null.
+
+    Reads both tables, until a row that says no.
+    """
     ids = post_attr.filter(F.col("id").isNotNull() & F.col("platform_id").isNotNull())
     authors = ids.groupBy(*POST).agg(F.min("user_id").alias("first"), F.max("user_id").alias("last"))
-    return authors.filter(F.col("first") != F.col("last")).isEmpty()
+    unnamed = F.col("people_type").isNull() | F.exists("regex_rule", lambda angle: angle.isNull())
+    return people.filter(unnamed).isEmpty() and authors.filter(F.col("first") != F.col("last")).isEmpty()
 
 
 class TouchPointMetrics:
@@ -42,7 +46,7 @@ class TouchPointMetrics:
     ``post_attr``: id, user_id, platform_id, attr, categoryids, brands (the last two arrays).
     ``people``: platform_id, user_id, people_type, regex_rule (array of angles).
     ``special_people``: id, value, state; without it there is one run, 0, over all scenes.
-    ``one_author``: whether each post has one author; looked up in the data when not given.
+    ``late_angles``: whether angles are joined last; when not given it is looked up if they may be.
 
     Every table has ``data_model``, ``people_type`` and ``people_angle`` among its keys.
     """
@@ -53,12 +57,12 @@ class TouchPointMetrics:
         people: DataFrame,
         special_people: DataFrame | None = None,
         scheme: AttrScheme = AttrScheme(),
-        one_author: bool | None = None,
+        late_angles: bool | None = None,
     ):
         self.scheme = scheme
         self.runs = Runs(special_people)
         self.people = people.select(*PERSON, "people_type", "regex_rule")
-        self.late_angles = has_one_author(post_attr) if one_author is None else one_author
+        self.late_angles = may_join_late(post_attr, people) if late_angles is None else late_angles
         rows = classed_rows(post_attr, self.runs, scheme)
         if self.late_angles:
             # The author belongs to the post, so it may be part of the match.
@@ -116,9 +120,10 @@ class TouchPointMetrics:
         facts = self._reach_facts(category)
         facts = facts.groupBy(*[c for c in facts.columns if c not in flags]).agg(*_any(flags))
         if self.late_angles:
-            # A match across a missing type or angle does not count, as no two nulls are equal.
             facts = self._to_angles(facts)
-            facts = facts.withColumns({c: F.col(c) & _angled() for c in ("has_tp", "in_a", "in_b")})
+        # Counts of inside tracks are matched by category as well.
+        for name in category:
+            facts = facts.withColumns({c: F.col(c) & F.col(name).isNotNull() for c in ("in_a", "in_b")})
         whole = [RUN, *ANGLE, *category]
         measures = {
             "user_count": F.col("counted"),
@@ -210,7 +215,7 @@ class TouchPointMetrics:
         return scenes.join(self._touches(*kinds).select(*wanted).distinct(), self.match, "inner")
 
     def _pair_users(self, pairs: DataFrame) -> DataFrame:
-        return self._by_run(self._of_users(pairs)).filter(_angled())
+        return self._by_run(self._of_users(pairs))
 
     def scene_tp(self) -> DataFrame:
         """By scene and touch point of the same post: users."""
@@ -242,7 +247,6 @@ class TouchPointMetrics:
         scened = self._by_run(self._scenes().select(*self.match, "data_models")).distinct()
         touches = self._touches("tp").join(scened, self.match, "left")
         users = self._of_users(touches.select(*self.who, "tp", RUN))
-        users = users.withColumn(RUN, F.when(_angled(), F.col(RUN)))
         keys = [*ANGLE, "tp"]
         grains = grain_counts(users, [*keys, RUN], [keys, ANGLE, [*keys, RUN]])
         of_tp, of_all, of_run = (F.col("grain") == g for g in grain_ids([*keys, RUN], [keys, ANGLE, [*keys, RUN]]))

@@ -19,7 +19,7 @@ def all_metrics(
     people: DataFrame,
     special_people: DataFrame | None = None,
     scheme: AttrScheme = AttrScheme(),
-    one_author: bool | None = None,
+    late_angles: bool | None = None,
     tables: Iterable[str] = tuple(TABLES),
 ) -> dict[str, DataFrame]:
     """The metric tables by name.
@@ -28,7 +28,7 @@ def all_metrics(
     a metric reads only the classes and columns it needs. Without that folder each metric starts
     from ``post_attr``.
     """
-    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, one_author)
+    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, late_angles)
     folder = staging_dir(post_attr.sparkSession)
     if folder:
         metrics.rows = stage(metrics.rows, folder, "kind")

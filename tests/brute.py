@@ -1,0 +1,213 @@
+"""The eleven metric tables computed by plain loops over small lists, one run and angle row at a time."""
+
+from collections import defaultdict
+
+
+def kind_of(attr):
+    n = len(attr.split("."))
+    if attr.startswith("TP.") and n in (2, 3):
+        return "sub_tp" if n == 3 else "tp"
+    for track in "AB":
+        if f".{track}." in attr:
+            return f"scene_{track}"
+    return "scene" if attr.startswith("场景.") else None
+
+
+def run_words(value):
+    if value == "":
+        return [""]
+    words = value.split(",")
+    while words and words[-1] == "":
+        words.pop()
+    return words
+
+
+def typed_rows(post_attr, value):
+    words, out = run_words(value), set()
+    for id_, user, platform, attr, cats, brands in post_attr:
+        parts = attr.split(".")
+        kind = kind_of(attr)
+        if len(parts) not in (2, 3) or kind is None:
+            continue
+        if "" not in words and attr.startswith("场景.") and attr.rstrip(".").split(".")[-1] not in words:
+            continue
+        rest = (id_, user, platform, None if cats is None else tuple(cats), None if brands is None else tuple(brands))
+        if kind == "scene":
+            out |= {("sub_scene", attr, *rest), ("scene", parts[1], *rest)}
+        else:
+            out.add((kind, parts[1] if kind == "tp" else attr, *rest))
+    return out
+
+
+def angle_rows(post_attr, people, value):
+    angles = defaultdict(set)
+    for platform, user, type_, rules in people:
+        for angle in rules or []:
+            angles[platform, user].add((type_, angle))
+    return {
+        dict_row(type_=t, angle=a, kind=k, attr=at, id=i, user=u, platform=p, cats=c, brands=b)
+        for k, at, i, u, p, c, b in typed_rows(post_attr, value)
+        for t, a in angles[p, u]
+    }
+
+
+class dict_row(tuple):
+    NAMES = ("type_", "angle", "kind", "attr", "id", "user", "platform", "cats", "brands")
+
+    def __new__(cls, **values):
+        return super().__new__(cls, tuple(values[n] for n in cls.NAMES))
+
+    def __getattr__(self, name):
+        return self[self.NAMES.index(name)]
+
+
+def same_post(a, b):
+    keys = [(a.type_, b.type_), (a.angle, b.angle), (a.platform, b.platform), (a.id, b.id)]
+    return all(x is not None and x == y for x, y in keys)
+
+
+def number(text):
+    try:
+        return int(text)
+    except (TypeError, ValueError):
+        return None
+
+
+def codes(brands):
+    for code in brands or ():
+        parts = code.split("_")
+        yield number(parts[0]), number(parts[1]) if len(parts) > 1 else None
+
+
+def users(groups):
+    return {key: len(set(found)) for key, found in groups.items()}
+
+
+def grouped(pairs):
+    groups = defaultdict(list)
+    for key, value in pairs:
+        groups[key].append(value)
+    return groups
+
+
+def total_of(totals, key):
+    """Total of a row, 0 where a key is null: a null matches nothing."""
+    return 0 if None in key else totals.get(key, 0)
+
+
+def brute_metrics(post_attr, people, runs):
+    tables = defaultdict(set)
+    for run, value, state in runs:
+        if state in (2, 4):
+            for name, rows in one_run(angle_rows(post_attr, people, value)).items():
+                tables[name] |= {(run, *row) for row in rows}
+    return dict(tables)
+
+
+def one_run(rows):
+    scenes = [r for r in rows if r.kind == "scene"]
+    touches = [r for r in rows if r.kind in ("tp", "sub_tp")]
+    tracks = [r for r in rows if r.kind in ("scene_A", "scene_B")]
+    subs = [r for r in rows if r.kind == "sub_scene"]
+
+    joined = []
+    met = set()
+    for s in scenes:
+        hits = [t for t in touches if same_post(s, t)]
+        met.update(hits)
+        joined += [(t, s.attr, t) for t in hits] or [(s, s.attr, None)]
+    joined += [(t, None, t) for t in touches if t not in met]
+
+    def names(t):
+        parts = t.attr.split(".")
+        return (parts[1], parts[2]) if t.kind == "sub_tp" else ("self", t.attr)
+
+    out = {}
+
+    def reach(cats_of):
+        own = grouped(((r.type_, r.angle, c, s), r.user) for r, s, _ in joined if s is not None for c in cats_of(r))
+        touched = grouped(((r.type_, r.angle, c, s), r.user) for r, s, t in joined if s is not None and t for c in cats_of(r))
+        inside = {
+            kinds: grouped(
+                ((s.type_, s.angle, c, s.attr), s.user)
+                for s in scenes
+                for i in tracks
+                if i.kind in kinds and same_post(s, i)
+                for c in cats_of(s)
+            )
+            for kinds in (("scene_A",), ("scene_B",), ("scene_A", "scene_B"))
+        }
+        total = users(grouped(((s.type_, s.angle, c), s.user) for s in scenes for c in cats_of(s)))
+        for key in own:
+            used = key if cats_of is not NO_CATS else (key[0], key[1], key[3])
+            at = lambda group: 0 if None in used else len(set(group.get(key, ())))
+            tracked = [at(inside[k]) for k in (("scene_A", "scene_B"), ("scene_A",), ("scene_B",))]
+            yield key, (len(set(own[key])), len(set(touched.get(key, ()))), *tracked, total_of(total, key[:3]))
+
+    out["tpa_scene_data"] = {(t, a, s, *m) for (t, a, _, s), m in reach(NO_CATS)}
+    out["tpa_scene_category_data"] = {(t, a, number(c), s, *m) for (t, a, c, s), m in reach(lambda r: r.cats or ())}
+
+    def share(base, *keys):
+        own = users(grouped(((*k, c, b), u) for k, u, brands in base for c, b in codes(brands)))
+        total = users(grouped(((*k, c), u) for k, u, brands in base for c, _ in codes(brands)))
+        return {(*key, n, total_of(total, key[:-1])) for key, n in own.items()}
+
+    out["tpa_scene_brand_data"] = share([((s.type_, s.angle, s.attr), s.user, s.brands) for s in scenes])
+
+    def sub_key(r):
+        parts = r.attr.split(".")
+        return r.type_, r.angle, parts[1], parts[2] if len(parts) > 2 else None
+
+    people_of, posts_of = grouped((sub_key(r), r.user) for r in subs), grouped((sub_key(r), r.id) for r in subs)
+    out["tpa_subscene_data"] = {(*k, len(set(people_of[k])), len(set(posts_of[k]))) for k in people_of}
+    people_of = grouped(((*sub_key(r), c), r.user) for r in subs for c in r.cats or ())
+    posts_of = grouped(((*sub_key(r), c), r.id) for r in subs for c in r.cats or ())
+    out["tpa_subscene_category_data"] = {(*k[:-1], number(k[-1]), len(set(people_of[k])), len(set(posts_of[k]))) for k in people_of}
+
+    both = [(r, s, t) for r, s, t in joined if s is not None and t]
+    out["tpa_scene_tp_data"] = {(*k, n) for k, n in users(grouped(((r.type_, r.angle, s, *names(t)), r.user) for r, s, t in both)).items()}
+
+    by_cat = [((r.type_, r.angle, s, *names(t), c), r.user) for r, s, t in both for c in r.cats or ()]
+    in_scene = users(grouped(((k[0], k[1], k[2], k[5]), u) for k, u in by_cat))
+    in_tp = users(grouped(((k[0], k[1], k[3], k[4], k[5]), u) for k, u in by_cat))
+    out["tpa_scene_tp_category_data"] = {
+        (*k[:5], number(k[5]), n, total_of(in_scene, (k[0], k[1], k[2], k[5])), total_of(in_tp, (k[0], k[1], *k[3:6])))
+        for k, n in users(grouped(by_cat)).items()
+    }
+    out["tpa_scene_tp_brand_data"] = share([((r.type_, r.angle, s, t.attr), r.user, r.brands) for r, s, t in both if t.kind == "tp"])
+
+    single = [(r, s, t) for r, s, t in joined if t and t.kind == "tp"]
+    own = users(grouped(((r.type_, r.angle, t.attr), r.user) for r, _, t in single))
+    scened = users(grouped(((r.type_, r.angle, t.attr), r.user) for r, s, t in single if s is not None))
+    total = users(grouped(((t.type_, t.angle), t.user) for t in touches if t.kind == "tp"))
+    out["tpa_tp_data"] = {(*k, scened.get(k, 0), n, total_of(total, k[:2])) for k, n in own.items()}
+
+    ones = [t for t in touches if t.kind == "tp"]
+    brands = grouped(((t.type_, t.angle, t.attr, c, b), t.user) for t in ones for c, b in codes(t.brands))
+    out["tpa_tp_brand_data"] = {(*k, n) for k, n in users(brands).items()}
+
+    cats = grouped(((t.type_, t.angle, number(c), t.attr), t.user) for t in ones for c in t.cats or ())
+    by_brand = users(grouped(((t.type_, t.angle, c, t.attr), t.user) for t in ones for c, _ in codes(t.brands)))
+    total = users(grouped(((t.type_, t.angle, number(c)), t.user) for t in ones for c in t.cats or ()))
+    out["tpa_tp_category_data"] = {(*k, n, total_of(by_brand, k), total_of(total, k[:3])) for k, n in users(cats).items()}
+    return out
+
+
+def NO_CATS(_):
+    return ("",)
+
+
+# Columns of each table in the order of the rows above, after data_model, people_type, people_angle.
+COLUMNS = {
+    "tpa_scene_data": "scene user_count tp_user inside_track_user inside_track_A_user inside_track_B_user all_scene_user",
+    "tpa_scene_category_data": "category scene user_count tp_user inside_track_user inside_track_A_user inside_track_B_user all_scene_user",
+    "tpa_scene_brand_data": "scene category brand user_count brand_all_user",
+    "tpa_subscene_data": "parent_scene scene user_count id_count",
+    "tpa_subscene_category_data": "parent_scene scene category user_count id_count",
+    "tpa_scene_tp_data": "scene parent_tp tp user_count",
+    "tpa_scene_tp_category_data": "scene parent_tp tp category user_count tp_user_count scene_user_count",
+    "tpa_scene_tp_brand_data": "scene tp category brand user_count brand_all_user",
+    "tpa_tp_data": "tp scene_user user_count tp_all_user",
+    "tpa_tp_brand_data": "tp category brand user_count",
+    "tpa_tp_category_data": "category tp user_count brand_all_user tp_all_user",
+}

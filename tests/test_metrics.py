@@ -1,0 +1,152 @@
+"""Metric tables against plain loops over small random inputs, and against each other."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from brute import COLUMNS, brute_metrics
+from checks import fixtures as fx
+from tagweave.operators.attrs import classed_rows
+from tagweave.operators.metrics import TABLES, TouchPointMetrics, may_join_late
+from tagweave.sources.runs import Runs
+
+POSTS = "id string, user_id string, platform_id string, attr string, categoryids array<string>, brands array<string>"
+PEOPLE = "platform_id string, user_id string, people_type string, regex_rule array<string>"
+RUNS = "id bigint, value string, state int"
+
+SPECIAL = [(1, "", 2), (2, "x,deep", 4), (5, "Home,y", 2), (7, "x", 0), (9, ",,", 2), (11, "x,,y", 4)]
+ATTRS = [
+    "场景.Home", "场景.Home.x", "场景.Home.y", "场景.Out", "场景.Out.x", "场景.A.x", "场景.B.y", "场景", "场景.Out.x.z", "场景.Out.",
+    "TP.shop", "TP.bar", "TP.shop.small", "TP.bar.x", "TP.a.b.deep", "TP内圈.A.场景A", "TP内圈.B.场景B", "other.one", "TP.A.x",
+]
+CATS = [None, [], ["1"], ["1", "2"], ["2", "bad", "02"], [None, "3"]]
+BRANDS = [None, [], ["1_10"], ["1_10", "1_11", "2_20"], ["x_5", "3", "2_z"]]
+
+
+def random_posts(rng, n, one_author, one_list):
+    posts = []
+    for _ in range(n):
+        id_, platform = str(rng.randrange(12)), rng.choice("12")
+        own = random.Random(f"{id_} {platform}")
+        author = str(own.randrange(6)) if one_author else str(rng.randrange(6))
+        source = own if one_list else rng
+        posts.append((id_, author, platform, rng.choice(ATTRS), source.choice(CATS), source.choice(BRANDS)))
+    return posts
+
+
+def random_people(rng, unnamed=False):
+    angles = [None, [], ["N"], ["N", "VIP"], ["S", "VIP"], *([["N", None]] if unnamed else [])]
+    types = ["a", "b", None] if unnamed else ["a", "b"]
+    people = []
+    for platform in "12":
+        for user in range(6):
+            for type_ in rng.sample(types, rng.randrange(3)):
+                people.append((platform, str(user), type_, rng.choice(angles)))
+    return people
+
+
+def collected(table, name):
+    columns = ["data_model", "people_type", "people_angle", *COLUMNS[name].split()]
+    rows = [tuple(r) for r in table.select(*columns).collect()]
+    return rows
+
+
+def check(spark, posts, people, late_angles, special=SPECIAL):
+    expected = brute_metrics(posts, people, special)
+    metrics = TouchPointMetrics(
+        spark.createDataFrame(posts, POSTS),
+        spark.createDataFrame(people, PEOPLE),
+        spark.createDataFrame(special, RUNS),
+        late_angles=late_angles,
+    )
+    for name in TABLES:
+        rows = collected(metrics.table(name), name)
+        key = lambda row: tuple((v is None, str(v)) for v in row)
+        assert sorted(set(rows), key=key) == sorted(expected[name], key=key), name
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_posts_of_one_author(spark, seed):
+    rng = random.Random(seed)
+    posts, people = random_posts(rng, 150, True, seed == 1), random_people(rng)
+    check(spark, posts, people, late_angles=True)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_posts_of_several_authors_and_null_angles(spark, seed):
+    rng = random.Random(seed)
+    posts, people = random_posts(rng, 120, seed == 3, False), random_people(rng, unnamed=True)
+    check(spark, posts, people, late_angles=False)
+
+
+def test_order_is_looked_up(spark):
+    rng = random.Random(5)
+    one, many = random_posts(rng, 60, True, False), random_posts(rng, 60, False, False)
+    people = spark.createDataFrame(random_people(rng), PEOPLE)
+    unnamed = spark.createDataFrame([("1", "1", "a", ["N", None])], PEOPLE)
+    assert may_join_late(spark.createDataFrame(one, POSTS), people)
+    assert not may_join_late(spark.createDataFrame(many, POSTS), people)
+    assert not may_join_late(spark.createDataFrame(one, POSTS), unnamed)
+    assert not TouchPointMetrics(spark.createDataFrame(many, POSTS), people).late_angles
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_both_orders_agree(spark, name):
+    small = "/root/testdata/sf0.001"
+    made = [
+        TouchPointMetrics(fx.post_attr(spark, small), fx.people(spark, small), fx.special_people(spark), late_angles=one)
+        for one in (True, False)
+    ]
+    early, late = (sorted(collected(m.table(name), name), key=repr) for m in made)
+    assert early == late and early
+
+
+def test_runs_beyond_the_bounds_are_joined(spark):
+    rng = random.Random(6)
+    posts, people = random_posts(rng, 80, True, True), random_people(rng)
+    frames = spark.createDataFrame(posts, POSTS), spark.createDataFrame(people, PEOPLE)
+    special = spark.createDataFrame(SPECIAL, RUNS)
+    for name in ("tpa_scene_data", "tpa_scene_tp_data", "tpa_tp_data"):
+        listed = TouchPointMetrics(*frames, special, late_angles=True)
+        joined = TouchPointMetrics(*frames, late_angles=True)
+        joined.runs = Runs(special, max_runs=1)
+        assert joined.runs._listed is None
+        joined.rows = classed_rows(frames[0], joined.runs)
+        assert sorted(collected(listed.table(name), name), key=repr) == sorted(collected(joined.table(name), name), key=repr)
+
+
+def test_no_pending_run_gives_no_row(spark):
+    posts = spark.createDataFrame([("1", "1", "1", "TP.shop", ["1"], ["1_1"])], POSTS)
+    people = spark.createDataFrame([("1", "1", "a", ["N"])], PEOPLE)
+    metrics = TouchPointMetrics(posts, people, spark.createDataFrame([(1, "", 0)], RUNS), late_angles=True)
+    assert all(metrics.table(name).isEmpty() for name in TABLES)
+
+
+def test_counts_stay_within_their_totals(spark, sf_dir):
+    metrics = TouchPointMetrics(fx.post_attr(spark, sf_dir), fx.people(spark, sf_dir), late_angles=True)
+    scene = metrics.scene()
+    broken = (
+        (F.col("user_count") > F.col("all_scene_user"))
+        | (F.col("tp_user") > F.col("user_count"))
+        | (F.col("inside_track_A_user") > F.col("inside_track_user"))
+        | (F.col("inside_track_user") > F.col("user_count"))
+    )
+    assert scene.filter(broken).isEmpty()
+    assert metrics.scene_brand().filter("user_count > brand_all_user").isEmpty()
+
+
+def test_parents_alone_can_be_left_out(spark):
+    posts = [("1", "1", "1", "场景.Home", None, None), ("2", "1", "1", "场景.Home.x", None, None)]
+    people = spark.createDataFrame([("1", "1", "a", ["N"])], PEOPLE)
+    metrics = TouchPointMetrics(spark.createDataFrame(posts, POSTS), people, late_angles=True)
+    assert {(r.parent_scene, r.scene) for r in metrics.subscene().collect()} == {("Home", None), ("Home", "x")}
+    assert {(r.parent_scene, r.scene) for r in metrics.subscene(need_child=True).collect()} == {("Home", "x")}
+
+
+def test_one_user_with_most_posts_counts_once(spark):
+    posts = [(str(i), "hot", "1", "场景.Home", None, None) for i in range(300)] + [("x", "cold", "1", "场景.Home", None, None)]
+    people = spark.createDataFrame([("1", "hot", "a", ["N"]), ("1", "cold", "a", ["N"])], PEOPLE)
+    metrics = TouchPointMetrics(spark.createDataFrame(posts, POSTS), people)
+    assert [r.user_count for r in metrics.scene().collect()] == [2]
+    assert [(r.user_count, r.id_count) for r in metrics.subscene().collect()] == [(2, 301)]
