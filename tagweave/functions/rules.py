@@ -10,8 +10,8 @@ from __future__ import annotations
 import re
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.errors import ParseException
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The operators of the rule language.
@@ -29,7 +29,7 @@ class RuleError(ValueError):
     """A dimension rule that cannot be read, with its name in the message."""
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -53,9 +53,9 @@ def rule_text(
 
     def known(word: str) -> str | None:
         if word in tags:
-            return f"array_contains({tag_array}, {_literal(word)})"
+            return f"array_contains({tag_array}, {literal(word)})"
         if word in objects:
-            return f"array_contains({object_array}, {_literal(word)})"
+            return f"array_contains({object_array}, {literal(word)})"
         if word in columns:
             return "`" + word.replace("`", "``") + "`"
         return None
@@ -79,18 +79,22 @@ def rule_text(
     return " ".join(OPERATORS[w] if w in OPERATORS else operand(w) for w in words)
 
 
-def rule_column(name: str, text: str) -> Column:
-    """The predicate as a column; a rule that is no valid expression names its dimension."""
+def check_rules(rows: DataFrame, rules: Mapping[str, str]) -> None:
+    """Raises a RuleError naming the first dimension whose predicate is no expression over ``rows``."""
     try:
-        return F.expr(text)
-    except ParseException as error:
-        raise RuleError(f"dimension {name!r}: not a valid rule ({text})") from error
-
+        rows.select(*[F.expr(f"({text})") for text in rules.values()])
+    except AnalysisException:
+        for name, text in rules.items():
+            try:
+                rows.select(F.expr(f"({text})"))
+            except AnalysisException as error:
+                raise RuleError(f"dimension {name!r}: not a valid rule ({text})") from error
+        raise
 
 
 def label_array(rules: Mapping[str, str]) -> str:
     """Spark SQL text of the array of the names whose predicate is true."""
     if not rules:
         return "cast(array() as array<string>)"
-    cases = ", ".join(f"case when {text} then {_literal(name)} end" for name, text in rules.items())
+    cases = ", ".join(f"case when ({text}) then {literal(name)} end" for name, text in rules.items())
     return f"array_compact(array({cases}))"

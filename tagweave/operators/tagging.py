@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.patterns import clauses, fold, folded_clauses, found, matched_tags
-from tagweave.functions.rules import label_array, rule_column, rule_text
+from tagweave.functions.rules import check_rules, label_array, literal, rule_text
 from tagweave.sources.lexicon import Lexicon
 
 _NAMES = "array<string>"
@@ -68,21 +68,19 @@ def retag_clauses(flagged: DataFrame, lexicon: Lexicon, content: str = "content"
     return split.withColumn("tags", F.when(F.col("unit.whole"), F.col("tags")).otherwise(own)).drop("unit", _FOLDED)
 
 
-def _rules(lexicon: Lexicon, columns: Sequence[str], tag_array: str, group_wildcards: bool) -> dict[str, str]:
-    """Predicate text of every dimension; each is parsed on its own so that an error names it."""
-    rules = {}
-    for name, rule in lexicon.dimensions.items():
-        if name in lexicon.tags:
-            text = f"array_contains({tag_array}, {_quoted(name)})"
-        else:
-            text = rule_text(name, rule, list(lexicon.tags), lexicon.objects, columns, tag_array, "objects", group_wildcards)
-        rule_column(name, text)
-        rules[name] = text
-    return rules
+def _rules(tagged: DataFrame, lexicon: Lexicon, group_wildcards: bool, tag_array: str = "tags") -> dict[str, str]:
+    """Predicate text of every dimension; the rules are checked over the columns of ``tagged``."""
+    flags = [f.name for f in tagged.schema.fields if f.dataType.typeName() == "boolean"]
 
+    def texts(held: str) -> dict[str, str]:
+        return {name: f"array_contains({held}, {literal(name)})" for name in lexicon.dimensions if name in lexicon.tags} | {
+            name: rule_text(name, rule, list(lexicon.tags), lexicon.objects, flags, held, "objects", group_wildcards)
+            for name, rule in lexicon.derived_dimensions().items()
+        }
 
-def _quoted(name: str) -> str:
-    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    check_rules(tagged, texts("tags"))
+    found = texts(tag_array)
+    return {name: found[name] for name in lexicon.dimensions}
 
 
 def apply_dimensions(tagged: DataFrame, lexicon: Lexicon, group_wildcards: bool = False) -> DataFrame:
@@ -92,8 +90,7 @@ def apply_dimensions(tagged: DataFrame, lexicon: Lexicon, group_wildcards: bool
     """
     if "objects" not in tagged.columns:
         tagged = tagged.withColumn("objects", F.array().cast(_NAMES))
-    flags = [f.name for f in tagged.schema.fields if f.dataType.typeName() == "boolean"]
-    return tagged.withColumn("labels", F.expr(label_array(_rules(lexicon, flags, "tags", group_wildcards))))
+    return tagged.withColumn("labels", F.expr(label_array(_rules(tagged, lexicon, group_wildcards))))
 
 
 def combine_clauses(labelled: DataFrame, lexicon: Lexicon, columns: Sequence[str]) -> DataFrame:
@@ -129,13 +126,12 @@ def label_posts(
     """
     columns = posts.columns
     tagged = flag_objects(tag_posts(posts, lexicon, content), lexicon)
-    flags = [f.name for f in posts.schema.fields if f.dataType.typeName() == "boolean"]
     if not lexicon.objects:
         return explode_labels(apply_dimensions(tagged, lexicon, group_wildcards), columns)
     tags_of = lambda clause: matched_tags(clause["text"], lexicon.tags, clause["folded"])
     cut = F.transform(folded_clauses(F.col(content)), tags_of)
     units = F.when(F.size("objects") > 0, cut).otherwise(F.array("tags"))
-    per_unit = label_array(_rules(lexicon, flags, "unit", group_wildcards))
+    per_unit = label_array(_rules(tagged, lexicon, group_wildcards, "unit"))
     labelled = tagged.withColumn("units", units).withColumn(
         "labels", F.array_distinct(F.flatten(F.expr(f"transform(units, unit -> {per_unit})")))
     )

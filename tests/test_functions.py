@@ -1,0 +1,112 @@
+"""Pieces of strings, patterns, clauses and rules."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tagweave.functions.paths import brand_of, category_of, last_segment, n_segments, piece, segment
+from tagweave.functions.patterns import clauses, fold, found, matched_tags, plain_words
+from tagweave.functions.rules import RuleError, check_rules, label_array, rule_text
+
+
+def values(spark, texts, make):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r.v for r in rows.select("i", make(F.col("t")).alias("v")).orderBy("i").collect()]
+
+
+def test_paths(spark):
+    paths = ["a", "a.b", "a.b.c", "a.b.", "", None]
+    assert values(spark, paths, n_segments) == [1, 2, 3, 3, 1, None]
+    assert values(spark, paths, lambda c: segment(c, 1)) == [None, "b", "b", "b", None, None]
+    assert values(spark, paths, last_segment) == ["a", "b", "c", "b", "", None]
+
+
+def test_piece_counts_from_both_ends(spark):
+    texts = ["a_b_c", "a", "a__", None]
+    assert values(spark, texts, lambda c: piece(c, "_", 0)) == ["a", "a", "a", None]
+    assert values(spark, texts, lambda c: piece(c, "_", 2)) == ["c", None, None, None]
+    assert values(spark, texts, lambda c: piece(c, "_", -1)) == ["c", "a", "a", None]
+    assert values(spark, texts, lambda c: piece(c, "_", -2)) == ["b", None, None, None]
+
+
+def test_category_and_brand(spark):
+    codes = ["3_12", "3", "x_5", "3_y", None]
+    assert values(spark, codes, category_of) == [3, 3, None, 3, None]
+    assert values(spark, codes, brand_of) == [12, None, 5, None, None]
+
+
+def test_clauses_drop_empty_ends_only(spark):
+    texts = ["a,b", "a,,b,,", ",a", ",,；", "", "好，很好！", "no mark", None]
+    expected = [["a", "b"], ["a", "", "b"], ["", "a"], [], [""], ["好", "很好"], ["no mark"], None]
+    assert values(spark, texts, clauses) == expected
+
+
+PATTERNS = ["good|great", "K", "kk|不", "é", "É|z", "好|很棒", "k|好", "i", "straße", "a.c", "x+", "(?:a|b)c", "a|", "²", "q̇"]
+TEXTS = ["GOOD", "gReAt", "K", "k", "İ", "i", "É", "é", "很棒", "好K", "STRASSE straße", "STRAßE", "abc", "XX", "bC", "", "²", "q̇", "Q̇", "ſ", "kk", "KK"]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_words_are_found_as_their_pattern_is(spark, pattern):
+    by_regex = values(spark, TEXTS, lambda c: c.rlike(f"(?i){pattern}"))
+    assert values(spark, TEXTS, lambda c: found(c, pattern)) == by_regex
+    assert values(spark, TEXTS, lambda c: found(c, pattern, fold(c))) == by_regex
+
+
+def test_plain_words():
+    assert plain_words("good|很好") == ["good", "很好"]
+    assert plain_words("a.b") is plain_words("a||b") is plain_words("aé") is None
+    assert plain_words("é|好") == ["é", "好"]
+
+
+def test_only_ascii_ignores_case(spark):
+    assert values(spark, ["É", "é", None], lambda c: found(c, "é")) == [False, True, None]
+
+
+def test_more_tags_than_a_chunk(spark):
+    tags = {f"t{i}": f"w{i}x" for i in range(120)}
+    assert values(spark, ["w3x W99X", "none", None], lambda c: matched_tags(c, tags)) == [["t3", "t99"], [], []]
+    assert values(spark, ["a"], lambda c: matched_tags(c, {})) == [[]]
+
+
+TAGS = ["a", "b1", "b2", "c d", "it's", "s-1"]
+
+
+def true_for(spark, rule, tags, group=False, objects=()):
+    held = spark.createDataFrame([(tags, list(objects))], "tags array<string>, objects array<string>")
+    text = rule_text("d", rule, TAGS, ["obj"], ["flag"], group_wildcards=group)
+    return held.withColumn("flag", F.lit(True)).select(F.expr(text)).first()[0]
+
+
+@pytest.mark.parametrize(
+    "rule, tags, expected",
+    [
+        ("a[|]b1[&]b2", ["a"], True),
+        ("(a[|]b1)[&]b2", ["a"], False),
+        ("a[-]b1", ["a"], True),
+        ("a[-]b1", ["a", "b1"], False),
+        ("a[-]b1[|]b2", ["b1", "b2"], True),
+        ("a[&]b*", ["b2"], True),
+        ("a[&]b*", ["b1"], False),
+        ("c d[&]it's", ["c d", "it's"], True),
+        (" a [&] s-1 ", ["a", "s-1"], True),
+        ("obj[&]a", ["a"], False),
+        ("flag[&]a", ["a"], True),
+    ],
+)
+def test_rules(spark, rule, tags, expected):
+    assert true_for(spark, rule, tags) is expected
+
+
+def test_grouped_wildcards(spark):
+    assert true_for(spark, "a[&]b*", ["b2"], group=True) is False
+    assert true_for(spark, "obj", [], objects=["obj"]) is True
+
+
+@pytest.mark.parametrize("rule", ["nope", "a[&]zz*", "[-]a", "a[&]", "(a", "", "A"])
+def test_bad_rules_name_their_dimension(spark, rule):
+    rows = spark.createDataFrame([([],)], "tags array<string>")
+    with pytest.raises(RuleError, match="'d'"):
+        check_rules(rows, {"fine": "true", "d": rule_text("d", rule, TAGS)})
+
+
+def test_no_rules(spark):
+    assert spark.range(1).select(F.expr(label_array({}))).first()[0] == []
