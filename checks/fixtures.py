@@ -46,28 +46,23 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
     # Strings are put together once for each part, not for each line.
-    parts = table(spark, sf_dir, "part").select(
-        "p_partkey",
-        F.concat(F.lit("场景."), "p_type").alias("scene"),
-        F.concat_ws(".", F.lit("场景"), "p_type", first).alias("sub_scene"),
-        F.concat(F.lit("TP."), second).alias("touch"),
-        F.concat_ws(".", F.lit("TP"), second, first).alias("sub_touch"),
-        F.concat_ws(".", F.lit("TP"), second, first, F.lit("deep")).alias("deep"),
-        (F.col("p_size") % 10).cast("string").alias("category"),
-        F.concat_ws("_", (F.col("p_size") % 10).cast("string"), F.substring("p_brand", 7, 100)).alias("code"),
+    root = F.lit("TP")
+    paths = F.array(
+        F.concat(F.lit("场景."), "p_type"),
+        F.concat_ws(".", F.lit("场景"), "p_type", first),
+        F.concat_ws(".", root, second),
+        F.concat_ws(".", root, second, first),
+        F.lit("TP内圈.A.场景A"),
+        F.lit("TP内圈.B.场景B"),
+        F.concat_ws(".", root, second, first, F.lit("deep")),
     )
+    category = (F.col("p_size") % 10).cast("string")
+    code = F.concat_ws("_", category, F.substring("p_brand", 7, 100))
+    parts = table(spark, sf_dir, "part").select("p_partkey", paths.alias("paths"), category.alias("category"), code.alias("code"))
     line = F.col("l_linenumber")
-    attr = (
-        F.when(line == 1, F.col("scene"))
-        .when(line == 2, F.col("sub_scene"))
-        .when(line == 3, F.col("touch"))
-        .when(line == 4, F.col("sub_touch"))
-        .when(line == 5, "TP内圈.A.场景A")
-        .when(line == 6, "TP内圈.B.场景B")
-        .otherwise(F.col("deep"))
-    )
+    attr = F.get("paths", F.when(line.between(1, 6), line - 1).otherwise(6))
     lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    paths = lines.select("l_orderkey", attr.alias("attr"))
+    attrs = lines.select("l_orderkey", attr.alias("attr"))
     # Distinct first: an order has no more of these rows than parts have categories and brands.
     facts = lines.select(
         "l_orderkey",
@@ -79,7 +74,7 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_set("code")).alias("codes"),
     )
     # A left join by the keys of a group: dropped by the optimizer where no list is asked for.
-    posts = paths.join(lists, "l_orderkey", "left").join(
+    posts = attrs.join(lists, "l_orderkey", "left").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return posts.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Mapping
 
@@ -28,37 +29,60 @@ def fold(text: Column) -> Column:
     return F.lower(text)
 
 
-def plain_words(pattern: str) -> list[str] | None:
-    """The words of a pattern that is plain words joined by ``|``, else None.
+def _is_word(text: str) -> bool:
+    """Whether ``text`` can be looked up as a substring instead of being matched.
 
-    Words with an ASCII letter may hold no other letter that has a case, as only ASCII ignores case.
+    With an ASCII letter it may hold no other letter that has a case, as only ASCII ignores case.
     """
+    if not text or REGEX_MARKS & set(text) or "\u0000" in text:
+        return False
+    cased = [c for c in text if not c.isascii() and unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lm", "Mn", "Mc", "Me")]
+    return not (cased and _lettered(text))
+
+
+def _lettered(word: str) -> bool:
+    return any(c.isascii() and c.isalpha() for c in word)
+
+
+def plain_words(pattern: str) -> list[str] | None:
+    """The words of a pattern that is plain words joined by ``|``, else None."""
     words = pattern.split("|")
-    for word in words:
-        if not word or REGEX_MARKS & set(word) or "\u0000" in word:
-            return None
-        cased = [c for c in word if not c.isascii() and unicodedata.category(c)[0] in "LM" and unicodedata.category(c) != "Lo"]
-        if cased and any(c.isascii() and c.isalpha() for c in word):
-            return None
-    return words
+    return words if all(map(_is_word, words)) else None
+
+
+# What can stand between two words: a class or a dot, however often repeated, or one of + ^ $.
+_BETWEEN_WORDS = re.compile(r"(?:\[\^?[^\[\]^\\&]+\]|\.)(?:[*+?]|\{[0-9,]+\})?[+?]?|[+^$]")
+
+
+def needed_word(pattern: str) -> str | None:
+    """A word that every match of ``pattern`` holds, if one is plain to see, else None.
+
+    Only patterns without groups, alternatives, escapes and optional letters are looked at.
+    """
+    words = [w for w in _BETWEEN_WORDS.split(pattern) if w]
+    return max(words, key=len) if words and all(map(_is_word, words)) else None
+
+
+def _holds(text: Column, word: str, folded: Column) -> Column:
+    return F.contains(folded, F.lit(word.lower())) if _lettered(word) else F.contains(text, F.lit(word))
 
 
 def found(text: Column, pattern: str, folded: Column | None = None) -> Column:
     """Whether ``pattern`` is found in ``text``; only ASCII letters ignore case. Null text gives null.
 
     Patterns of plain words are looked up as substrings, which reads the bytes of the text as they
-    are; anything else is matched as a Java regular expression.
+    are; anything else is matched as a Java regular expression, where a word it needs is there.
     """
-    words = plain_words(pattern)
-    if words is None:
-        return text.rlike(f"(?i){pattern}")
     folded = fold(text) if folded is None else folded
-    result = None
-    for word in words:
-        lettered = any(c.isascii() and c.isalpha() for c in word)
-        hit = F.contains(folded, F.lit(word.lower())) if lettered else F.contains(text, F.lit(word))
-        result = hit if result is None else result | hit
-    return result
+    words = plain_words(pattern)
+    if words is not None:
+        result = _holds(text, words[0], folded)
+        for word in words[1:]:
+            result = result | _holds(text, word, folded)
+        return result
+    matched = text.rlike(f"(?i){pattern}")
+    word = needed_word(pattern)
+    return matched if word is None else _holds(text, word, folded) & matched
 
 
 def matched_tags(text: Column, tags: Mapping[str, str], folded: Column | None = None) -> Column:

@@ -47,6 +47,8 @@ class TouchPointMetrics:
     ``people``: platform_id, user_id, people_type, regex_rule (array of angles).
     ``special_people``: id, value, state; without it there is one run, 0, over all scenes.
     ``late_angles``: whether angles are joined last; when not given it is looked up if they may be.
+    ``lists_of_post``: whether the caller knows that all rows of a post hold the same categories and
+    brands, which saves a join where they would be taken from the touch point.
 
     Every table has ``data_model``, ``people_type`` and ``people_angle`` among its keys.
     """
@@ -58,10 +60,12 @@ class TouchPointMetrics:
         special_people: DataFrame | None = None,
         scheme: AttrScheme = AttrScheme(),
         late_angles: bool | None = None,
+        lists_of_post: bool = False,
     ):
         self.scheme = scheme
         self.runs = Runs(special_people)
         self.people = people.select(*PERSON, "people_type", "regex_rule")
+        self.lists_of_post = lists_of_post
         self.late_angles = may_join_late(post_attr, people) if late_angles is None else late_angles
         rows = classed_rows(post_attr, self.runs, scheme)
         if self.late_angles:
@@ -142,7 +146,8 @@ class TouchPointMetrics:
         inside tracks and the total of all scenes go by the user and the categories of the scene.
         """
         values = ["user_id", *(["categoryids"] if category else [])]
-        picked = [c for c in values if c not in self.match]
+        same = [*self.match, *(["categoryids"] if self.lists_of_post else [])]
+        picked = [c for c in values if c not in same]
         columns = list(dict.fromkeys([*self.who, *values]))
         rest = self.rows.filter(F.col("kind") != "scene")
         marks = rest.groupBy(*self.match).agg(
@@ -164,10 +169,10 @@ class TouchPointMetrics:
         yes, no = F.lit(True), F.lit(False)
         if picked:
             pick = {c: F.when(F.col("has_tp"), F.col(f"tp_{c}")).otherwise(F.col(c)) if c in picked else F.col(c) for c in values}
-            same = _all([pick[c].eqNullSafe(F.col(c)) for c in picked])
+            equal = _all([pick[c].eqNullSafe(F.col(c)) for c in picked])
             own = lambda counted, tp: _fact({c: F.col(c) for c in values}, counted, tp, F.col("in_a"), F.col("in_b"), yes)
             other = _fact(pick, yes, F.col("has_tp"), no, no, no)
-            facts = F.when(same, F.array(own(yes, F.col("has_tp")))).otherwise(F.array(other, own(no, no)))
+            facts = F.when(equal, F.array(own(yes, F.col("has_tp")))).otherwise(F.array(other, own(no, no)))
             joined = joined.withColumn("fact", F.explode(facts)).drop(*values, "has_tp", "in_a", "in_b").select("*", "fact.*")
         else:
             joined = joined.withColumns({"counted": yes, "of_scene": yes})

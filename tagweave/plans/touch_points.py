@@ -20,6 +20,7 @@ def all_metrics(
     special_people: DataFrame | None = None,
     scheme: AttrScheme = AttrScheme(),
     late_angles: bool | None = None,
+    lists_of_post: bool = False,
     tables: Iterable[str] = tuple(TABLES),
 ) -> dict[str, DataFrame]:
     """The metric tables by name.
@@ -28,7 +29,7 @@ def all_metrics(
     a metric reads only the classes and columns it needs. Without that folder each metric starts
     from ``post_attr``.
     """
-    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, late_angles)
+    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, late_angles, lists_of_post)
     folder = staging_dir(post_attr.sparkSession)
     if folder:
         metrics.rows = stage(metrics.rows, folder, "kind")

@@ -56,11 +56,15 @@ class Runs:
 
         Rows other than scenes are in every run. Rows that are in no run are dropped.
         """
-        if self._listed is not None:
-            assigned = rows.withColumn("data_models", F.when(is_scene, self._listed_runs(word)).otherwise(self.ids()))
-        else:
-            assigned = self._join_runs(rows, is_scene, word)
-        return assigned.filter(F.size("data_models") > 0)
+        if self._listed is None:
+            return self._join_runs(rows, is_scene, word).filter(F.size("data_models") > 0)
+        runs = F.when(is_scene, self._listed_runs(word)).otherwise(self.ids())
+        # The filter is on the words, not on the array, so the array is built for rows that stay.
+        if not self._listed:
+            rows = rows.filter(F.lit(False))
+        elif not any("" in words for _, words in self._listed):
+            rows = rows.filter(~is_scene | word.isin(*sorted({w for _, words in self._listed for w in words})))
+        return rows.withColumn("data_models", runs)
 
     def _listed_runs(self, word: Column) -> Column:
         whole = {run for run, words in self._listed if "" in words}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import brand_of, category_of, last_segment, n_segments, piece, segment
-from tagweave.functions.patterns import clauses, fold, found, matched_tags, plain_words
+from tagweave.functions.patterns import clauses, fold, found, matched_tags, needed_word, plain_words
 from tagweave.functions.rules import RuleError, check_rules, label_array, rule_text
 
 
@@ -40,8 +40,8 @@ def test_clauses_drop_empty_ends_only(spark):
     assert values(spark, texts, clauses) == expected
 
 
-PATTERNS = ["good|great", "K", "kk|不", "é", "É|z", "好|很棒", "k|好", "i", "straße", "a.c", "x+", "(?:a|b)c", "a|", "²", "q̇"]
-TEXTS = ["GOOD", "gReAt", "K", "k", "İ", "i", "É", "é", "很棒", "好K", "STRASSE straße", "STRAßE", "abc", "XX", "bC", "", "²", "q̇", "Q̇", "ſ", "kk", "KK"]
+PATTERNS = ["good|great", "K", "kk|不", "é", "É|z", "好|很棒", "k|好", "i", "straße", "a.c", "x+", "(?:a|b)c", "a|", "²", "q̇", "[a-z]+@k", "[0-9]{2}-", "ab+c", "b{0}c", "[^k]K$", "ab?c", "a.{0,2}c", "[a-z]*?k", "x[^a]?k"]
+TEXTS = ["GOOD", "gReAt", "K", "k", "İ", "i", "É", "é", "很棒", "好K", "STRASSE straße", "STRAßE", "abc", "XX", "bC", "", "²", "q̇", "Q̇", "ſ", "kk", "KK", "x@K", "é@k", "12-", "ABBC", "ac", "xK"]
 
 
 @pytest.mark.parametrize("pattern", PATTERNS)
@@ -57,6 +57,14 @@ def test_plain_words():
     assert plain_words("é|好") == ["é", "好"]
 
 
+def test_needed_word():
+    assert needed_word("[a-z0-9._]+@[a-z0-9.]+") == "@" and needed_word("[0-9]{3}-[0-9]{4}") == "-"
+    assert needed_word("ab.cde+") == "cde" and needed_word("^x[^y]*z$") in ("x", "z")
+    assert needed_word("好.{0,5}奶粉") == "奶粉" and needed_word("[a-z]{0,2}?b") == "b"
+    for unclear in ("a?", "ab*", "a|b.", "(ab)c", r"\bab", "a{0}b", "b+?a", "[[a]b]c", "[a-z]", "aé."):
+        assert needed_word(unclear) is None
+
+
 def test_only_ascii_ignores_case(spark):
     assert values(spark, ["É", "é", None], lambda c: found(c, "é")) == [False, True, None]
 

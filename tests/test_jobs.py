@@ -54,6 +54,14 @@ def test_runs_limit_scenes_by_last_word(spark):
     assert {r.data_model for r in rows if r.attr_type == "tp"} == {1, 2, 4, 5, 6}
 
 
+def test_only_limited_runs_drop_scenes_of_none(spark):
+    runs = spark.createDataFrame([(2, "x", 4), (3, "y", 2)], RUNS)
+    rows = classify_attrs(attrs(spark, "场景.H", "场景.H.x", "TP.s"), runs).collect()
+    assert {(r.data_model, r.attr) for r in rows} == {(2, "场景.H.x"), (2, "H"), (2, "s"), (3, "s")}
+    none = spark.createDataFrame([(4, ",", 2)], RUNS)
+    assert typed(classify_attrs(attrs(spark, "场景.H", "TP.s"), none)) == [("tp", "s")]
+
+
 def test_audience_gives_one_row_per_angle(spark):
     people = spark.createDataFrame([("1", "u", "a", ["N", "VIP"]), ("2", "u", "a", ["S"]), ("1", "u", "b", [])], PEOPLE)
     rows = audience(classify_attrs(attrs(spark, "TP.s", "TP.s")), people)
@@ -147,6 +155,30 @@ def test_no_metric_multiplies_tables(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("name", ["tpa_scene_data", "tpa_subscene_data", "tpa_tp_data"])
+def test_sorted_and_split_joins_give_the_same(spark, name):
+    """Without broadcasts and with every partition counted as skewed, as at a larger scale."""
+    inputs = fx.post_attr(spark, SMALL), fx.people(spark, SMALL), fx.special_people(spark)
+    usual = sorted(map(tuple, TouchPointMetrics(*inputs, late_angles=True).table(name).collect()), key=repr)
+    large = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {key: spark.conf.get(key, None) for key in large}
+    try:
+        for key, value in large.items():
+            spark.conf.set(key, value)
+        split = TouchPointMetrics(*inputs, late_angles=True).table(name)
+        assert sorted(map(tuple, split.collect()), key=repr) == usual
+        assert "SortMergeJoin(skew=true)" in plan_of(split) and "BroadcastHashJoin" not in plan_of(split)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "post_attr")
     fx.post_attr(spark, SMALL).write.parquet(path)
