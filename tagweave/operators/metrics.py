@@ -155,7 +155,9 @@ class TouchPointMetrics:
             self.runs.of_any(F.col("kind") == "scene_A").alias("a_runs"),
             self.runs.of_any(F.col("kind") == "scene_B").alias("b_runs"),
         )
-        joined = self._scenes().join(marks, self.match, "left")
+        wanted = dict.fromkeys([*self.match, *values, "data_models", "scene"])
+        # Distinct before the join, so that a post has no more rows than it has different scenes.
+        joined = self._scenes().select(*wanted).distinct().join(marks, self.match, "left")
         if picked:
             sides = self._touches("tp", "sub_tp").select(*self.match, *[F.col(c).alias(f"tp_{c}") for c in picked])
             joined = joined.join(sides.distinct(), self.match, "left")
@@ -250,7 +252,8 @@ class TouchPointMetrics:
         Only the middle one depends on the run; the others are counted once for all runs.
         """
         scened = self._by_run(self._scenes().select(*self.match, "data_models")).distinct()
-        touches = self._touches("tp").join(scened, self.match, "left")
+        wanted = dict.fromkeys([*self.match, "user_id", "tp"])
+        touches = self._touches("tp").select(*wanted).distinct().join(scened, self.match, "left")
         users = self._of_users(touches.select(*self.who, "tp", RUN))
         keys = [*ANGLE, "tp"]
         grains = grain_counts(users, [*keys, RUN], [keys, ANGLE, [*keys, RUN]])
