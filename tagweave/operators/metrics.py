@@ -106,7 +106,8 @@ class TouchPointMetrics:
         return joined.drop("regex_rule", "platform_id")
 
     def _by_run(self, facts: DataFrame) -> DataFrame:
-        return facts.withColumn(RUN, F.explode("data_models")).drop("data_models")
+        # No list is empty here. A plain explode would have Spark build each list twice, once to check.
+        return facts.withColumn(RUN, F.explode_outer("data_models")).drop("data_models")
 
     # ---- tables --------------------------------------------------------------------------------
 

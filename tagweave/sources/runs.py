@@ -71,8 +71,9 @@ class Runs:
         named = {run: set(words) for run, words in self._listed if run not in whole}
         if not named:
             return _literal_ids(whole)
-        hits = [F.when(word.isin(*sorted(named[run])), F.lit(run).cast("bigint")) for run in sorted(named)]
-        return F.sort_array(F.concat(_literal_ids(whole), F.array_compact(F.array(*hits))))
+        none = _literal_ids(set())
+        hits = [F.when(word.isin(*sorted(named[run])), _literal_ids({run})).otherwise(none) for run in sorted(named)]
+        return F.sort_array(F.concat(_literal_ids(whole), *hits))
 
     def _join_runs(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
         whole = F.array_contains("words", "")
