@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagweave.llm import bpe, decontaminate, exact_dedup
+from pyspark.sql import functions as F
+
+from tagweave.llm import bpe, decontaminate, exact_dedup, pii, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -16,10 +18,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A page's outcome is the quality that is given for its id.
+    outcomes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -30,7 +51,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op5_bpe": op5_bpe,
+    "op6_url_filter": op6_url_filter,
     "op9_decontaminate": op9_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
 }
