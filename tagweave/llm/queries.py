@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, exact_dedup, pii, url_filter
+from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, pii, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -31,6 +31,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -41,6 +45,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -52,8 +60,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
+    "op3_toxicity": op3_toxicity,
     "op5_bpe": op5_bpe,
     "op6_url_filter": op6_url_filter,
+    "op8_html_extraction": op8_html_extraction,
     "op9_decontaminate": op9_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
 }
