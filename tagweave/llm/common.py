@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,3 +54,57 @@ def slices(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBat
     starts = np.flatnonzero(np.diff(part, prepend=-1))
     for begin, end in zip(starts, [*starts[1:], len(part)]):
         yield batch.slice(int(begin), int(end - begin))
+
+
+BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_lower = np.arange(256, dtype=np.uint8)
+_lower[65:91] += 32
+
+
+class Words:
+    """Words of many texts, as bytes with A-Z lower-cased: where they lie, whose they are, their hashes."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray):
+        inside = is_word[data]
+        before = np.zeros(len(data) + 1, bool)
+        before[1:] = inside
+        after = np.zeros(len(data) + 1, bool)
+        after[:-1] = inside
+        before[bounds] = False  # no word goes on from one text to the next
+        after[bounds] = False
+        self.start = np.flatnonzero(inside & ~before[:-1])
+        self.end = np.flatnonzero(inside & ~after[1:]) + 1
+        self.text = np.searchsorted(bounds, self.start, side="right") - 1
+        self.length = self.end - self.start
+        self._chars = np.flatnonzero(inside)
+        self._low = _lower[data[self._chars]]
+        first = np.cumsum(self.length) - self.length
+        self._within = np.arange(len(self._chars)) - np.repeat(first, self.length)
+        power = np.ones(int(self.length.max(initial=0)) + 1, np.uint64)
+        np.cumprod(np.full(len(power) - 1, BASE), out=power[1:])
+        valued = (self._low.astype(np.uint64) + np.uint64(1)) * power[self._within]
+        code = np.add.reduceat(valued, first) if len(first) else np.zeros(0, np.uint64)
+        code ^= code >> np.uint64(29)
+        self.code = code * BASE
+
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words of all windows of n words within one text, and the windows' hashes."""
+        count = max(0, len(self.code) - n + 1)
+        total = np.zeros(count, np.uint64)
+        for k in range(n):
+            total = total * STEP + self.code[k : k + count]
+        at = np.flatnonzero(self.text[:count] == self.text[n - 1 : n - 1 + count])
+        return at, total[at]
+
+    @cached_property
+    def _plain(self) -> tuple[np.ndarray, bytes]:
+        """All words with one space after each, and where each of them begins."""
+        place = np.cumsum(self.length + 1) - (self.length + 1)
+        plain = np.full(int((self.length + 1).sum()), 32, np.uint8)
+        plain[self._within + np.repeat(place, self.length)] = self._low
+        return place, plain.tobytes()
+
+    def bytes_of(self, first: int, n: int) -> bytes:
+        """A window as its words with single spaces between."""
+        place, plain = self._plain
+        return plain[place[first] : place[first + n - 1] + self.length[first + n - 1]]

@@ -26,65 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.llm.common import byte_rows, slices
+from tagweave.llm.common import Words, byte_rows, slices
 
 WINDOW = 13
 SHARE = 20  # a document is contaminated if one in so many of its words is hit
 BLOCK_BYTES, PART_BYTES = 2_000_000, 2_000_000
-BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 _chars = np.arange(256)
-_is_word = (_chars >= 128) | ((_chars >= 48) & (_chars <= 57)) | ((_chars >= 65) & (_chars <= 90)) | ((_chars >= 97) & (_chars <= 122))
-_lower = np.where(_is_word, np.where((_chars >= 65) & (_chars <= 90), _chars + 32, _chars), 0).astype(np.uint8)
-
-
-class Words:
-    """Words of many texts: where they lie, their hashes, and the texts made of words and single spaces."""
-
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
-        low = _lower[data]
-        inside = low > 0
-        before = np.zeros(len(low) + 1, bool)
-        before[1:] = inside
-        after = np.zeros(len(low) + 1, bool)
-        after[:-1] = inside
-        before[bounds] = False  # no word goes on from one text to the next
-        after[bounds] = False
-        self.start = np.flatnonzero(inside & ~before[:-1])
-        self.end = np.flatnonzero(inside & ~after[1:]) + 1
-        length = self.end - self.start
-        self.place = np.cumsum(length + 1) - (length + 1)
-        chars = np.flatnonzero(inside)
-        first = np.cumsum(length) - length
-        within = np.arange(len(chars)) - np.repeat(first, length)
-        plain = np.full(int((length + 1).sum()), 32, np.uint8)
-        plain[within + np.repeat(self.place, length)] = low[chars]
-        self.plain = plain.tobytes()
-        self.length = length
-        self.text = np.searchsorted(bounds, self.start, side="right") - 1
-        power = np.ones(int(length.max(initial=0)) + 1, np.uint64)
-        np.cumprod(np.full(len(power) - 1, BASE), out=power[1:])
-        valued = (low[chars].astype(np.uint64) + np.uint64(1)) * power[within]
-        code = np.add.reduceat(valued, first) if len(first) else np.zeros(0, np.uint64)
-        code ^= code >> np.uint64(29)
-        self.code = code * BASE
-
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """First words of all windows of n words within one text, and the windows' hashes."""
-        count = max(0, len(self.code) - n + 1)
-        total = np.zeros(count, np.uint64)
-        for k in range(n):
-            total = total * STEP + self.code[k : k + count]
-        at = np.flatnonzero(self.text[:count] == self.text[n - 1 : n - 1 + count])
-        return at, total[at]
-
-    def bytes_of(self, first: int, n: int) -> bytes:
-        return self.plain[self.place[first] : self.place[first + n - 1] + self.length[first + n - 1]]
+IS_WORD = (_chars >= 128) | ((_chars >= 48) & (_chars <= 57)) | ((_chars >= 65) & (_chars <= 90)) | ((_chars >= 97) & (_chars <= 122))
 
 
 def _index(items: list[tuple[str, str]]) -> dict[int, tuple[np.ndarray, dict[bytes, list[str]]]]:
     """By window length: a bit for each hash that occurs, and the items of each window."""
-    words = Words(*byte_rows(pa.array([text for _, text in items], pa.string())))
+    words = Words(*byte_rows(pa.array([text for _, text in items], pa.string())), IS_WORD)
     count = np.bincount(words.text, minlength=len(items))
     found: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
     codes: dict[int, list[np.ndarray]] = defaultdict(list)
@@ -125,7 +79,7 @@ def _scan(index):
     def part_of(batch: pa.RecordBatch, tables) -> pa.RecordBatch:
         names = batch.schema.names
         data, bounds = byte_rows(batch.column(names.index("text")))
-        words = Words(data, bounds)
+        words = Words(data, bounds, IS_WORD)
         edge = np.zeros(len(words.code) + 1, np.int32)
         first = np.searchsorted(words.text, np.arange(batch.num_rows + 1))
         spans = batch.column(names.index("_hit_spans")).to_pylist()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, pii, toxicity, url_filter
+from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, minhash, pii, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -35,6 +35,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -61,6 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
+    "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
     "op6_url_filter": op6_url_filter,
     "op8_html_extraction": op8_html_extraction,
