@@ -57,10 +57,17 @@ def slices(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBat
 
 
 BASE, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * MIX1
+    x = (x ^ (x >> np.uint64(27))) * MIX2
+    return x ^ (x >> np.uint64(31))
+
+
 class Words:
     """Words of many texts, as bytes with A-Z lower-cased: where they lie, whose they are, their hashes."""
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.llm.common import STEP, Words, byte_rows, slices, stage
+from tagweave.llm.common import MIX1, MIX2, STEP, Words, byte_rows, mixed, slices, stage
 from tagweave.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -44,13 +44,6 @@ PART_BYTES = 3_000_000
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +102,7 @@ def super_minhash(codes: np.ndarray, bounds: np.ndarray, slots: int = SLOTS) ->
 def bands_of(low: np.ndarray) -> np.ndarray:
     """A hash for each band of slots, the number of the band included."""
     parts = low.astype(np.uint64).reshape(len(low), BANDS, ROWS)
-    total = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * _M2, (len(low), 1))
+    total = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * MIX2, (len(low), 1))
     for k in range(ROWS):
         total = mixed(total * STEP + parts[:, :, k])
     return total.astype(np.int64)
@@ -127,7 +120,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = bands_of(super_minhash(codes, bounds))
             filled = np.diff(bounds) > 0
             lists = pa.array([b if f else [] for b, f in zip(bands, filled)], pa.list_(pa.int64()))
-            sums = [pa.array(_sums(mixed(codes ^ key), bounds)) for key in (_M1, _M2)]
+            sums = [pa.array(_sums(mixed(codes ^ key), bounds)) for key in (MIX1, MIX2)]
             columns = [batch.column(0), pa.array(np.diff(bounds)), *sums, lists]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sum1", "sum2", "bands"])
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, minhash, pii, toxicity, url_filter
+from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, minhash, pii, suffix_dedup, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,6 +27,10 @@ URL_RULES = [
 ]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(_table(spark, sf_dir, "documents")).drop("found")
 
@@ -63,6 +67,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_pii": op2_pii,
     "op3_toxicity": op3_toxicity,
     "op4_minhash": op4_minhash,
