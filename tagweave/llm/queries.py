@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, minhash, pii, suffix_dedup, toxicity, url_filter
+from tagweave.llm import bpe, decontaminate, exact_dedup, html_extract, minhash, pii, substring_dedup, suffix_dedup, toxicity, url_filter
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -53,6 +53,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
     "op6_url_filter": op6_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_decontaminate": op9_decontaminate,
     "op10_exact_dedup": op10_exact_dedup,
