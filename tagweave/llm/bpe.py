@@ -10,7 +10,8 @@ The tokenizer is the content of a JSON file of the tokenizers library, read on t
 to tasks. Supported are BPE models with byte-level characters, an end-of-word suffix, a split
 pattern that keeps its matches and the normalizers NFC, white space to a space, lower case; anything
 else is an error. As the pattern matches no white space, replacing white space changes nothing and
-is left out. A decoder of null joins tokens with one space.
+is left out. Words are split with Python's tables of characters; only a text with characters that
+these do not know is split by the library itself. A decoder of null joins tokens with one space.
 
 Defined results: a null or empty text has no tokens, and the digests are those of the empty string;
 repeated rows each give a row; further columns are not read. No text is cut, whatever its length.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from tagweave.llm.common import slices
 
@@ -41,10 +44,24 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(moved)) for b in range(256)]
 
 
+def unassigned() -> re.Pattern:
+    """Any character without a category in Python's tables."""
+    ranges, start = [], None
+    for code in range(0x80, sys.maxunicode + 2):
+        free = code <= sys.maxunicode and unicodedata.category(chr(code)) == "Cn"
+        if free and start is None:
+            start = code
+        elif not free and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{code - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}]")
+
+
 class WordBpe:
     """Encodes texts by one tokenizer; keeps what it has learned about words, tokens and pairs."""
 
     def __init__(self, spec: str):
+        self.spec, self.library, self.unsure = spec, None, unassigned().search
         spec = json.loads(spec)
         model, split = spec["model"], spec["pre_tokenizer"]
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -165,6 +182,14 @@ class WordBpe:
                 tokens = proposed[k]
             self.known[word] = " ".join(map(str, tokens)), " ".join(self.name[t] for t in tokens)
 
+    def _split_by_library(self, text: str) -> list[str]:
+        """Words of a text with characters that Python's tables do not know yet, whose case and kind may have changed."""
+        if self.library is None:
+            self.library = Tokenizer.from_str(self.spec)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        byte = {letter: b for b, letter in enumerate(self.letters)}
+        return [bytes(byte[c] for c in piece).decode() for piece, _ in pieces]
+
     def split(self, text: str) -> list[str]:
         """The words of a text after normalizing, and special tokens as they are."""
         pieces = self.special.split(text) if self.special and "<" in text else [text]
@@ -172,6 +197,8 @@ class WordBpe:
         for k, piece in enumerate(pieces):
             if k % 2:
                 words.append(piece)
+            elif not piece.isascii() and self.unsure(piece):
+                words += self._split_by_library(piece)
             elif piece:
                 plain = piece if piece.isascii() else unicodedata.normalize("NFC", piece).replace("Σ", "σ")
                 words += self.words(plain.lower())

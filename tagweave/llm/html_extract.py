@@ -4,7 +4,8 @@ A page is read as a sequence of text nodes, each with the path of tags from the
 path, text length and punctuation marks are divided by its number of nodes; both ratios are
 smoothed along the page, multiplied, and averaged by path. Paths that reach a share of the page's
 mean are content. The content's smallest common element is the article, from which all blocks are
-taken that do not lie in a part without content, so that a heading or a short line belongs to it.
+taken but for parts that are mostly links, so that a heading or a short line belongs to it; if that
+element is the whole page, parts without content are left out as well.
 
 Nodes in elements that are never an article (navigation, footers, forms, scripts ...), or whose
 class or id says so (adverts, notices, sidebars, reader comments ...), take no part in any of this.
@@ -70,7 +71,7 @@ class _Page:
     """Elements by number with parent, tag, path and whether they can hold content; text nodes in order."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.open_to = [-1], [""], [0], [True]
+        self.parent, self.tag, self.path, self.open_to, self.linked = [-1], [""], [0], [True], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.nodes: list[tuple[int, str, int]] = []  # element, text, block
         self.block = 0
@@ -116,6 +117,7 @@ class _Page:
         self.tag.append(name)
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1))
         self.open_to.append(self.open_to[above] and not never)
+        self.linked.append(self.linked[above] or name == "a")
         stack.append(len(self.tag) - 1)
 
     def _close(self, stack: list[int], name: str) -> None:
@@ -207,10 +209,17 @@ def main_text(source: str) -> str:
             line = page.up(element)
             places[element] = (line[depth] if len(line) > depth else root) if len(line) >= depth and line[depth - 1] == root else -1
         if places[element] >= 0:
-            sums = parts.setdefault(places[element], [0, 0])
+            sums = parts.setdefault(places[element], [0, 0, 0])
             sums[page.path[element] in content] += len(text)
-    # A part of the article stays if most of its text is content, and so does any single block.
-    kept = {p for p, (other, mine) in parts.items() if p == root or mine >= other or page.tag[p] in LEAF or page.tag[p] not in BLOCK}
+            sums[2] += len(text) if page.linked[element] else 0
+    # A part of the article stays if most of its text is content, or if it is one block. So does any
+    # other part that is not mostly links, unless the article is the whole page.
+    whole = page.tag[root] in ("", "html", "body")
+    kept = set()
+    for part, (other, mine, linked) in parts.items():
+        single = part == root or page.tag[part] in LEAF or page.tag[part] not in BLOCK
+        if mine >= other or single or not (whole or 2 * linked > other + mine):
+            kept.add(part)
     blocks: dict[int, list[str]] = defaultdict(list)
     for element, text, block in page.nodes:
         if places.get(element, places.get(page.parent[element], -1)) in kept:

@@ -155,9 +155,10 @@ def _comparable(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each document."""
+    docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(c, T.LongType()) for c in ("n", "sum1", "sum2")), T.StructField("bands", T.ArrayType(T.LongType()))])
-    rows = stage(docs.select("doc_id", "text").mapInArrow(_sketch, schema), "sketches")
+    rows = stage(docs.mapInArrow(_sketch, schema), "sketches")
     sets = ["sum1", "sum2", "n"]
     classes = stage(rows.filter("n > 0").groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
 

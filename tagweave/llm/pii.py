@@ -47,7 +47,7 @@ WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,40}+ ?[(\[](?:at|AT|@)[)\]] ?[A-Za-z0-9-]++(?: ?(?:[(\[](?:dot|DOT)[)\]]|\.) ?[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){7}+(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,14}+(?![ -]?[0-9])",
-    "phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3} )\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
+    "phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3} )\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![.-]?[0-9])",
 }
 #: What a text must hold for a pattern to be tried, cheaper than the pattern.
 NEEDS = {

@@ -36,7 +36,7 @@ from tagweave.llm.common import slices
 
 TRAIN_ROWS, TRAIN_CHARS, PART_BYTES = 2000, 20_000, 4_000_000
 PASSAGE, GRAMS, BUCKETS, SIZE = 32, (3, 4, 5), 1 << 15, 8
-ROUNDS, WARM, BATCH, RATE = 6, 1, 256, 0.5
+ROUNDS, WARM, BATCH, RATE, STEPS = 6, 1, 256, 0.5, 400
 TOXIC_FROM, KNOWN_WORDS = 0.3, 500_000
 
 words_of = re.compile(r"[^\W_]+").findall
@@ -78,9 +78,10 @@ class Model:
         flat = np.concatenate(of_word)
         first = np.cumsum(sizes) - sizes
         heat = np.full(BUCKETS, 1e-8)
-        for turn in range(ROUNDS):
+        rounds = max(ROUNDS, -(-STEPS * BATCH // len(passages)))  # small samples take more rounds
+        for turn in range(rounds):
             chosen = np.arange(len(passages))
-            if turn >= WARM:
+            if turn >= WARM * rounds // ROUNDS:
                 score = model._scores_of(passages, flat, first, sizes)
                 order = np.lexsort((-score, owner))
                 top = order[np.diff(owner[order], prepend=-1) > 0]
