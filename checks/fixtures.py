@@ -32,7 +32,8 @@ DIMENSIONS = {
 OBJECTS = ["suffix"]
 FX1 = Lexicon("fx1", TAGS, DIMENSIONS, OBJECTS)
 
-SPECIAL_PEOPLE = [(1, "", 2), (2, "ECONOMY,small", 4), (3, "PROMO", 0)]
+# Run 2 is given by two rows with a word in common, and a row without an id is no run.
+SPECIAL_PEOPLE = [(1, "", 2), (2, "ECONOMY,small", 4), (2, "small,blue", 2), (3, "PROMO", 0), (4, "blue", 4), (None, "small", 2)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +88,33 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``post_attr``, but with an author and lists for each line, so that rows of a post differ in them."""
+    part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    line = F.col("l_linenumber")
+    attr = (
+        F.when(line == 1, F.concat(F.lit("场景."), "p_type"))
+        .when(line == 2, F.concat_ws(".", F.lit("场景"), "p_type", first))
+        .when(line == 3, F.concat_ws(".", F.lit("TP"), second))
+        .when(line == 4, F.concat_ws(".", F.lit("TP"), second, first))
+        .when(line == 5, "TP内圈.A.场景A")
+        .when(line == 6, "TP内圈.B.场景B")
+        .otherwise(F.concat_ws(".", F.lit("TP"), second, first, F.lit("deep")))
+    )
+    category = (F.col("p_size") % 10).cast("string")
+    return lines.select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        (F.col("o_custkey") + line % 3).cast("string").alias("user_id"),
+        F.substring("o_orderpriority", 1, 1).alias("platform_id"),
+        F.when(F.col("l_returnflag") != "N", F.array(category)).alias("categoryids"),
+        F.when(F.col("l_linestatus") == "O", F.array(F.concat_ws("_", category, F.substring("p_brand", 7, 100)))).alias("brands"),
+        attr.alias("attr"),
+    )
+
+
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers on some of five platforms, with their region, and maybe ``VIP``, as angles."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

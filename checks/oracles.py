@@ -69,7 +69,11 @@ in_run as (
 
 
 ONE_RUN = _runs([(0, "")])
-ALL_RUNS = _runs([(i, v) for i, v, state in SPECIAL_PEOPLE if state in (2, 4)])
+_WORDS: dict[int, list[str]] = {}
+for _id, _value, _state in SPECIAL_PEOPLE:
+    if _state in (2, 4) and _id is not None:
+        _WORDS.setdefault(_id, []).append(_value)
+ALL_RUNS = _runs([(i, ",".join(values)) for i, values in _WORDS.items()])
 
 TYPED = """
 typed as (
@@ -92,6 +96,41 @@ tp as (
 ins as (select * from aud where kind in ('scene_A', 'scene_B'))"""
 
 
+# Posts of which each line has its own author and lists.
+OWN_LINES = """
+lines as (
+  select cast(o.o_orderkey as varchar) as id, cast(o.o_custkey + l.l_linenumber % 3 as varchar) as user_id,
+         substring(o.o_orderpriority, 1, 1) as platform_id,
+         case l.l_linenumber
+           when 1 then '场景.' || p.p_type
+           when 2 then '场景.' || p.p_type || '.' || split_part(p.p_name, ' ', 1)
+           when 3 then 'TP.' || split_part(p.p_name, ' ', 2)
+           when 4 then 'TP.' || split_part(p.p_name, ' ', 2) || '.' || split_part(p.p_name, ' ', 1)
+           when 5 then 'TP内圈.A.场景A'
+           when 6 then 'TP内圈.B.场景B'
+           else 'TP.' || split_part(p.p_name, ' ', 2) || '.' || split_part(p.p_name, ' ', 1) || '.deep' end as attr,
+         case when l.l_returnflag <> 'N' then cast(p.p_size % 10 as varchar) end as cat,
+         case when l.l_linestatus = 'O' then cast(p.p_size % 10 as varchar) || '_' || substring(p.p_brand, 7) end as brand
+  from orders o join lineitem l on o.o_orderkey = l.l_orderkey join part p on l.l_partkey = p.p_partkey)"""
+
+OWN_PATHS = PATHS.replace("platform_id, attr,", "platform_id, attr, cat, brand,")
+
+OWN_JOINED = """
+aud as (
+  select r.*, p.people_type, p.people_angle from in_run r join people p on r.user_id = p.user_id and r.platform_id = p.platform_id),
+a as (select distinct data_model, people_type, people_angle, platform_id, id, user_id, cat, brand, split_part(attr, '.', 2) as scene
+      from aud where kind = 'scene'),
+b as (select distinct data_model, people_type, people_angle, platform_id, id, user_id, cat, brand, kind,
+             case when kind = 'tp' then split_part(attr, '.', 2) else attr end as tp from aud where kind in ('tp', 'sub_tp')),
+c as (select distinct data_model, people_type, people_angle, platform_id, id, kind from aud where kind in ('scene_A', 'scene_B')),
+joined as (
+  select data_model, people_type, people_angle, platform_id, id, scene, tp, b.kind,
+         case when b.tp is null then a.user_id else b.user_id end as user_id,
+         case when b.tp is null then a.cat else b.cat end as cat,
+         case when b.tp is null then a.brand else b.brand end as brand
+  from a full join b using (data_model, people_type, people_angle, platform_id, id))"""
+
+
 def _with(*parts: str) -> str:
     return "with " + ",".join(parts)
 
@@ -155,6 +194,31 @@ total as (select {_KEYS}, category, count(distinct user_id) as tp_all_user from
 select {_KEYS}, category, tp, user_count, coalesce(brand_all_user, 0) as brand_all_user, tp_all_user
 from by_cat left join by_brand using ({_KEYS}, category, tp) left join total using ({_KEYS}, category)"""
 
+_OWN = _with(OWN_LINES, PEOPLE, OWN_PATHS, ALL_RUNS, OWN_JOINED)
+_OWN_ONE = _with(OWN_LINES, PEOPLE, OWN_PATHS, ONE_RUN, OWN_JOINED)
+
+
+def _own_scene(category: bool) -> str:
+    cat = ", try_cast(cat as integer) as category" if category else ""
+    given = "cat is not null" if category else "true"
+    key = f"{_KEYS}{', category' if category else ''}"
+    return f"""{_OWN},
+own as (
+  select {_KEYS}{cat}, scene, count(distinct user_id) as user_count,
+         count(distinct case when tp is not null then user_id end) as tp_user
+  from joined where scene is not null and {given} group by all),
+inside as (
+  select {_KEYS}{cat}, scene, count(distinct a.user_id) as inside_track_user,
+         count(distinct case when c.kind = 'scene_A' then a.user_id end) as inside_track_A_user,
+         count(distinct case when c.kind = 'scene_B' then a.user_id end) as inside_track_B_user
+  from a join c using ({_POST}) where {given} group by all),
+total as (select {_KEYS}{cat}, count(distinct user_id) as all_scene_user from a where {given} group by all)
+select {key}, scene, user_count, tp_user, coalesce(inside_track_user, 0) as inside_track_user,
+       coalesce(inside_track_A_user, 0) as inside_track_A_user, coalesce(inside_track_B_user, 0) as inside_track_B_user,
+       coalesce(all_scene_user, 0) as all_scene_user
+from own left join inside using ({key}, scene) left join total using ({key})"""
+
+
 _TYPED_ONE = _with(LINES, PATHS, ONE_RUN, TYPED)
 _TEXTS = "left join cat_text using (id) left join brand_text using (id)"
 
@@ -245,6 +309,31 @@ from (select * from tp where kind = 'tp') join codes using (id) group by all""",
     "tp_category_metrics": TP_CATEGORY_METRICS,
     "metric_rows": f"""select category, scene, user_count, tp_user, all_scene_user, people_type, people_angle,
   cast('2018-04-14' as date) as daterange, data_model from ({_scene(True)})""",
+    "line_scene_metrics": _own_scene(False),
+    "line_scene_category_metrics": _own_scene(True),
+    "line_scene_tp_category_metrics": f"""{_OWN},
+base as (
+  select {_KEYS}, scene, try_cast(cat as integer) as category, user_id,
+         case when kind = 'sub_tp' then split_part(tp, '.', 2) else 'self' end as parent_tp,
+         case when kind = 'sub_tp' then split_part(tp, '.', 3) else tp end as tp
+  from joined where scene is not null and tp is not null and cat is not null),
+own as (select {_KEYS}, scene, parent_tp, tp, category, count(distinct user_id) as user_count from base group by all),
+in_scene as (select {_KEYS}, scene, category, count(distinct user_id) as tp_user_count from base group by all),
+in_tp as (select {_KEYS}, parent_tp, tp, category, count(distinct user_id) as scene_user_count from base group by all)
+select {_KEYS}, scene, parent_tp, tp, category, user_count, tp_user_count, scene_user_count
+from own left join in_scene using ({_KEYS}, scene, category) left join in_tp using ({_KEYS}, parent_tp, tp, category)""",
+    "line_tp_metrics": f"""{_OWN},
+own as (
+  select {_KEYS}, tp, count(distinct user_id) as user_count, count(distinct case when scene is not null then user_id end) as scene_user
+  from joined where kind = 'tp' group by {_KEYS}, tp),
+total as (select {_KEYS}, count(distinct user_id) as tp_all_user from b where kind = 'tp' group by all)
+select {_KEYS}, tp, scene_user, user_count, tp_all_user from own left join total using ({_KEYS})""",
+    "line_scene_touch": f"""{_OWN_ONE}
+select people_type, people_angle, platform_id, id, user_id, scene, tp, kind as attr_type, cat as categories, brand as brands from joined""",
+    "appended_metric": f"""select scene, user_count, people_angle, people_type, data_model, cast('2018-05-14' as date) as daterange
+from ({_scene(False)})""",
+    "orc_labels": f"""with {TAGGED}, {FLAGGED}, {UNITS}
+select id, attr from ({_labels('units')}) join documents on doc_id = id where lang <> 'de'""",
     "tag_posts": f"with {TAGGED} select id, unnest(tags) as tag from tagged",
     "tag_columns": "select doc_id as id, " + ", ".join(f'{_hit(t, "text")} as "{t}"' for t in TAGS) + " from documents",
     "tag_objects": f"with {TAGGED}, {FLAGGED} select id, 'suffix' as object, len(tags) as tag_count from flagged where hits >= 2",

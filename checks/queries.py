@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from tagweave.operators.tagging import (
     tag_columns,
     tag_posts,
 )
-from tagweave.sinks.tables import align_to_target
+from tagweave.plans.tagging import tag_table
+from tagweave.sinks.tables import align_to_target, append_metric, save_orc
 from tagweave.sources.lexicon import lexicon_entries, load_lexicon
+from tagweave.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +47,39 @@ def _metric(name: str) -> Query:
     return query
 
 
+def _job_metric(name: str) -> Query:
+    """A metric as the job makes it for posts whose rows differ in author and lists: angles first."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inputs = fx.line_posts(spark, sf_dir), fx.people(spark, sf_dir), fx.special_people(spark)
+        return TouchPointMetrics(*inputs, late_angles=False).table(name)
+
+    return query
+
+
+def _scene_touch_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = audience(classify_attrs(fx.line_posts(spark, sf_dir)), fx.people(spark, sf_dir))
+    return _joined(scene_touch(rows, ["data_model", *ANGLE])).drop("data_model")
+
+
+def _orc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the tagging job written as an ORC table, and read back with a filter and spread by id."""
+    name = f"labels_{uuid.uuid4().hex}"
+    labels = tag_table(spark, fx.lexicon_rules(spark), "fx1", f"{sf_dir}/documents.parquet", rename={"doc_id": "id", "text": "content"})
+    save_orc(labels.select("id", "attr", "lang"), name)
+    return read_table(spark, name, "lang <> 'de'").repartition(4, "id").select("id", "attr")
+
+
+def _appended_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric appended for two dates to a table with fewer columns, and read back for one of them."""
+    name = f"metric_{uuid.uuid4().hex}"
+    spark.sql(f"create table {name} (scene string, user_count bigint, people_angle string, people_type string, data_model bigint, daterange date) using parquet")
+    metric = _metric("tpa_scene_data")(spark, sf_dir)
+    for date in ("2018-04-14", "2018-05-14"):
+        append_metric(metric, name, date)
+    return read_table(spark, name, "daterange = date '2018-05-14'")
+
+
 def _classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(classify_attrs(fx.post_attr(spark, sf_dir)))
 
@@ -124,6 +160,13 @@ QUERIES: dict[str, Query] = {
     "tp_brand_metrics": _metric("tpa_tp_brand_data"),
     "tp_category_metrics": _metric("tpa_tp_category_data"),
     "metric_rows": _metric_rows,
+    "line_scene_metrics": _job_metric("tpa_scene_data"),
+    "line_scene_category_metrics": _job_metric("tpa_scene_category_data"),
+    "line_scene_tp_category_metrics": _job_metric("tpa_scene_tp_category_data"),
+    "line_tp_metrics": _job_metric("tpa_tp_data"),
+    "line_scene_touch": _scene_touch_of_lines,
+    "appended_metric": _appended_metric,
+    "orc_labels": _orc_labels,
     "tag_posts": _tag_posts,
     "tag_columns": lambda spark, sf_dir: tag_columns(fx.posts(spark, sf_dir).select("id", "content"), fx.FX1).drop("content"),
     "tag_objects": _tag_objects,

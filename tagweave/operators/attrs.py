@@ -44,15 +44,15 @@ class AttrScheme:
 
 
 def classed_rows(post_attr: DataFrame, runs: Runs, scheme: AttrScheme = AttrScheme()) -> DataFrame:
-    """Post attributes with ``kind`` and ``data_models``, one row each.
+    """Post attributes with ``kind`` and ``run_key``, one row each.
 
     Paths of one part or of four and more, paths of no class, and scenes that no run asks for are
-    left out. The runs stay an array here, so rows are not copied for each run before they must be.
+    left out. Rows are not copied for each run before they must be.
     """
     attr = F.col("attr")
     rows = post_attr.filter(n_segments(attr).isin(2, 3)).select(*POST_COLUMNS, "attr", scheme.kind(attr).alias("kind"))
     # A scene path is limited by its last word even where it is classed as a track.
-    return runs.assign(rows.filter(F.col("kind").isNotNull()), scheme.is_scene(attr), last_segment(attr))
+    return runs.limit(rows.filter(F.col("kind").isNotNull()), scheme.is_scene(attr), last_segment(attr))
 
 
 def classify_attrs(
@@ -63,9 +63,10 @@ def classify_attrs(
     A scene path is both a ``sub_scene`` with its whole path and a ``scene`` with its second part; a
     ``tp`` is shortened to its second part.
     """
-    rows = classed_rows(post_attr, Runs(special_people), scheme)
+    runs = Runs(special_people)
+    rows = classed_rows(post_attr, runs, scheme)
     classes = F.when(F.col("kind") == "scene", F.array(F.lit("sub_scene"), F.lit("scene"))).otherwise(F.array("kind"))
-    typed = rows.withColumn("attr_type", F.explode(classes)).withColumn("data_model", F.explode("data_models"))
+    typed = runs.copies(rows).withColumn("attr_type", F.explode(classes))
     short = F.col("attr_type").isin("tp", "scene")
     attr = F.when(short, segment("attr", 1)).otherwise(F.col("attr"))
     return typed.select("data_model", *POST_COLUMNS, "attr_type", attr.alias("attr")).dropDuplicates()

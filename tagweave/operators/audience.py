@@ -14,10 +14,13 @@ PERSON = ["platform_id", "user_id"]
 
 
 def audience(rows: DataFrame, people: DataFrame) -> DataFrame:
-    """Distinct rows of ``rows`` for each angle of their author."""
-    known = people.select(*PERSON, "people_type", "regex_rule")
-    joined = rows.join(known, PERSON, "inner").withColumn("people_angle", F.explode("regex_rule"))
-    return joined.select(*ANGLE, *rows.columns).dropDuplicates()
+    """Distinct rows of ``rows`` for each angle of their author.
+
+    Both sides are distinct before they meet, so nothing needs the rows of a person together after
+    the join, and Spark may split a person with a large part of all rows.
+    """
+    known = people.select(*PERSON, "people_type", F.explode("regex_rule").alias("people_angle")).distinct()
+    return rows.distinct().join(known, PERSON, "inner").select(*ANGLE, *rows.columns)
 
 
 def audience_of(post_attr: DataFrame, people: DataFrame, people_type: str, angle: str) -> DataFrame:

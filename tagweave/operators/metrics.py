@@ -13,15 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import brand_of, category_of, segment
 from tagweave.operators.attrs import AttrScheme, classed_rows
 from tagweave.operators.audience import ANGLE, PERSON, audience
-from tagweave.sources.runs import Runs
+from tagweave.sources.runs import RUN, Runs, holds, keys_of
 
-RUN = "data_model"
 POST = ["platform_id", "id"]
 
 
@@ -29,12 +28,12 @@ def _angled() -> Column:
     return F.col("people_type").isNotNull() & F.col("people_angle").isNotNull()
 
 
-def may_join_late(post_attr: DataFrame, people: DataFrame) -> bool:
-    """Whether every post (``platform_id, id``) is by one user and no type or angle is null.
+def may_join_late(rows: DataFrame, people: DataFrame) -> bool:
+    """Whether every post (``platform_id, id``) of ``rows`` is by one user and no type or angle is null.
 
-    Reads both tables, until a row that says no.
+    Two jobs that need no more than the names of posts and authors.
     """
-    ids = post_attr.filter(F.col("id").isNotNull() & F.col("platform_id").isNotNull())
+    ids = rows.filter(F.col("id").isNotNull() & F.col("platform_id").isNotNull())
     authors = ids.groupBy(*POST).agg(F.min("user_id").alias("first"), F.max("user_id").alias("last"))
     unnamed = F.col("people_type").isNull() | F.exists("regex_rule", lambda angle: angle.isNull())
     return people.filter(unnamed).isEmpty() and authors.filter(F.col("first") != F.col("last")).isEmpty()
@@ -46,7 +45,9 @@ class TouchPointMetrics:
     ``post_attr``: id, user_id, platform_id, attr, categoryids, brands (the last two arrays).
     ``people``: platform_id, user_id, people_type, regex_rule (array of angles).
     ``special_people``: id, value, state; without it there is one run, 0, over all scenes.
-    ``late_angles``: whether angles are joined last; when not given it is looked up if they may be.
+    ``late_angles``: whether angles are joined last; when not given it is looked up if they may be,
+    over the rows that count.
+    ``keep``: applied to shared rows before anything is made of them, as to write them once.
     ``lists_of_post``: whether the caller knows that all rows of a post hold the same categories and
     brands, which saves a join where they would be taken from the touch point.
 
@@ -61,18 +62,19 @@ class TouchPointMetrics:
         scheme: AttrScheme = AttrScheme(),
         late_angles: bool | None = None,
         lists_of_post: bool = False,
+        keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
     ):
         self.scheme = scheme
         self.runs = Runs(special_people)
         self.people = people.select(*PERSON, "people_type", "regex_rule")
         self.lists_of_post = lists_of_post
-        self.late_angles = may_join_late(post_attr, people) if late_angles is None else late_angles
-        rows = classed_rows(post_attr, self.runs, scheme)
+        rows = keep(classed_rows(post_attr, self.runs, scheme))
+        self.late_angles = may_join_late(rows, people) if late_angles is None else late_angles
         if self.late_angles:
             # The author belongs to the post, so it may be part of the match.
             self.match, self.who, self.rows = [*POST, "user_id"], PERSON, rows
         else:
-            self.match, self.who, self.rows = [*ANGLE, *POST], [*ANGLE, "user_id"], audience(rows, people)
+            self.match, self.who, self.rows = [*ANGLE, *POST], [*ANGLE, "user_id"], keep(audience(rows, people))
 
     def table(self, name: str) -> DataFrame:
         return TABLES[name](self)
@@ -106,8 +108,7 @@ class TouchPointMetrics:
         return joined.drop("regex_rule", "platform_id")
 
     def _by_run(self, facts: DataFrame) -> DataFrame:
-        # No list is empty here. A plain explode would have Spark build each list twice, once to check.
-        return facts.withColumn(RUN, F.explode_outer("data_models")).drop("data_models")
+        return self.runs.copies(facts)
 
     # ---- tables --------------------------------------------------------------------------------
 
@@ -153,22 +154,17 @@ class TouchPointMetrics:
         rest = self.rows.filter(F.col("kind") != "scene")
         marks = rest.groupBy(*self.match).agg(
             F.bool_or(F.col("kind").isin("tp", "sub_tp")).alias("has_tp"),
-            self.runs.of_any(F.col("kind") == "scene_A").alias("a_runs"),
-            self.runs.of_any(F.col("kind") == "scene_B").alias("b_runs"),
+            *keys_of(F.col("kind") == "scene_A", "a"),
+            *keys_of(F.col("kind") == "scene_B", "b"),
         )
-        wanted = dict.fromkeys([*self.match, *values, "data_models", "scene"])
+        wanted = dict.fromkeys([*self.match, *values, "run_key", "scene"])
         # Distinct before the join, so that a post has no more rows than it has different scenes.
         joined = self._scenes().select(*wanted).distinct().join(marks, self.match, "left")
         if picked:
             sides = self._touches("tp", "sub_tp").select(*self.match, *[F.col(c).alias(f"tp_{c}") for c in picked])
             joined = joined.join(sides.distinct(), self.match, "left")
-        joined = self._by_run(joined).withColumns(
-            {
-                "has_tp": F.coalesce("has_tp", F.lit(False)),
-                "in_a": F.coalesce(F.array_contains("a_runs", F.col(RUN)), F.lit(False)),
-                "in_b": F.coalesce(F.array_contains("b_runs", F.col(RUN)), F.lit(False)),
-            }
-        )
+        copies = self.runs.copies(joined, details=True)
+        joined = copies.withColumns({"has_tp": F.coalesce("has_tp", F.lit(False)), "in_a": holds("a"), "in_b": holds("b")})
         yes, no = F.lit(True), F.lit(False)
         if picked:
             pick = {c: F.when(F.col("has_tp"), F.col(f"tp_{c}")).otherwise(F.col(c)) if c in picked else F.col(c) for c in values}
@@ -184,7 +180,7 @@ class TouchPointMetrics:
 
     def scene_brand(self) -> DataFrame:
         """By scene, category and brand: users; users of all brands of the category."""
-        brands = _brand_codes(self._scenes().select(*self.who, "data_models", "scene", "brands"))
+        brands = _brand_codes(self._scenes().select(*self.who, "run_key", "scene", "brands"))
         return _brand_share(self._by_run(self._of_users(brands)), ["scene", "category"])
 
     def subscene(self, need_child: bool = False) -> DataFrame:
@@ -204,21 +200,23 @@ class TouchPointMetrics:
         if category:
             scenes = scenes.withColumn("category", F.explode("categoryids"))
         # Posts are counted too, so here they stay until the end.
-        facts = scenes.select(*self.who, "id", "data_models", "attr", *category)
-        facts = self._by_run(self._to_angles(facts) if self.late_angles else facts)
-        counts = facts.groupBy(RUN, *ANGLE, *category, "attr").agg(
+        facts = scenes.select(*self.who, "id", "run_key", "attr", *category)
+        facts = self._to_angles(facts) if self.late_angles else facts
+        counts = facts.groupBy(*ANGLE, *category, "attr", "run_key").agg(
             F.countDistinct("user_id").alias("user_count"), F.countDistinct("id").alias("id_count")
         )
+        # The runs of a row hang on its path alone, so finished counts are copied for them.
+        counts = self._by_run(counts)
         named = counts.withColumns({"parent_scene": segment("attr", 1), "scene": segment("attr", 2)})
         return named.select(RUN, *ANGLE, "parent_scene", "scene", *category, "user_count", "id_count")
 
     def _pairs(self, kinds: Sequence[str], values: Sequence[str]) -> DataFrame:
-        """Distinct ``data_models, scene, parent_tp, tp`` that share a post, with its user.
+        """Distinct ``run_key, scene, parent_tp, tp`` that share a post, with its user.
 
         ``values`` are columns of the touch point. Both sides are distinct before they meet, so a
         post gives no more pairs than it has different scenes and touch points.
         """
-        scenes = self._scenes().select(*self.match, "data_models", "scene").distinct()
+        scenes = self._scenes().select(*self.match, "run_key", "scene").distinct()
         wanted = dict.fromkeys([*self.match, "user_id", "parent_tp", "tp", *values])
         return scenes.join(self._touches(*kinds).select(*wanted).distinct(), self.match, "inner")
 
@@ -227,13 +225,13 @@ class TouchPointMetrics:
 
     def scene_tp(self) -> DataFrame:
         """By scene and touch point of the same post: users."""
-        pairs = self._pairs(["tp", "sub_tp"], []).select(*self.who, "data_models", "scene", "parent_tp", "tp")
+        pairs = self._pairs(["tp", "sub_tp"], []).select(*self.who, "run_key", "scene", "parent_tp", "tp")
         return user_counts(self._pair_users(pairs), [RUN, *ANGLE, "scene", "parent_tp", "tp"])
 
     def scene_tp_category(self) -> DataFrame:
         """As ``scene_tp`` for each category, with the users of the scene and of the touch point in it."""
         pairs = self._pairs(["tp", "sub_tp"], ["categoryids"]).withColumn("category", F.explode("categoryids"))
-        users = self._pair_users(pairs.select(*self.who, "data_models", "scene", "parent_tp", "tp", "category"))
+        users = self._pair_users(pairs.select(*self.who, "run_key", "scene", "parent_tp", "tp", "category"))
         totals = {
             "tp_user_count": ([RUN, *ANGLE, "scene", "category"], None),
             "scene_user_count": ([RUN, *ANGLE, "parent_tp", "tp", "category"], None),
@@ -244,7 +242,7 @@ class TouchPointMetrics:
     def scene_tp_brand(self) -> DataFrame:
         """By scene, touch point, category and brand: users; users of all brands of the category."""
         pairs = _brand_codes(self._pairs(["tp"], ["brands"]))
-        facts = pairs.select(*self.who, "data_models", "scene", "tp", "category", "brand")
+        facts = pairs.select(*self.who, "run_key", "scene", "tp", "category", "brand")
         return _brand_share(self._pair_users(facts), ["scene", "tp", "category"])
 
     def tp(self) -> DataFrame:
@@ -252,18 +250,19 @@ class TouchPointMetrics:
 
         Only the middle one depends on the run; the others are counted once for all runs.
         """
-        scened = self._by_run(self._scenes().select(*self.match, "data_models")).distinct()
+        scened = self._by_run(self._scenes().select(*self.match, "run_key")).distinct()
         wanted = dict.fromkeys([*self.match, "user_id", "tp"])
         touches = self._touches("tp").select(*wanted).distinct().join(scened, self.match, "left")
         users = self._of_users(touches.select(*self.who, "tp", RUN))
         keys = [*ANGLE, "tp"]
-        grains = grain_counts(users, [*keys, RUN], [keys, ANGLE, [*keys, RUN]])
-        of_tp, of_all, of_run = (F.col("grain") == g for g in grain_ids([*keys, RUN], [keys, ANGLE, [*keys, RUN]]))
-        total = F.max(F.when(of_all, F.col("user_count"))).over(Window.partitionBy(*ANGLE))
-        grains = grains.withColumn("tp_all_user", F.when(_angled(), total)).filter(of_tp | (of_run & F.col(RUN).isNotNull()))
-        grains = grains.withColumn(RUN, F.explode(F.when(of_tp, self.runs.ids()).otherwise(F.array(RUN))))
-        with_scene = F.max(F.when(of_run, F.col("user_count"))).over(Window.partitionBy(RUN, *keys))
-        table = grains.withColumn("scene_user", with_scene).filter(of_tp).fillna(0, subset=["scene_user", "tp_all_user"])
+        grains = [keys, ANGLE, [*keys, RUN]]
+        counts = grain_counts(users, [*keys, RUN], grains)
+        of_tp, of_all, of_run = (counts.filter(F.col("of") == g) for g in grain_ids([*keys, RUN], grains))
+        own = self.runs.stamp(of_tp.select(*keys, "user_count"))
+        table = _with_total(own, of_all, ANGLE, "user_count", "tp_all_user")
+        scened = of_run.filter(F.col(RUN).isNotNull()).select(*[F.col(c).alias(f"{c}_") for c in [RUN, *keys]], F.col("user_count").alias("scene_user"))
+        same = _all([F.col(c).eqNullSafe(F.col(f"{c}_")) for c in [RUN, *keys]])
+        table = table.join(scened, same, "left").fillna(0, subset=["scene_user"])
         return table.select(RUN, *keys, "scene_user", "user_count", "tp_all_user")
 
     def tp_brand(self) -> DataFrame:
@@ -360,7 +359,16 @@ def grain_counts(
     sets = [[*grain, "user_id"] for grain in grains]
     per_user = facts.groupingSets(sets, *keys, "user_id").agg(F.grouping_id().alias("grain"), *_any(flags))
     measures = measures or {"user_count": F.lit(True)}
-    return per_user.groupBy(*keys, "grain").agg(*[F.count_if(m).alias(name) for name, m in measures.items()])
+    # As an aggregate the grain is known only after counting, so that a filter on it leaves all grains
+    # to one pass over the facts, which Spark then runs once for all that read it.
+    return per_user.groupBy(*keys, "grain").agg(*[F.count_if(m).alias(name) for name, m in measures.items()], F.max("grain").alias("of"))
+
+
+def _with_total(rows: DataFrame, totals: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """``rows`` with a column of ``totals`` as ``name``, matched by ``keys``; 0 where a key is null."""
+    totals = totals.select(*[F.col(k).alias(f"{k}_of") for k in keys], F.col(column).alias(name))
+    joined = rows.join(totals, _all([F.col(k) == F.col(f"{k}_of") for k in keys]), "left")
+    return joined.drop(*[f"{k}_of" for k in keys]).fillna(0, subset=[name])
 
 
 def user_counts(
@@ -382,13 +390,10 @@ def user_counts(
     conditions = {name: F.lit(True) if condition is None else condition for name, (_, condition) in totals.items()}
     counts = grain_counts(facts, keys, grains, flags, {**measures, **conditions})
     fine, *coarse = grain_ids(keys, grains)
+    table = counts.filter(F.col("of") == fine).select(*keys, *measures)
     for (name, (of, _)), grain in zip(totals.items(), coarse):
-        # The window runs over counts, which are as few as the rows of the finished table.
-        total = F.max(F.when(F.col("grain") == grain, F.col(name))).over(Window.partitionBy(*of))
-        keyed = _all([F.col(k).isNotNull() for k in of])
-        counts = counts.withColumn(f"{name}_of_all", F.when(keyed, total).otherwise(0))
-    own = counts.filter(F.col("grain") == fine)
-    return own.select(*keys, *measures, *[F.col(f"{name}_of_all").alias(name) for name in totals])
+        table = _with_total(table, counts.filter(F.col("of") == grain), of, name, name)
+    return table
 
 
 def _brand_share(users: DataFrame, names: list[str]) -> DataFrame:

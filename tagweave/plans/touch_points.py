@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagweave.operators.attrs import AttrScheme
 from tagweave.operators.metrics import TABLES, TouchPointMetrics
-from tagweave.plans.staging import stage, staging_dir
-from tagweave.sinks.tables import append_metric
-from tagweave.sources.tables import read_table
+from tagweave.plans.staging import staging
+from tagweave.sinks.tables import append_metric, append_metric_jdbc
+from tagweave.sources.tables import jdbc_options, read_jdbc, read_table, target_columns
 
 
 def all_metrics(
@@ -22,17 +22,14 @@ def all_metrics(
     late_angles: bool | None = None,
     lists_of_post: bool = False,
     tables: Iterable[str] = tuple(TABLES),
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> dict[str, DataFrame]:
     """The metric tables by name.
 
-    Their shared rows are written once to the folder of ``spark.checkpoint.dir``, split by class, so
-    a metric reads only the classes and columns it needs. Without that folder each metric starts
-    from ``post_attr``.
+    ``keep`` is applied to the rows they share, as by ``Staging.keep``, which writes them once, split
+    by class, so that a metric reads only the classes and columns it needs.
     """
-    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, late_angles, lists_of_post)
-    folder = staging_dir(post_attr.sparkSession)
-    if folder:
-        metrics.rows = stage(metrics.rows, folder, "kind")
+    metrics = TouchPointMetrics(post_attr, people, special_people, scheme, late_angles, lists_of_post, keep)
     return {name: metrics.table(name) for name in tables}
 
 
@@ -42,11 +39,16 @@ def run(
     special_people: DataFrame | None,
     daterange: str,
     write: Callable[[DataFrame, str, str], None] = append_metric,
+    staging_folder: str | None = None,
     **options,
 ) -> None:
-    """Computes and appends every metric. ``write`` takes the metric, its table and the date."""
-    for name, metric in all_metrics(post_attr, people, special_people, **options).items():
-        write(metric, name, daterange)
+    """Computes and appends every metric. ``write`` takes the metric, its table and the date.
+
+    Shared rows lie below ``staging_folder``, else below ``spark.checkpoint.dir``, until all is written.
+    """
+    with staging(post_attr.sparkSession, staging_folder) as shared:
+        for name, metric in all_metrics(post_attr, people, special_people, keep=shared.keep, **options).items():
+            write(metric, name, daterange)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -54,11 +56,28 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("daterange", help="date of the metrics, yyyy-mm-dd")
     parser.add_argument("--posts", required=True, help="table or path of post attributes")
     parser.add_argument("--people", required=True, help="table or path of people angles")
-    parser.add_argument("--runs", help="table or path of special people")
+    parser.add_argument("--runs", help="table or path of special people, or a JDBC table with --jdbc-runs")
+    parser.add_argument("--prefix", default="", help="what stands before the names of the target tables, as a database and a dot")
+    parser.add_argument("--format", default="parquet", help="format of target tables that do not exist yet")
+    parser.add_argument("--staging", help="shared folder for intermediate rows, else spark.checkpoint.dir")
+    parser.add_argument("--jdbc", action="append", default=[], metavar="KEY=VALUE", help="an option of the JDBC connection")
+    parser.add_argument("--jdbc-runs", action="store_true", help="read the runs over JDBC")
+    parser.add_argument("--jdbc-targets", action="store_true", help="append to existing tables over JDBC")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("touch points").getOrCreate()
-    runs = read_table(spark, args.runs) if args.runs else None
-    run(read_table(spark, args.posts), read_table(spark, args.people), runs, args.daterange)
+    options = jdbc_options(args.jdbc)
+    runs = None
+    if args.runs:
+        runs = read_jdbc(spark, args.runs, options) if args.jdbc_runs else read_table(spark, args.runs)
+
+    def write(metric: DataFrame, name: str, date: str) -> None:
+        table = f"{args.prefix}{name}"
+        if args.jdbc_targets:
+            append_metric_jdbc(metric, table, date, target_columns(read_jdbc(spark, table, options)), options)
+        else:
+            append_metric(metric, table, date, form=args.format)
+
+    run(read_table(spark, args.posts), read_table(spark, args.people), runs, args.daterange, write, args.staging)
 
 
 if __name__ == "__main__":

@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 PENDING_STATES = (2, 4)
 # data_model of a computation without a special-people table.
 DEFAULT_RUN = 0
+RUN = "data_model"
 
-# Bounds up to which runs and their words become literals of the plan; beyond them they are joined.
-MAX_RUNS = 200
-MAX_WORDS = 20_000
-# Runs up to which membership is aggregated as one boolean per run.
-MAX_FLAGS = 32
-
-_IDS = "array<bigint>"
+# Values of ``run_key``: a row in every run, a scene only in runs without a limit, a scene some run names.
+EVERY, WHOLE, NAMED = "every", "whole", "named "
 
 
 class Runs:
@@ -24,85 +20,76 @@ class Runs:
 
     A run limits scenes to those whose path ends in one of its words. An empty word, as in the value
     ``''``, lifts the limit; a null value is read as ``''``. Empty words at the end of a list do not
-    count, so a value of commas alone lets no scene pass.
+    count, so a value of commas alone lets no scene pass. Rows of one id are one run with the words
+    of all of them; rows without an id are no run.
+
+    Rows carry a ``run_key`` in place of the runs themselves, and are joined to runs where copies for
+    each run are needed. The same joins serve any number of runs and words.
     """
 
-    def __init__(self, special_people: DataFrame | None = None, max_runs: int = MAX_RUNS, max_words: int = MAX_WORDS):
-        self._pending: DataFrame | None = None
-        self._listed: list[tuple[int, list[str]]] | None = [(DEFAULT_RUN, [""])]
+    def __init__(self, special_people: DataFrame | None = None):
+        self._runs: DataFrame | None = None
         if special_people is not None:
             value = F.coalesce("value", F.lit(""))
             kept = F.rtrim(value, F.lit(","))
             words = F.when((kept == "") & (value != ""), F.array().cast("array<string>")).otherwise(F.split(kept, ","))
-            pending = special_people.filter(F.col("state").isin(*PENDING_STATES))
-            self._pending = pending.select(F.col("id").cast("bigint").alias("id"), words.alias("words"))
-            self._listed = self._list(max_runs, max_words)
-
-    def _list(self, max_runs: int, max_words: int) -> list[tuple[int, list[str]]] | None:
-        """Runs and words if both are within the bounds. No more than the bounds reach the driver."""
-        fit = F.slice("words", 1, max_words + 1)
-        rows = self._pending.select("id", fit.alias("words")).take(max_runs + 1)
-        within = len(rows) <= max_runs and sum(len(r["words"]) for r in rows) <= max_words
-        return [(r["id"], r["words"]) for r in rows] if within else None
-
-    def ids(self) -> Column:
-        """Ids of all pending runs, sorted, as an array that is the same on every row."""
-        if self._listed is not None:
-            return _literal_ids({run for run, _ in self._listed})
-        return self._queried_ids(F.lit(True))
-
-    def assign(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
-        """``rows`` with ``data_models``, the sorted ids of the runs a row takes part in.
-
-        Rows other than scenes are in every run. Rows that are in no run are dropped.
-        """
-        if self._listed is None:
-            return self._join_runs(rows, is_scene, word).filter(F.size("data_models") > 0)
-        runs = F.when(is_scene, self._listed_runs(word)).otherwise(self.ids())
-        # The filter is on the words, not on the array, so the array is built for rows that stay.
-        if not self._listed:
-            rows = rows.filter(F.lit(False))
-        elif not any("" in words for _, words in self._listed):
-            rows = rows.filter(~is_scene | word.isin(*sorted({w for _, words in self._listed for w in words})))
-        return rows.withColumn("data_models", runs)
-
-    def _listed_runs(self, word: Column) -> Column:
-        whole = {run for run, words in self._listed if "" in words}
-        named = {run: set(words) for run, words in self._listed if run not in whole}
-        if not named:
-            return _literal_ids(whole)
-        none = _literal_ids(set())
-        hits = [F.when(word.isin(*sorted(named[run])), _literal_ids({run})).otherwise(none) for run in sorted(named)]
-        return F.sort_array(F.concat(_literal_ids(whole), *hits))
-
-    def _join_runs(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
-        whole = F.array_contains("words", "")
-        by_word = self._pending.filter(~whole).select("id", F.explode("words").alias("word"))
-        by_word = by_word.groupBy("word").agg(F.collect_set("id").alias("word_runs"))
-        named = rows.withColumn("word", word).join(by_word, "word", "left")
-        scene_runs = F.array_union(self._queried_ids(whole), F.coalesce("word_runs", F.array().cast(_IDS)))
-        runs = F.when(is_scene, F.sort_array(scene_runs)).otherwise(self.ids())
-        return named.withColumn("data_models", runs).drop("word", "word_runs")
-
-    def _queried_ids(self, which: Column) -> Column:
-        return self._pending.filter(which).agg(F.sort_array(F.collect_set("id")).alias("ids")).scalar()
-
-    def of_any(self, condition: Column) -> Column:
-        """Aggregate: the runs that any row meeting ``condition`` takes part in.
-
-        For a few runs one boolean each, which Spark can aggregate in place. Otherwise a set of the
-        lists of runs, of which there are no more than paths differ in their words.
+            pending = special_people.filter(F.col("state").isin(*PENDING_STATES) & F.col("id").isNotNull())
+            # What is gathered for a run are the words of its own rows.
+            named = F.array_sort(F.array_distinct(F.flatten(F.collect_list(words))))
+            runs = pending.groupBy(F.col("id").cast("bigint").alias(RUN)).agg(named.alias("words"))
+            whole = F.array_contains("words", "")
+            keys = F.when(whole, F.array().cast("array<string>")).otherwise(F.transform("words", lambda w: F.concat(F.lit(NAMED), w)))
+            self._runs = runs.select(RUN, whole.alias("run_whole"), keys.alias("run_names"))
+
+    def limit(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
+        """``rows`` with their ``run_key``; scenes that are in no run are dropped."""
+        if self._runs is None:
+            return rows.withColumn("run_key", F.when(is_scene, F.lit(WHOLE)).otherwise(EVERY))
+        names = self._runs.select(F.explode("run_names").alias("run_name")).distinct()
+        any_whole = self._runs.agg(F.coalesce(F.bool_or("run_whole"), F.lit(False))).scalar()
+        named = rows.withColumn("run_word", F.when(is_scene, F.concat(F.lit(NAMED), word)))
+        named = named.join(names, F.col("run_word") == F.col("run_name"), "left")
+        key = F.coalesce("run_name", F.when(is_scene, F.lit(WHOLE)).otherwise(EVERY))
+        keyed = named.withColumn("run_key", key).drop("run_word", "run_name")
+        return keyed.filter((F.col("run_key") != WHOLE) | any_whole)
+
+    def copies(self, rows: DataFrame, details: bool = False) -> DataFrame:
+        """One copy of each row for each of its runs, with ``data_model`` in place of ``run_key``.
+
+        With ``details`` also ``run_whole`` and ``run_names``, for :func:`holds`.
         """
-        ids = sorted(run for run, _ in self._listed or [])
-        if self._listed is None or len(ids) > MAX_FLAGS:
-            return F.array_distinct(F.flatten(F.collect_set(F.when(condition, F.col("data_models")))))
-        taken = [F.bool_or(condition & F.array_contains("data_models", F.lit(i).cast("bigint"))) for i in ids]
-        return F.array_compact(F.array(*[F.when(t, F.lit(i).cast("bigint")) for t, i in zip(taken, ids)])).cast(_IDS)
+        wanted = ["run_whole", "run_names"] if details else []
+        if self._runs is None:
+            own = {RUN: F.lit(DEFAULT_RUN).cast("bigint"), "run_whole": F.lit(True), "run_names": F.array().cast("array<string>")}
+            return rows.withColumns({c: own[c] for c in [RUN, *wanted]}).drop("run_key")
+        general = F.array(F.lit(EVERY), F.when(F.col("run_whole"), F.lit(WHOLE)))
+        by_key = self._runs.select(RUN, *wanted, F.explode(F.array_compact(F.concat(general, "run_names"))).alias("by_key"))
+        # A run without a limit has no names, so a row meets each run once.
+        keys = F.when(F.col("run_key").startswith(NAMED), F.array(F.lit(WHOLE), "run_key")).otherwise(F.array("run_key"))
+        copied = rows.withColumn("run_key", F.explode(keys)).join(by_key, F.col("run_key") == F.col("by_key"))
+        return copied.drop("run_key", "by_key")
 
     def stamp(self, metric: DataFrame) -> DataFrame:
-        """One copy of a metric for each pending run, for metrics that no run changes."""
-        return metric.withColumn("data_model", F.explode(self.ids()))
+        """One copy of a finished metric for each pending run, for metrics that no run changes."""
+        return metric.withColumn(RUN, F.explode(self._ids()))
+
+    def _ids(self) -> Column:
+        if self._runs is None:
+            return F.array(F.lit(DEFAULT_RUN).cast("bigint"))
+        return self._runs.agg(F.sort_array(F.collect_list(RUN))).scalar()
+
+
+def keys_of(condition: Column, name: str) -> list[Column]:
+    """Aggregates: in which runs is any row that meets ``condition``? To be asked by :func:`holds`."""
+    key = F.col("run_key")
+    return [
+        F.bool_or(condition & (key == EVERY)).alias(f"{name}_every"),
+        F.bool_or(condition).alias(f"{name}_any"),
+        F.collect_set(F.when(condition & key.startswith(NAMED), key)).alias(f"{name}_names"),
+    ]
 
 
-def _literal_ids(ids: set[int]) -> Column:
-    return F.array(*[F.lit(i) for i in sorted(ids)]).cast(_IDS)
+def holds(name: str) -> Column:
+    """Whether the run of a copy made with details is among those of ``keys_of``; false where they are null."""
+    found = F.col(f"{name}_every") | (F.col("run_whole") & F.col(f"{name}_any")) | F.arrays_overlap(f"{name}_names", "run_names")
+    return F.coalesce(found, F.lit(False))

@@ -13,12 +13,14 @@ def kind_of(attr):
     return "scene" if attr.startswith("场景.") else None
 
 
-def run_words(value):
-    if value == "":
-        return [""]
-    words = value.split(",")
-    while words and words[-1] == "":
-        words.pop()
+def run_words(values):
+    """Words of all rows of one run."""
+    words = []
+    for value in values:
+        mine = value.split(",") if value else [""]
+        while value and mine and mine[-1] == "":
+            mine.pop()
+        words += mine
     return words
 
 
@@ -96,11 +98,15 @@ def total_of(totals, key):
 
 
 def brute_metrics(post_attr, people, runs):
-    tables = defaultdict(set)
+    """Rows of each table as a list: a row that a table should have twice is in it twice."""
+    values = defaultdict(list)
     for run, value, state in runs:
-        if state in (2, 4):
-            for name, rows in one_run(angle_rows(post_attr, people, value)).items():
-                tables[name] |= {(run, *row) for row in rows}
+        if state in (2, 4) and run is not None:
+            values[run].append(value)
+    tables = defaultdict(list)
+    for run, mine in values.items():
+        for name, rows in one_run(angle_rows(post_attr, people, mine)).items():
+            tables[name] += [(run, *row) for row in rows]
     return dict(tables)
 
 
@@ -145,7 +151,7 @@ def one_run(rows):
             yield key, (len(set(own[key])), len(set(touched.get(key, ()))), *tracked, total_of(total, key[:3]))
 
     out["tpa_scene_data"] = {(t, a, s, *m) for (t, a, _, s), m in reach(NO_CATS)}
-    out["tpa_scene_category_data"] = {(t, a, number(c), s, *m) for (t, a, c, s), m in reach(lambda r: r.cats or ())}
+    out["tpa_scene_category_data"] = [(t, a, number(c), s, *m) for (t, a, c, s), m in reach(lambda r: r.cats or ())]
 
     def share(base, *keys):
         own = users(grouped(((*k, c, b), u) for k, u, brands in base for c, b in codes(brands)))
@@ -162,7 +168,7 @@ def one_run(rows):
     out["tpa_subscene_data"] = {(*k, len(set(people_of[k])), len(set(posts_of[k]))) for k in people_of}
     people_of = grouped(((*sub_key(r), c), r.user) for r in subs for c in r.cats or ())
     posts_of = grouped(((*sub_key(r), c), r.id) for r in subs for c in r.cats or ())
-    out["tpa_subscene_category_data"] = {(*k[:-1], number(k[-1]), len(set(people_of[k])), len(set(posts_of[k]))) for k in people_of}
+    out["tpa_subscene_category_data"] = [(*k[:-1], number(k[-1]), len(set(people_of[k])), len(set(posts_of[k]))) for k in people_of]
 
     both = [(r, s, t) for r, s, t in joined if s is not None and t]
     out["tpa_scene_tp_data"] = {(*k, n) for k, n in users(grouped(((r.type_, r.angle, s, *names(t)), r.user) for r, s, t in both)).items()}
@@ -170,10 +176,10 @@ def one_run(rows):
     by_cat = [((r.type_, r.angle, s, *names(t), c), r.user) for r, s, t in both for c in r.cats or ()]
     in_scene = users(grouped(((k[0], k[1], k[2], k[5]), u) for k, u in by_cat))
     in_tp = users(grouped(((k[0], k[1], k[3], k[4], k[5]), u) for k, u in by_cat))
-    out["tpa_scene_tp_category_data"] = {
+    out["tpa_scene_tp_category_data"] = [
         (*k[:5], number(k[5]), n, total_of(in_scene, (k[0], k[1], k[2], k[5])), total_of(in_tp, (k[0], k[1], *k[3:6])))
         for k, n in users(grouped(by_cat)).items()
-    }
+    ]
     out["tpa_scene_tp_brand_data"] = share([((r.type_, r.angle, s, t.attr), r.user, r.brands) for r, s, t in both if t.kind == "tp"])
 
     single = [(r, s, t) for r, s, t in joined if t and t.kind == "tp"]

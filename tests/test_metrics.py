@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from brute import COLUMNS, brute_metrics
 from checks import fixtures as fx
-from tagweave.operators.attrs import classed_rows
 from tagweave.operators.metrics import TABLES, TouchPointMetrics, may_join_late
-from tagweave.sources.runs import Runs
 
 POSTS = "id string, user_id string, platform_id string, attr string, categoryids array<string>, brands array<string>"
 PEOPLE = "platform_id string, user_id string, people_type string, regex_rule array<string>"
 RUNS = "id bigint, value string, state int"
 
-SPECIAL = [(1, "", 2), (2, "x,deep", 4), (5, "Home,y", 2), (7, "x", 0), (9, ",,", 2), (11, "x,,y", 4)]
+# Run 2 has two rows with a word in common; a row without an id is no run.
+SPECIAL = [
+    (1, "", 2), (2, "x,deep", 4), (2, "x,y", 2), (5, "Home,y", 2), (7, "x", 0), (9, ",,", 2), (11, "x,,y", 4), (None, "x", 2), (12, "y", 2), (12, "", 4),
+]
 ATTRS = [
     "场景.Home", "场景.Home.x", "场景.Home.y", "场景.Out", "场景.Out.x", "场景.A.x", "场景.B.y", "场景", "场景.Out.x.z", "场景.Out.",
     "TP.shop", "TP.bar", "TP.shop.small", "TP.bar.x", "TP.a.b.deep", "TP内圈.A.场景A", "TP内圈.B.场景B", "other.one", "TP.A.x",
@@ -64,7 +65,7 @@ def check(spark, posts, people, late_angles, lists_of_post=False, special=SPECIA
     for name in TABLES:
         rows = collected(metrics.table(name), name)
         key = lambda row: tuple((v is None, str(v)) for v in row)
-        assert sorted(set(rows), key=key) == sorted(expected[name], key=key), name
+        assert sorted(rows, key=key) == sorted(expected[name], key=key), name
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -103,18 +104,23 @@ def test_both_orders_agree(spark, name):
     assert early == late and early
 
 
-def test_runs_beyond_the_bounds_are_joined(spark):
-    rng = random.Random(6)
-    posts, people = random_posts(rng, 80, True, True), random_people(rng)
-    frames = spark.createDataFrame(posts, POSTS), spark.createDataFrame(people, PEOPLE)
-    special = spark.createDataFrame(SPECIAL, RUNS)
-    for name in ("tpa_scene_data", "tpa_tp_data"):
-        listed = TouchPointMetrics(*frames, special, late_angles=True)
-        joined = TouchPointMetrics(*frames, late_angles=True)
-        joined.runs = Runs(special, max_runs=1)
-        assert joined.runs._listed is None
-        joined.rows = classed_rows(frames[0], joined.runs)
-        assert sorted(collected(listed.table(name), name), key=repr) == sorted(collected(joined.table(name), name), key=repr)
+@pytest.mark.parametrize("n", [1, 33, 201, 1000])
+def test_any_number_of_runs(spark, n):
+    """Runs in pairs of rows of one id, some with a word in common; the same rule at every size."""
+    posts = [("1", "1", "1", "场景.Home.x", None, None), ("2", "2", "1", "场景.Home.y", None, None), ("3", "3", "1", "TP.shop", None, None)]
+    people = [("1", user, "a", ["N"]) for user in "123"]
+    words = ["x", "y", "x,y", "", ",", "none"]
+    special = [(run, words[(run * k) % 6], 2) for run in range(n) for k in (1, 2)] + [(None, "x", 2)]
+    frames = spark.createDataFrame(posts, POSTS), spark.createDataFrame(people, PEOPLE), spark.createDataFrame(special, RUNS)
+    metrics = TouchPointMetrics(*frames, late_angles=True)
+    scenes = {(r.data_model, r.user_count) for r in metrics.scene().collect()}
+    expected = set()
+    for run in range(n):
+        mine = {w for i, value, _ in special if i == run for w in (value.rstrip(",").split(",") if value != "," else [])}
+        count = 2 if "" in mine else len(mine & {"x", "y"})
+        expected |= {(run, count)} if count else set()
+    assert scenes == expected
+    assert sorted(r.data_model for r in metrics.tp().collect()) == list(range(n))
 
 
 def test_no_pending_run_gives_no_row(spark):
