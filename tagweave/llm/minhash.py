@@ -7,12 +7,14 @@ a slot at the same step more often than chance wants, which lowers the variance.
 part take each step together, in numpy.
 
 Equal sets become one class, whose smallest id stands for it. Classes that agree in a band of
-``ROWS`` slots are in one bucket. A bucket is never turned into all its pairs: its smallest member
-is compared with all others, and only as long as a bucket holds several components, its next
-members (one for each of ``HUBS`` slots of a hash) are compared with the members of other
-components. So each pair of a bucket is either compared or already connected, with no cap. A link is
-confirmed on the whole sets, which are made from the texts again. Components are merged by
-union-find within partitions and by stars across them.
+``ROWS`` slots are in one bucket, and buckets that share members are one group of candidates, found
+as components of stars, so that nothing is made of a bucket's pairs. A group is dealt into blocks of
+some ``BLOCK`` classes. Within a block all sets are compared at once, exactly, by products of 0/1
+matrices of shingles, and union-find leaves a forest of links. Only where a group of several blocks
+still has several components, all but the largest of them meet all others, block by block: so each
+pair of a group is either compared or already connected, with no cap, and the work beyond the first
+pass grows with what is not connected. Components are merged by union-find within partitions and by
+stars across them.
 
 With ``BANDS`` bands of ``ROWS`` slots, a pair of similarity 0.75 shares no bucket with probability
 (1 - 0.75 ** 4) ** 32, about 5e-6, and less above.
@@ -38,9 +40,9 @@ from tagweave.llm.common import MIX1, MIX2, STEP, Words, byte_rows, mixed, slice
 from tagweave.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
-BANDS, ROWS, HUBS = 32, 4, 16
+BANDS, ROWS = 32, 4
 SLOTS = BANDS * ROWS
-PART_BYTES = 3_000_000
+PART_BYTES, BLOCK, COLUMNS = 3_000_000, 512, 4096
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -125,32 +127,68 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sum1", "sum2", "bands"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs whose whole sets are similar enough."""
-    for whole in batches:
-        for batch in slices(whole, "text_b", PART_BYTES):
-            texts = pa.concat_arrays([batch.column(2), batch.column(3)]).dictionary_encode()
-            codes, bounds = shingle_sets(texts.dictionary)
-            which = texts.indices.to_numpy()
-            similar = []
-            for a, b in zip(which[: batch.num_rows], which[batch.num_rows :]):
-                x, y = codes[bounds[a] : bounds[a + 1]], codes[bounds[b] : bounds[b + 1]]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                similar.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(similar, pa.bool_()))
-
-
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of ids those whose sets are similar; texts holds id and text."""
-    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_both.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long").distinct()
-
-
-def _comparable(pairs: DataFrame) -> DataFrame:
-    """Each pair once, smaller id first, if its sizes allow the similarity at all."""
-    sizes = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return pairs.filter((F.col("a") != F.col("b")) & sizes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _links(sets: list[np.ndarray], outside: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
+    """Similar pairs that join different components, one of each at least ``outside``, as a forest."""
+    size = np.array([len(s) for s in sets])
+    code, place = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = np.bincount(place)[place] > 1
+    row, place = row[shared], np.unique(place[shared], return_inverse=True)[1]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    edges = np.searchsorted(place, np.arange(0, len(code) + COLUMNS, COLUMNS))
+    for a, b in zip(edges[:-1], edges[1:]):  # counts of common shingles are exact in float32
+        if a < b:
+            has = np.zeros((len(sets), COLUMNS), np.float32)
+            has[row[a:b], place[a:b] % COLUMNS] = 1
+            both += has @ has.T
+    both = both.astype(np.int64)
+    similar = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+    similar &= (outside[:, None] | outside[None, :]) & (component[:, None] != component[None, :])
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for a, b in zip(*np.nonzero(np.triu(similar))):
+        x, y = find(a), find(b)
+        if x != y:
+            root[x] = y
+            found.append((int(a), int(b)))
+    return found
+
+
+def _verify(table: pa.Table) -> pa.Table:
+    """Links within each unit of a bundle, on whole sets."""
+    order = np.argsort(table.column("unit").to_numpy(), kind="stable")
+    unit, ids = table.column("unit").to_numpy()[order], table.column("id").to_numpy()[order]
+    outside, component = table.column("outside").to_numpy()[order], table.column("component").to_numpy()[order]
+    codes, bounds = shingle_sets(table.column("text").combine_chunks().take(pa.array(order)))
+    first = np.flatnonzero(np.diff(unit, prepend=unit[0] - 1))
+    links = []
+    for a, b in zip(first, np.append(first[1:], len(unit))):
+        sets = [codes[bounds[k] : bounds[k + 1]] for k in range(a, b)]
+        links += [(ids[a + x], ids[a + y]) for x, y in _links(sets, outside[a:b], component[a:b])]
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _verified(units: DataFrame, texts: DataFrame, n_rows: int) -> DataFrame:
+    """Links (a, b) within units (unit, id, outside, component); a bundle of units has some ``BLOCK`` rows."""
+    bundles = max(1, n_rows // BLOCK)
+    rows = units.join(texts, "id").withColumn("bundle", F.pmod(F.col("unit"), F.lit(bundles)))
+    return rows.select("bundle", "unit", "id", "outside", "component", "text").groupBy("bundle").applyInArrow(_verify, "a long, b long")
+
+
+def _candidate_groups(classes: DataFrame) -> DataFrame:
+    """node and component: classes that are connected by buckets. A bucket adds a star, not its pairs."""
+    members = classes.select("id", F.explode("bands").alias("bucket"))
+    hubs = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return components(members.join(hubs.drop("size"), "bucket").select(F.col("id").alias("a"), F.col("hub").alias("b")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -162,42 +200,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = ["sum1", "sum2", "n"]
     classes = stage(rows.filter("n > 0").groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
 
-    members = classes.filter("id is not null").select("id", "n", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(F.min_by(F.struct("id", "n"), "id").alias("hub"), F.count(F.lit(1)).alias("size"))
-    hubs = hubs.filter("size > 1").select("bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
-    # Only buckets of two or more go on.
-    members = stage(members.join(hubs, "bucket"), "members")
-    ids = members.select("id").distinct()
-    texts = stage(docs.join(ids, F.col("doc_id") == F.col("id")).select("id", "text"), "texts")
-    first = members.select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("hub_n").alias("n_a"), F.col("n").alias("n_b"))
-    tested = stage(_comparable(first), "pairs")
-    found = stage(components(stage(_linked(tested, texts), "links")), "components")
-
-    members = members.select("bucket", "id", "n", F.pmod(F.xxhash64("id", "bucket"), F.lit(HUBS)).alias("slot"))
-    used = None
-    while True:
-        placed = members.join(found, members["id"] == found["node"], "left").select("bucket", "id", "n", "slot", F.coalesce("component", "id").alias("component"))
-        mixed_buckets = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-        placed = stage(placed.join(mixed_buckets, "bucket"), "open")
-        if placed.isEmpty():
-            break
-        fresh = placed
-        if used is not None:
-            last = used.groupBy("bucket", "slot").agg(F.max("hub").alias("last"))
-            fresh = placed.join(last, ["bucket", "slot"], "left").filter("last is null or id > last")
-        hubs = fresh.groupBy("bucket", "slot").agg(F.min_by(F.struct("id", "n", "component"), "id").alias("hub"))
-        hubs = stage(hubs.select("bucket", "slot", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("of")), "hubs")
-        if hubs.isEmpty():
-            break
-        used = hubs.select("bucket", "slot", "hub") if used is None else used.union(hubs.select("bucket", "slot", "hub"))
-        across = placed.join(hubs.drop("slot"), "bucket").filter("component <> of")
-        across = across.select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("hub_n").alias("n_a"), F.col("n").alias("n_b"))
-        pairs = stage(_comparable(across).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
-        links = stage(_linked(pairs, texts), "links")
-        if not links.isEmpty():
-            stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = stage(components(stars.union(links)), "components")
+    groups = stage(_candidate_groups(classes.filter("id is not null")).select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
+    texts = stage(docs.join(groups, F.col("doc_id") == F.col("id")).select("id", "text"), "texts")
+    blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    units = dealt.select(F.xxhash64("group", "block").alias("unit"), "id", F.lit(True).alias("outside"), F.col("id").alias("component"))
+    inner = stage(_verified(units, texts, groups.count()), "links")
+    found = stage(components(inner), "components")
+
+    # What is left are links between components of one group. All but the largest meet all.
+    placed = groups.join(found, F.col("id") == F.col("node"), "left").select("group", "id", F.coalesce("component", "id").alias("component"))
+    placed = stage(placed, "placed")
+    parts = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    largest = largest.filter("`all` > most").withColumns(
+        {"all_blocks": F.ceil(F.col("all") / BLOCK), "outside_blocks": F.ceil((F.col("all") - F.col("most")) / BLOCK)}
+    )
+    # A group of one block has been compared whole.
+    apart = placed.join(largest.filter("all_blocks > 1"), "group").withColumn("outside", F.col("component") != F.col("main"))
+    spread = F.xxhash64("id")
+    each = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    as_outside = apart.filter("outside").withColumns({"i": F.pmod(spread, F.col("outside_blocks")), "j": F.explode(each("all_blocks"))})
+    as_member = apart.withColumns({"i": F.explode(each("outside_blocks")), "j": F.pmod(spread, F.col("all_blocks"))})
+    columns = [F.xxhash64("group", "i", "j").alias("unit"), "id", "outside", "component"]
+    units = stage(as_outside.select(*columns).union(as_member.select(*columns)).distinct(), "units")
+    across = stage(_verified(units, texts, units.count()), "links")
+    if not across.isEmpty():
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = stage(components(stars.union(across)), "components")
 
     grouped = classes.join(found, classes["id"] == found["node"], "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
     result = rows.drop("bands").join(grouped, sets, "left")

@@ -54,8 +54,9 @@ def test_near_copies_of_repeated_and_null_ids(spark):
     assert {(r.doc_id, r.n_shingles) for r in found if r.doc_id is not None} == {(d, n) for d, (n, _) in near_groups(UNIQUE).items()}
 
 
-def test_buckets_of_several_components_are_compared_to_the_end(spark, monkeypatch):
-    """Links that the smallest member of a bucket does not have are found through the others."""
+@pytest.mark.parametrize("block", [3, 512])
+def test_groups_of_several_blocks_are_compared_to_the_end(spark, monkeypatch, block):
+    """Links that the smallest member of a group does not have are found through the others."""
     rng = random.Random(4)
     base = [f"w{k}" for k in range(60)]
     rows = []
@@ -66,7 +67,7 @@ def test_buckets_of_several_components_are_compared_to_the_end(spark, monkeypatc
         rows.append((k, " ".join(words)))
     rng.shuffle(rows)
     groups = near_groups(rows)
-    monkeypatch.setattr(minhash, "HUBS", 2)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     found = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, rows)).collect()}
     assert found == {d: c for d, (_, c) in groups.items()}
 
