@@ -83,7 +83,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+#: The prior of a level from its children: see url_filter._strength.
+_STRENGTH = """(select 1 / least(greatest(coalesce(
+         sum(pow(good - n * prior, 2) - n * prior * (1 - prior)) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0), 0), 0.001), 0.999) - 1
+       from {0} where n > 0)"""
+
+
+def _level(name: str, above: str, keys: str) -> str:
+    """A level's counts with the prior from above, then its mean and weight."""
+    strength = _STRENGTH.format(f"{name}_counts")
+    return f"""
+        {name}_counts as (
+            select {keys}, sum(h.good) as good, sum(h.n) as n, any_value(a.mean) as prior
+            from hosts h join {above} group by {keys}),
+        {name}_level as (
+            select *, n + {strength} as weight, (good + {strength} * prior) / (n + {strength}) as mean from {name}_counts)"""
+
+
+_RULES = ", ".join(f"('{rule[: rule.index('/')]}', '{rule[rule.index('/') :]}', '{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+
 ORACLES: dict[str, str] = {
+    "op6_url_filter": f"""
+        with parts as (
+            select page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) as path
+            from pages),
+        counted as (
+            select host, coalesce(sum(quality), 0) as good, count(quality) as n
+            from parts left join (select doc_id, quality from labels where quality in (0, 1)) on page_id = doc_id group by host),
+        named as (select *, string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') as names from counted),
+        sized as (select *, array_to_string(names[-2:], '.') in ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br') as long from named),
+        hosts as (
+            select host, good, n, array_to_string(case when long then names[-2:] else names[-1:] end, '.') as suffix,
+                   array_to_string(case when long then names[-3:] else names[-2:] end, '.') as domain
+            from sized),
+        total_level as (select (sum(good) + 1) / (sum(n) + 2) as mean from hosts),
+        {_level("suffix", "total_level a on true", "h.suffix")},
+        {_level("domain", "suffix_level a on h.suffix = a.suffix", "h.suffix, h.domain")},
+        {_level("host", "domain_level a on h.suffix = a.suffix and h.domain = a.domain", "h.suffix, h.domain, h.host")},
+        rules as (select * from (values {_RULES}) r(name, start, rule, verdict)),
+        fit as (
+            select page_id, host, path, max_by(rule, length(rule)) as rule, max_by(verdict, length(rule)) as verdict
+            from parts join rules on (host = name or ends_with(host, '.' || name)) and starts_with(path, start) group by all)
+        select p.page_id, p.host, p.path, f.rule,
+               coalesce(f.verdict, case when l.mean + 1.645 * sqrt(l.mean * (1 - l.mean) / (l.weight + 1)) < 0.5
+                                        then 'block' else 'allow' end) as verdict
+        from parts p join host_level l on p.host = l.host left join fit f on p.page_id = f.page_id
+    """,
     "op10_exact_dedup": """
         with normal as (
             select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') as plain,
