@@ -1,7 +1,6 @@
 """Every registered query against its SQL, value for value."""
 
 import datetime
-import os
 
 import pytest
 
