@@ -56,7 +56,8 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = _lowest(both, "a", "b").select("at", F.least("at", "low").alias("low"))
+        # Written, so that the join shuffles both sides by itself and may split a large star.
+        low = stage(_lowest(both, "a", "b").select("at", F.least("at", "low").alias("low")), "lowest")
         large = both.join(low, both["a"] == low["at"]).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = stage(large.distinct(), "large")
         low = _lowest(large, "a", "b")

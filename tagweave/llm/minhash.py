@@ -195,12 +195,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each document."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(c, T.LongType()) for c in ("n", "sum1", "sum2")), T.StructField("bands", T.ArrayType(T.LongType()))])
+    numbers = [T.StructField(c, T.LongType()) for c in ("n", "sum1", "sum2")]
+    schema = T.StructType([T.StructField("doc_id", kind), *numbers, T.StructField("bands", T.ArrayType(T.LongType()))])
     rows = stage(docs.mapInArrow(_sketch, schema), "sketches")
     sets = ["sum1", "sum2", "n"]
     classes = stage(rows.filter("n > 0").groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
 
-    groups = stage(_candidate_groups(classes.filter("id is not null")).select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
+    candidates = _candidate_groups(classes.filter("id is not null"))
+    groups = stage(candidates.select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
     texts = stage(docs.join(groups, F.col("doc_id") == F.col("id")).select("id", "text"), "texts")
     blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
@@ -212,7 +214,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = groups.join(found, F.col("id") == F.col("node"), "left").select("group", "id", F.coalesce("component", "id").alias("component"))
     placed = stage(placed, "placed")
     parts = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    main = F.max_by("component", F.struct("n", "component")).alias("main")
+    largest = parts.groupBy("group").agg(main, F.sum("n").alias("all"), F.max("n").alias("most"))
     largest = largest.filter("`all` > most").withColumns(
         {"all_blocks": F.ceil(F.col("all") / BLOCK), "outside_blocks": F.ceil((F.col("all") - F.col("most")) / BLOCK)}
     )

@@ -267,7 +267,7 @@ def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
         *map(count, KINDS),
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         joined(F.concat("base", added)).alias("spans"),
-        F.transform(ordered(F.concat("base", added)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"),
+        F.transform(ordered(F.concat("base", added)), lambda s: F.struct(*(s[c].alias(c) for c in ("kind", "start", "end")))).alias("found"),
     )
 
 
@@ -276,7 +276,8 @@ def mask(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     Documents are joined by doc_id, which must name one row.
     """
-    spans = found.select(F.col("doc_id").alias("_found_id"), F.array_sort(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_found"))
+    by_place = F.transform("found", lambda s: F.struct(*(s[c].alias(c) for c in ("start", "end", "kind"))))
+    spans = found.select(F.col("doc_id").alias("_found_id"), F.array_sort(by_place).alias("_found"))
     rows = docs.join(spans, F.col("doc_id") == F.col("_found_id"), "left")
     zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
