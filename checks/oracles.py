@@ -341,6 +341,9 @@ select id, attr from ({_labels('units')}) join documents on doc_id = id where la
 select id, tag, count(*) as clause_count from (select id, unnest(tags) as tag from units) group by id, tag""",
     "dimensions": f"with {TAGGED} {_labels('tagged')}",
     "post_labels": f"with {TAGGED}, {FLAGGED}, {UNITS} {_labels('units')}",
+    "combined_clauses": f"with {TAGGED}, {FLAGGED}, {UNITS} {_labels('units')}",
+    "path_pieces": f"""{_with(LINES)}
+select distinct attr, string_split(attr, '.')[2] as second, string_split(attr, '.')[-1] as last from lines""",
     "lexicon_rules": f"""with {TAGGED}, entries as (select * from ({_entries()}) v(name, kind, entry, body)),
 hits as (select tag, count(*) as n from (select unnest(tags) as tag from tagged) group by tag)
 select name, kind, entry, body, coalesce(n, 0) as post_count

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from tagweave.functions.paths import piece
 from tagweave.operators.attrs import classify_attrs
 from tagweave.operators.audience import ANGLE, angle_list, audience, audience_of, scene_touch
 from tagweave.operators.metrics import TouchPointMetrics
 from tagweave.operators.tagging import (
     apply_dimensions,
+    combine_clauses,
+    explode_labels,
     flag_objects,
     label_posts,
     retag_clauses,
@@ -134,6 +137,17 @@ def _post_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_posts(fx.posts(spark, sf_dir), lexicon).select("id", "attr")
 
 
+def _combined_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of posts by the steps one after another, clauses as rows of their own."""
+    clauses = retag_clauses(flag_objects(_tagged(spark, sf_dir), fx.FX1), fx.FX1)
+    return explode_labels(combine_clauses(apply_dimensions(clauses, fx.FX1), fx.FX1, ["id"]), ["id"])
+
+
+def _path_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = fx.post_attr(spark, sf_dir).select("attr").distinct()
+    return paths.select("attr", piece("attr", r"\.", 1).alias("second"), piece("attr", r"\.", -1).alias("last"))
+
+
 def _lexicon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = lexicon_entries(fx.lexicon_rules(spark))
     found = _tag_posts(spark, sf_dir).groupBy("tag").agg(F.count(F.lit(1)).alias("post_count"))
@@ -173,5 +187,7 @@ QUERIES: dict[str, Query] = {
     "retag_clauses": _retag_clauses,
     "dimensions": _dimensions,
     "post_labels": _post_labels,
+    "combined_clauses": _combined_clauses,
+    "path_pieces": _path_pieces,
     "lexicon_rules": _lexicon_rules,
 }
