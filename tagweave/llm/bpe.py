@@ -20,9 +20,9 @@ repeated rows each give a row; further columns are not read. No text is cut, wha
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -34,7 +34,7 @@ from tokenizers import Tokenizer
 
 from tagweave.llm.common import slices
 
-KNOWN_WORDS, KNOWN_PAIRS, PART_BYTES = 200_000, 2_000_000, 4_000_000
+KNOWN_WORDS, KNOWN_PAIRS, PART_BYTES, SHORT = 200_000, 1_000_000, 4_000_000, 64
 
 
 def byte_letters() -> list[str]:
@@ -44,24 +44,11 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(moved)) for b in range(256)]
 
 
-def unassigned() -> re.Pattern:
-    """Any character without a category in Python's tables."""
-    ranges, start = [], None
-    for code in range(0x80, sys.maxunicode + 2):
-        free = code <= sys.maxunicode and unicodedata.category(chr(code)) == "Cn"
-        if free and start is None:
-            start = code
-        elif not free and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{code - 1:08x}")
-            start = None
-    return re.compile(f"[{''.join(ranges)}]")
-
-
 class WordBpe:
     """Encodes texts by one tokenizer; keeps what it has learned about words, tokens and pairs."""
 
     def __init__(self, spec: str):
-        self.spec, self.library, self.unsure = spec, None, unassigned().search
+        self.spec, self.library, self.sure = spec, None, set(map(chr, range(128)))
         spec = json.loads(spec)
         model, split = spec["model"], spec["pre_tokenizer"]
         kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -81,6 +68,10 @@ class WordBpe:
         self.letters = byte_letters()
         self.name = {v: k for k, v in self.ids.items()}
         self.longest = max(map(len, self.ids))
+        #: The longest token that begins with two letters.
+        self.reach: dict[str, int] = {}
+        for name in self.ids:
+            self.reach[name[:2]] = max(len(name), self.reach.get(name[:2], 0))
         self.known = {token: (str(i), token) for token, i in special.items()}  # a word never equals one of these
         self.fixed = dict(self.known)
         self.stable: dict[int, bool] = {}
@@ -94,24 +85,46 @@ class WordBpe:
         return letters
 
     def merge(self, symbols: list[str]) -> list[str]:
-        """Exact merging: the best ranked pair, the leftmost of them, until no pair has a rank."""
-        while len(symbols) > 1:
-            ranks = [self.rank.get(p, len(self.rank)) for p in zip(symbols, symbols[1:])]
+        """Exact merging: the best ranked pair, the leftmost of equal ones, until no pair has a rank."""
+        if len(symbols) > SHORT:
+            return self._merge_long(symbols)
+        rank, none = self.rank.get, len(self.rank)
+        symbols = list(symbols)
+        ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:])]
+        while ranks:
             best = min(ranks)
-            if best == len(self.rank):
+            if best == none:
                 break
-            a, b = symbols[ranks.index(best)], symbols[ranks.index(best) + 1]
-            merged, k = [], 0
-            while k < len(symbols):
-                if k + 1 < len(symbols) and symbols[k] == a and symbols[k + 1] == b:
-                    merged.append(a + b)
-                    k += 2
-                else:
-                    merged.append(symbols[k])
-                    k += 1
-            symbols = merged
+            k = ranks.index(best)
+            symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((symbols[k - 1], symbols[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((symbols[k], symbols[k + 1]), none)
         return symbols
 
+    def _merge_long(self, symbols: list[str]) -> list[str]:
+        """The same with a heap of pairs, for words without end."""
+        left, right = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
+        symbols = list(symbols)
+        heap = [(self.rank[p], k, *p) for k, p in enumerate(zip(symbols, symbols[1:])) if p in self.rank]
+        heapq.heapify(heap)
+        while heap:
+            _, k, a, b = heapq.heappop(heap)
+            after = right[k]
+            if symbols[k] != a or after < 0 or symbols[after] != b:
+                continue  # one of the two has been merged since
+            symbols[k], symbols[after] = a + b, ""
+            right[k] = right[after]
+            if right[k] >= 0:
+                left[right[k]] = k
+            for x, y in ((left[k], k), (k, right[k])):
+                pair = (symbols[x], symbols[y]) if x >= 0 and y >= 0 else None
+                if pair in self.rank:
+                    heapq.heappush(heap, (self.rank[pair], x, *pair))
+        return [x for x in symbols if x]
+
     def _letters_of(self, token: int) -> list[str]:
         name = self.name[token]
         if name.endswith(self.end):
@@ -139,7 +152,7 @@ class WordBpe:
             if token is not None:
                 found.append(token)
                 break
-            for stop in range(min(len(letters) - 1, at + self.longest), at, -1):
+            for stop in range(min(len(letters) - 1, at + self.reach.get(letters[at : at + 2], 1)), at, -1):
                 token = ids.get(letters[at:stop])
                 if token is not None:
                     break
@@ -182,6 +195,12 @@ class WordBpe:
                 tokens = proposed[k]
             self.known[word] = " ".join(map(str, tokens)), " ".join(self.name[t] for t in tokens)
 
+    def unsure(self, text: str) -> bool:
+        """Does a text have a character without a category in Python's tables?"""
+        fresh = set(text) - self.sure
+        self.sure |= {c for c in fresh if unicodedata.category(c) != "Cn"}
+        return not fresh <= self.sure
+
     def _split_by_library(self, text: str) -> list[str]:
         """Words of a text with characters that Python's tables do not know yet, whose case and kind may have changed."""
         if self.library is None:
@@ -261,8 +280,8 @@ def _with_id(docs: DataFrame, columns: str) -> str:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and the ids and the decoded text as strings."""
-    rows = docs.select("doc_id", "text").mapInArrow(_encoder(_spec(docs, path)), _with_id(docs, "n_tokens long, ids string, decoded string"))
-    return rows
+    schema = _with_id(docs, "n_tokens long, ids string, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(_encoder(_spec(docs, path)), schema)
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

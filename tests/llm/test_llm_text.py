@@ -47,6 +47,16 @@ def test_most_words_need_no_merging():
     assert 0 < encoder.exact < len(encoder.known) / 2
 
 
+def test_long_words_merge_like_short_ones(monkeypatch):
+    with open(PATH) as file:
+        encoder = bpe.WordBpe(file.read())
+    rng = random.Random(8)
+    for _ in range(200):
+        symbols = encoder.symbols("".join(rng.choice("theaiou") for _ in range(rng.randint(1, 60))))
+        assert encoder._merge_long(symbols) == encoder.merge(symbols)
+    assert len(encoder.merge(encoder.symbols("mo" * 100_000))) > 1000
+
+
 def test_other_tokenizers_are_refused():
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file, pytest.raises(ValueError):
         bpe.WordBpe(file.read())
