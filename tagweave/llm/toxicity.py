@@ -37,7 +37,7 @@ from tagweave.llm.common import slices
 TRAIN_ROWS, TRAIN_CHARS, PART_BYTES = 2000, 20_000, 4_000_000
 PASSAGE, GRAMS, BUCKETS, SIZE = 32, (3, 4, 5), 1 << 15, 8
 ROUNDS, WARM, BATCH, RATE, STEPS = 6, 1, 256, 0.5, 400
-TOXIC_FROM, KNOWN_WORDS = 0.3, 500_000
+TOXIC_FROM, KNOWN_WORDS = 0.3, 250_000
 
 words_of = re.compile(r"[^\W_]+").findall
 
