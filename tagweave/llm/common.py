@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _unset: dict[str, str] = {}
 
 
@@ -26,12 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes rows to a new table of the shared folder and reads it, so that no step repeats them.
 
-    The table outlives lost executors. It stays as long as rows that are read from it may be asked
-    for; the owner of the shared folder removes what lies below its folder ``tagweave``.
+    Shuffle files of the write are removed when it is done, as nothing reads them any more. The table
+    outlives lost executors. It stays as long as rows that are read from it may be asked for; the
+    owner of the shared folder removes what lies below its folder ``tagweave``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tagweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
