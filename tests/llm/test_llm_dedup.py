@@ -152,6 +152,49 @@ def test_passages(spark):
     assert found[0].n_later >= 1 and found[4].n_later == 1 and found[1].n_words == 200
 
 
+def chained_by_loops(x, y):
+    """Scores of the best chains that end in each link, over all predecessors within reach."""
+    reach, score = substring_dedup.SEED + substring_dedup.WIDEST, []
+    for i in range(len(x)):
+        steps = [(x[i] - x[j], y[i] - y[j], score[j]) for j in range(i)]
+        paid = [s - substring_dedup.GAP_COST * (a + b) for a, b, s in steps if 0 < a <= reach and 0 < b <= reach]
+        score.append(substring_dedup.SEED + max([0, *paid]))
+    return score
+
+
+def test_chains_of_several_passages():
+    import numpy as np
+
+    rng = random.Random(6)
+    for gap in (70, 90, 300, 1000):
+        for n in (2, 3):
+            links, at = [], 0
+            for _ in range(n):
+                links += [(at + k, at + k + 9) for k in range(0, rng.choice((54, 500)), 6)]
+                at = links[-1][0] + gap
+            x, y = map(np.array, zip(*links))
+            found = substring_dedup.chains(x, y)
+            assert len(found) == n and sorted(sum(found, [])) == list(range(len(x)))
+    for _ in range(200):
+        x, y = map(np.array, zip(*sorted({(rng.randrange(400), rng.randrange(400)) for _ in range(60)})))
+        score = chained_by_loops(x, y)
+        best = max(range(len(x)), key=lambda i: (score[i], -i))
+        lines = {line[-1]: line for line in substring_dedup.chains(x, y)}
+        gaps = lambda line: sum(x[b] - x[a] + y[b] - y[a] for a, b in zip(line, line[1:]))
+        total = substring_dedup.SEED * len(lines[best]) - substring_dedup.GAP_COST * gaps(lines[best])
+        assert abs(total - score[best]) < 1e-6
+
+
+def test_several_passages_of_one_pair(spark):
+    rng = random.Random(7)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    for n, gap in ((2, 50), (2, 70), (3, 200), (2, 1000)):
+        shared = [fresh(60) for _ in range(n)]
+        rows = [(d, " ".join(sum((fresh(gap) + p for p in shared), []))) for d in (1, 2)]
+        found = {r.doc_id: r for r in substring_dedup.substring_dedup(frame(spark, rows)).collect()}
+        assert found[2].n_passages == n and 60 * n <= found[2].n_repeated <= 62 * n
+
+
 @pytest.mark.parametrize(
     "apply",
     [exact_dedup.exact_dedup, exact_dedup.drop_copies, minhash.near_duplicates, minhash.drop_near_copies, suffix_dedup.suffix_dedup, substring_dedup.substring_dedup],
