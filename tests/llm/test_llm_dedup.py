@@ -12,6 +12,9 @@ DOCS = documents()
 UNIQUE = [r for r in dict(DOCS).items() if r[0] is not None]
 
 
+RECALL = {0.1: 0.98, 0.15: 0.95, 0.18: 0.9}
+
+
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
@@ -195,6 +198,34 @@ def test_several_passages_of_one_pair(spark):
         assert found[2].n_passages == n and 60 * n <= found[2].n_repeated <= 62 * n
 
 
+def equal_words(a, b):
+    row = [0] * (len(b) + 1)
+    for w in a:
+        last = 0
+        for k, v in enumerate(b):
+            last, row[k + 1] = row[k + 1], last + 1 if w == v else max(row[k + 1], row[k])
+    return row[-1]
+
+
+@pytest.mark.parametrize("changed", [0.1, 0.15, 0.18])
+def test_recall_of_fuzzy_passages(spark, changed):
+    """Passages that brute-force alignment accepts, with words replaced at random places."""
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, accepted = [], set()
+    for k in range(400):
+        passage = fresh(rng.choice((45, 60, 120)))
+        other = [w if rng.random() > changed else fresh(1)[0] for w in passage]
+        other[0], other[-1] = passage[0], passage[-1]
+        if equal_words(passage, other) >= 0.8 * len(passage):
+            accepted.add(1000 + k)
+        rows += [(k, fresh(20) + passage + fresh(20)), (1000 + k, fresh(30) + other + fresh(10))]
+    found = substring_dedup.substring_dedup(frame(spark, [(d, " ".join(w)) for d, w in rows])).collect()
+    seen = {r.doc_id for r in found if r.n_passages}
+    print(f"recall at {changed}: {len(accepted & seen)} of {len(accepted)}")
+    assert len(accepted & seen) >= RECALL[changed] * len(accepted)
+
+
 @pytest.mark.parametrize(
     "apply",
     [exact_dedup.exact_dedup, exact_dedup.drop_copies, minhash.near_duplicates, minhash.drop_near_copies, suffix_dedup.suffix_dedup, substring_dedup.substring_dedup],
