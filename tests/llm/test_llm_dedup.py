@@ -226,6 +226,32 @@ def test_recall_of_fuzzy_passages(spark, changed):
     assert len(accepted & seen) >= RECALL[changed] * len(accepted)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16])
+@pytest.mark.parametrize("changed, least", [(0, 1.0), (0.1, 0.95)])
+def test_passages_whose_parts_others_hold(spark, parts, changed, least):
+    """Earlier documents hold the beginning, the end, or 39 of 40 words, too little to count."""
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, expected = [], set()
+    for k in range(0, 1500, 15):
+        n = rng.choice((40, 60))
+        passage = fresh(n)
+        held = 39 if n == 40 else 32
+        other = [fresh(1)[0] if 0 < i < n - 1 and rng.random() < changed else w for i, w in enumerate(passage)]
+        parted = [passage[:held], passage[-held:]]
+        # Where words are changed, nobody between the two that hold all of it holds parts of it.
+        texts = [*parted, passage, other] if changed else [*parted, passage, *parted, passage]
+        rows += [(k + i, " ".join(fresh(15) + t + fresh(15))) for i, t in enumerate(texts)]
+        if equal_words(passage, texts[-1]) >= 0.8 * n:
+            expected.add(k + len(texts) - 1)
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    found = {r.doc_id: r for r in substring_dedup.substring_dedup(docs).collect()}
+    seen = {d for d in expected if found[d].n_passages and d // 15 * 15 + 2 in found[d].earlier}
+    print(f"partial holders, {parts} parts, {changed} changed: {len(seen)} of {len(expected)}")
+    assert len(seen) >= least * len(expected)
+
+
 @pytest.mark.parametrize(
     "apply",
     [exact_dedup.exact_dedup, exact_dedup.drop_copies, minhash.near_duplicates, minhash.drop_near_copies, suffix_dedup.suffix_dedup, substring_dedup.substring_dedup],
