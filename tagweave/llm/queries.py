@@ -16,6 +16,7 @@ from tagweave.llm import (
     divergence,
     exact_dedup,
     html_extract,
+    licenses,
     minhash,
     pii,
     substring_dedup,
@@ -91,6 +92,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("found")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_pii": op2_pii,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_divergence": op11_divergence,
     "op12_centroids": op12_centroids,
+    "op13_licenses": op13_licenses,
 }
 
 #: The prior of a level from its children: see url_filter._strength.
