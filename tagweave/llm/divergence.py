@@ -34,7 +34,7 @@ from tagweave.llm.common import slices, stage
 LEAST_DOCUMENTS, TOP_TERMS, SMOOTHING, UNIT = 30, 50, 5, 1_000_000_000
 BLOCK, CHUNK = 4096, 256
 #: Entries that a task counts before it hands them on, and bytes of a text that are cut at once.
-ENTRIES, PIECE = 200_000, 1 << 20
+ENTRIES, PIECE = 500_000, 1 << 20
 #: Joint cells that are worked out at once.
 CELLS = 1 << 20
 
@@ -57,11 +57,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
     def flush() -> pa.RecordBatch:
-        rows = [(*group, term, n, of[1][term]) for group, of in counts.items() for term, n in of[0].items()]
+        columns: list[list[pa.Array]] = [[], [], [], [], []]
+        for (lang, source), (n, docs) in counts.items():
+            terms = list(n)
+            told = [pa.repeat(pa.scalar(x, pa.string()), len(terms)) for x in (lang, source)]
+            told += [pa.array(terms, pa.binary()), pa.array(n.values(), pa.int64()), pa.array(map(docs.__getitem__, terms), pa.int64())]
+            for column, part in zip(columns, told):
+                column.append(part)
         counts.clear()
-        columns = list(zip(*rows)) or [()] * 5
         types = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "source", "term", "n", "docs"])
+        whole = [pa.concat_arrays(c) if c else pa.array([], t) for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(whole, ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
         for part in slices(batch, "text", 1 << 22):
