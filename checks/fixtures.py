@@ -149,6 +149,18 @@ def lexicon_rules(spark: SparkSession) -> DataFrame:
     return _literal_table(spark, [row, other], "name string, tags string, dimensions string, objects string")
 
 
+def word_lexicon_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule set of real size: the small words of the benchmark as tags, long ones as patterns."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{5,12}"), F.lit(0))).alias("word"))
+    word = F.col("word")
+    pattern = F.when(F.length(word) < 9, word).otherwise(F.concat(F.substring(word, 1, 4), F.lit("[a-z]"), F.substring(word, 6, 20)))
+    # A rule set is one row of text.
+    entries = F.collect_set(F.struct(word, pattern.alias("pattern")))
+    tags = F.to_json(F.map_from_entries(F.sort_array(entries)))
+    none = F.lit(None).cast("string")
+    return words.agg(tags.alias("tags")).select(F.lit("words").alias("name"), "tags", none.alias("dimensions"), none.alias("objects"))
+
+
 def _literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     columns = list(zip(*rows))
     return spark.createDataFrame(pa.table(dict(zip([f.split()[0] for f in schema.split(", ")], columns))), schema)

@@ -336,6 +336,14 @@ from ({_scene(False)})""",
 select id, attr from ({_labels('units')}) join documents on doc_id = id where lang <> 'de'""",
     "tag_posts": f"with {TAGGED} select id, unnest(tags) as tag from tagged",
     "tag_columns": "select doc_id as id, " + ", ".join(f'{_hit(t, "text")} as "{t}"' for t in TAGS) + " from documents",
+    "word_lexicon": """
+with words as (select distinct unnest(regexp_extract_all(text, '[a-z]{5,12}')) as tag from benchmark),
+low as (select doc_id, lower(text) as text from documents),
+hits as (
+  select tag, doc_id from words join low
+    on case when length(tag) < 9 then contains(text, tag)
+            else regexp_matches(text, substring(tag, 1, 4) || '[a-z]' || substring(tag, 6)) end)
+select tag, count(*) as post_count, min(doc_id) as first_id, max(doc_id) as last_id from hits group by tag""",
     "tag_objects": f"with {TAGGED}, {FLAGGED} select id, 'suffix' as object, len(tags) as tag_count from flagged where hits >= 2",
     "retag_clauses": f"""with {TAGGED}, {FLAGGED}, {UNITS}
 select id, tag, count(*) as clause_count from (select id, unnest(tags) as tag from units) group by id, tag""",

@@ -121,6 +121,13 @@ def _tag_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.filter(F.col("object").isNotNull())
 
 
+def _word_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of a lexicon of thousands, through its index: posts of each tag, the first and the last of them."""
+    lexicon = load_lexicon(fx.word_lexicon_rules(spark, sf_dir), "words")
+    tags = tag_posts(fx.posts(spark, sf_dir), lexicon).select("id", F.explode_outer("tags").alias("tag")).filter(F.col("tag").isNotNull())
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("post_count"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 def _retag_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     clauses = retag_clauses(flag_objects(_tagged(spark, sf_dir), fx.FX1), fx.FX1)
     tags = clauses.select("id", F.explode_outer("tags").alias("tag")).filter(F.col("tag").isNotNull())
@@ -182,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "appended_metric": _appended_metric,
     "orc_labels": _orc_labels,
     "tag_posts": _tag_posts,
+    "word_lexicon": _word_lexicon,
     "tag_columns": lambda spark, sf_dir: tag_columns(fx.posts(spark, sf_dir).select("id", "content"), fx.FX1).drop("content"),
     "tag_objects": _tag_objects,
     "retag_clauses": _retag_clauses,

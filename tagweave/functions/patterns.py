@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,9 +15,6 @@ REGEX_MARKS = frozenset("\\.[]{}()*+?^$|")
 # The characters outside ASCII whose lower case begins with an ASCII letter.
 FOLDS_INTO_ASCII = ("K", "İ")
 
-# Tags per array expression. Keeps each generated method small for lexicons of thousands of tags.
-CHUNK = 50
-
 _NAMES = "array<string>"
 
 
@@ -37,10 +33,10 @@ def _is_word(text: str) -> bool:
     if not text or REGEX_MARKS & set(text) or "\u0000" in text:
         return False
     cased = [c for c in text if not c.isascii() and unicodedata.category(c) in ("Lu", "Ll", "Lt", "Lm", "Mn", "Mc", "Me")]
-    return not (cased and _lettered(text))
+    return not (cased and is_lettered(text))
 
 
-def _lettered(word: str) -> bool:
+def is_lettered(word: str) -> bool:
     return any(c.isascii() and c.isalpha() for c in word)
 
 
@@ -54,17 +50,22 @@ def plain_words(pattern: str) -> list[str] | None:
 _BETWEEN_WORDS = re.compile(r"(?:\[\^?[^\[\]^\\&]+\]|\.)(?:[*+?]|\{[0-9,]+\})?[+?]?|[+^$]")
 
 
-def needed_word(pattern: str) -> str | None:
-    """A word that every match of ``pattern`` holds, if one is plain to see, else None.
+def needed_words(pattern: str) -> list[str]:
+    """Words that every match of ``pattern`` holds, the longest first, as far as they are plain to see.
 
     Only patterns without groups, alternatives, escapes and optional letters are looked at.
     """
     words = [w for w in _BETWEEN_WORDS.split(pattern) if w]
-    return max(words, key=len) if words and all(map(_is_word, words)) else None
+    return sorted(dict.fromkeys(words), key=len, reverse=True) if all(map(_is_word, words)) else []
+
+
+def needed_word(pattern: str) -> str | None:
+    """The first of the longest words that every match of ``pattern`` holds, None where none is plain to see."""
+    return next(iter(needed_words(pattern)), None)
 
 
 def _holds(text: Column, word: str, folded: Column) -> Column:
-    return F.contains(folded, F.lit(word.lower())) if _lettered(word) else F.contains(text, F.lit(word))
+    return F.contains(folded, F.lit(word.lower())) if is_lettered(word) else F.contains(text, F.lit(word))
 
 
 def found(text: Column, pattern: str, folded: Column | None = None) -> Column:
@@ -85,21 +86,6 @@ def found(text: Column, pattern: str, folded: Column | None = None) -> Column:
     return matched if word is None else _holds(text, word, folded) & matched
 
 
-def matched_tags(text: Column, tags: Mapping[str, str], folded: Column | None = None) -> Column:
-    """Names of the tags whose pattern is found in ``text``, in lexicon order; empty for null text.
-
-    ``folded`` is a column that holds ``fold(text)``, so that it is computed once for all tags.
-    """
-    names = list(tags)
-    chunks = [
-        F.array_compact(F.array(*[F.when(found(text, tags[n], folded), F.lit(n)) for n in names[i : i + CHUNK]]))
-        for i in range(0, len(names), CHUNK)
-    ]
-    if not chunks:
-        return F.array().cast(_NAMES)
-    return chunks[0] if len(chunks) == 1 else F.concat(*chunks)
-
-
 def clauses(text: Column, marks: str = CLAUSE_MARKS) -> Column:
     """Text cut at every mark.
 

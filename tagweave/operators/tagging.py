@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.functions.patterns import clauses, fold, folded_clauses, found, matched_tags
+from tagweave.functions.lexicon_index import matched_tags
+from tagweave.functions.patterns import clauses, fold, folded_clauses, found
 from tagweave.functions.rules import check_rules, label_array, literal, rule_text
 from tagweave.sources.lexicon import Lexicon
 

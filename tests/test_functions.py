@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tagweave.functions.lexicon_index import LexiconIndex, matched_tags, trie_pattern
 from tagweave.functions.paths import brand_of, category_of, last_segment, n_segments, piece, segment
-from tagweave.functions.patterns import clauses, fold, found, matched_tags, needed_word, plain_words
+from tagweave.functions.patterns import clauses, fold, found, needed_word, plain_words
 from tagweave.functions.rules import RuleError, check_rules, label_array, rule_text
 
 
@@ -75,6 +76,29 @@ def test_more_tags_than_a_chunk(spark):
     assert values(spark, ["a"], lambda c: matched_tags(c, {})) == [[]]
 
 
+def test_index_finds_what_each_pattern_finds(spark):
+    tags = {f"tag {k}": p for k, p in enumerate(PATTERNS)}
+    direct, indexed = (values(spark, [*TEXTS, None], lambda c: matched_tags(c, tags, indexed=n)) for n in (1000, 0))
+    assert indexed == direct and indexed[-1] == [] and len(LexiconIndex(tags).without_word) < len(tags) / 2
+
+
+def test_index_of_words_that_begin_hold_and_overlap_each_other(spark):
+    words = ["a", "ab", "abc", "abcabd", "bc", "cab", "ca", "xy", "xyz", "yz", "z]", "^", "好", "好的", "的x", "X.Y", "É", "𝄞b", "a b"]
+    tags = {w: w for w in words if plain_words(w)} | {"either": "bc|好", "with": "ab[^q]{0,9}yz", "cased": "É[0-9]", "free": "(?:a|q)+x"}
+    texts = ["abcabd", "ABCAB", "xxyzz]", "好的X", "é", "É1", "qqx", "a b", "𝄞B", "ab好yz", "^", "", "ab " * 5000 + "yz"]
+    direct, indexed = (values(spark, texts, lambda c: matched_tags(c, tags, indexed=n)) for n in (1000, 0))
+    assert indexed == direct and all(indexed[:4])
+
+
+def test_a_trie_has_few_branches_at_each_place():
+    import re
+
+    words = [a + b + c for a in "abcdefghijklmnop" for b in "好的吗aeiou" for c in ("", "x", "yy")]
+    pattern = re.sub(r"\\x\{(\w+)\}", lambda m: re.escape(chr(int(m[1], 16))), trie_pattern(words))
+    assert all(re.fullmatch(pattern, w) for w in words) and not re.match(pattern, "qe")
+    assert re.match(pattern, "a好yyx")[0] == "a好yy" and re.match(pattern, "aex")[0] == "aex"
+
+
 TAGS = ["a", "b1", "b2", "c d", "it's", "s-1"]
 
 

@@ -1,6 +1,7 @@
 """Lexicon tagging from tags to labels."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,21 @@ def test_text_is_matched_once(spark, sf_dir):
     assert plan.count("[a-z0-9._]+@[a-z0-9.]+") == 2
 
 
+def test_a_lexicon_of_thousands_is_one_pass(spark):
+    """The same rows as a plain search, from a plan that has no expression for each tag."""
+    posts = fx.posts(spark, "/root/testdata/sf0.001")
+    texts = {r.id: r.content for r in posts.collect()}
+    words = sorted({w[k:] for t in texts.values() for w in re.findall("[a-z]{5,}", t.lower()) for k in (0, 2)})[:4000]
+    tags = {f"w {w}": w for w in words} | {f"p {w}": f"{w[:3]}[a-z]{{1,4}}{w[-1]}" for w in words[::40]}
+    tagged = tag_posts(posts, Lexicon("l", tags))
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" not in plan and plan.count("regexp_extract_all") == 1
+    found = {r.id: r.tags for r in tagged.select("id", "tags").collect()}
+    for id_, text in texts.items():
+        low = text.lower()
+        assert found[id_] == [n for n, p in tags.items() if (p in low if n[0] == "w" else re.search(p, text, re.I | re.A))]
+
+
 def rules_table(spark, *rows):
     return spark.createDataFrame(rows, "name string, tags string, dimensions string, objects string")
 
