@@ -43,14 +43,24 @@ def scene_touch(rows: DataFrame, scope: Sequence[str] = ANGLE) -> DataFrame:
     ``rows`` are classified attributes (``attr_type``, ``attr``) with the columns of ``scope``, which
     are matched together with the post. Where a touch point is found its user, categories and brands
     are taken, even if they are null; else those of the scene.
+
+    This is a full outer join, put together from a left join and an anti join: Spark splits the rows of
+    a post with a large part of all rows in both, which it can not in a full outer join. Rows without
+    an id match nothing; a hash of their values stands for it, so that they do not meet in one task.
     """
-    keys = [*scope, "platform_id", "id"]
+    keys = [*scope, "platform_id"]
     values = ["user_id", "categoryids", "brands"]
-    fields = [*keys, *values]
-    scenes = rows.filter(F.col("attr_type") == "scene").select(*fields, F.col("attr").alias("scene"))
-    touches = rows.filter(F.col("attr_type").isin("tp", "sub_tp")).select(*fields, F.col("attr").alias("tp"), "attr_type")
+    fields = [*keys, "id", *values]
+    place = F.coalesce("id", F.xxhash64(*fields).cast("string")).alias("place")
+    scenes = rows.filter(F.col("attr_type") == "scene").select(*fields, F.col("attr").alias("scene"), place)
+    touches = rows.filter(F.col("attr_type").isin("tp", "sub_tp")).select(*fields, F.col("attr").alias("tp"), "attr_type", place)
     a, b = scenes.alias("a"), touches.alias("b")
-    matched = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.place") == F.col("b.id")]
+    matched = a.join(b.filter(F.col("id").isNotNull()), [*same, F.col("a.id").isNotNull()], "left")
     alone = F.col("b.id").isNull()
     picked = [F.when(alone, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in fields]
-    return a.join(b, matched, "full").select(*picked, "a.scene", "b.tp", "b.attr_type")
+    with_scenes = matched.select(*picked, "a.scene", "b.tp", "b.attr_type")
+    posts = scenes.filter(F.col("id").isNotNull()).select(*keys, F.col("id").alias("of_scene")).distinct().alias("a")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("b.place") == F.col("a.of_scene"), F.col("b.id").isNotNull()]
+    without = b.join(posts, same, "left_anti").withColumn("scene", F.lit(None).cast("string"))
+    return with_scenes.unionByName(without.select(*with_scenes.columns))

@@ -39,6 +39,14 @@ def may_join_late(rows: DataFrame, people: DataFrame) -> bool:
     return people.filter(unnamed).isEmpty() and authors.filter(F.col("first") != F.col("last")).isEmpty()
 
 
+def ids_have_one_author(rows: DataFrame) -> bool:
+    """Whether each post id is by one user of one platform. Then so is every post. One job over names."""
+    named = rows.filter(F.col("id").isNotNull() & F.col("platform_id").isNotNull() & F.col("user_id").isNotNull())
+    person = F.struct(*PERSON)
+    authors = named.groupBy("id").agg(F.min(person).alias("first"), F.max(person).alias("last"))
+    return authors.filter(F.col("first") != F.col("last")).isEmpty()
+
+
 class TouchPointMetrics:
     """Metrics of ``post_attr`` for the angles of ``people``, for all pending runs in one plan.
 
@@ -47,6 +55,8 @@ class TouchPointMetrics:
     ``special_people``: id, value, state; without it there is one run, 0, over all scenes.
     ``late_angles``: whether angles are joined last; when not given it is looked up if they may be,
     over the rows that count.
+    ``own_ids``: whether each post id is by one user of one platform, which lets posts be counted for
+    each person and summed; when not given it is looked up where it is asked.
     ``keep``: applied to shared rows before anything is made of them, as to write them once.
     ``lists_of_post``: whether the caller knows that all rows of a post hold the same categories and
     brands, which saves a join where they would be taken from the touch point.
@@ -63,6 +73,7 @@ class TouchPointMetrics:
         late_angles: bool | None = None,
         lists_of_post: bool = False,
         keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        own_ids: bool | None = None,
     ):
         self.scheme = scheme
         self.runs = Runs(special_people)
@@ -75,6 +86,13 @@ class TouchPointMetrics:
             self.match, self.who, self.rows = [*POST, "user_id"], PERSON, rows
         else:
             self.match, self.who, self.rows = [*ANGLE, *POST], [*ANGLE, "user_id"], keep(audience(rows, people))
+        self._own_ids = own_ids
+
+    @property
+    def own_ids(self) -> bool:
+        if self._own_ids is None:
+            self._own_ids = ids_have_one_author(self.rows)
+        return self._own_ids
 
     def table(self, name: str) -> DataFrame:
         return TABLES[name](self)
@@ -199,17 +217,32 @@ class TouchPointMetrics:
             scenes = scenes.filter(segment("attr", 2).isNotNull())
         if category:
             scenes = scenes.withColumn("category", F.explode("categoryids"))
-        # Posts are counted too, so here they stay until the end.
-        facts = scenes.select(*self.who, "id", "run_key", "attr", *category)
-        facts = self._to_angles(facts) if self.late_angles else facts
-        counts = facts.groupBy(*ANGLE, *category, "attr", "run_key").agg(
-            F.countDistinct("user_id").alias("user_count"), F.countDistinct("id").alias("id_count")
-        )
+        path = ["run_key", "attr", *category]
+        if self.late_angles and self.own_ids:
+            counts = self._posts_of_persons(scenes, path)
+        else:
+            # An id may be of several persons, so posts stay until the end.
+            facts = scenes.select(*self.who, "id", *path)
+            facts = self._to_angles(facts) if self.late_angles else facts
+            counts = facts.groupBy(*ANGLE, *path).agg(
+                F.countDistinct("user_id").alias("user_count"), F.countDistinct("id").alias("id_count")
+            )
         # The runs of a row hang on its path alone, so finished counts are copied for them.
         counts = self._by_run(counts)
         named = counts.withColumns({"parent_scene": segment("attr", 1), "scene": segment("attr", 2)})
         return named.select(RUN, *ANGLE, "parent_scene", "scene", *category, "user_count", "id_count")
 
+    def _posts_of_persons(self, scenes: DataFrame, path: list[str]) -> DataFrame:
+        """Users and posts by angle and path, where a post id is of one person.
+
+        Posts are counted for each person, and these counts are summed: no post is copied for an angle.
+        """
+        persons = scenes.groupBy(*PERSON, *path).agg(F.countDistinct("id").alias("ids"))
+        # Rows that repeat an angle of a person would add the posts again.
+        known = self.people.select(*PERSON, "people_type", F.explode("regex_rule").alias("people_angle")).distinct()
+        users = persons.join(known, PERSON, "inner").groupBy(*ANGLE, *path, "user_id").agg(F.sum("ids").alias("ids"))
+        return users.groupBy(*ANGLE, *path).agg(F.count("user_id").alias("user_count"), F.sum("ids").alias("id_count"))
+
     def _pairs(self, kinds: Sequence[str], values: Sequence[str]) -> DataFrame:
         """Distinct ``run_key, scene, parent_tp, tp`` that share a post, with its user.
 

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,57 @@ def test_touch_point_side_wins_even_when_null(spark):
     }
 
 
+JOINED = "people_type string, people_angle string, id string, user_id string, platform_id string, categoryids array<string>, brands array<string>, attr_type string, attr string"
+
+
+def joined_rows(rows):
+    """The full outer join by plain loops."""
+    scenes, touches, found, used = [r for r in rows if r[7] == "scene"], [r for r in rows if r[7] in ("tp", "sub_tp")], [], set()
+    key = lambda r: (r[0], r[1], r[4], r[2])
+    by_key = {}
+    for n, t in enumerate(touches):
+        by_key.setdefault(key(t), []).append(n)
+    for s in scenes:
+        partners = by_key.get(key(s), []) if None not in key(s) else []
+        used.update(partners)
+        found += [(*touches[n][:7], s[8], touches[n][8], touches[n][7]) for n in partners] or [(*s[:7], s[8], None, None)]
+    found += [(*t[:7], None, t[8], t[7]) for n, t in enumerate(touches) if n not in used]
+    return sorted(((*r[:5], tuple(r[5] or ()), *r[6:]) for r in found), key=repr)
+
+
+def test_scenes_and_touches_of_a_large_post_are_split(spark):
+    """One post, and one angle without ids, hold a third of the rows each; keys are null here and there."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(3000):
+        id_ = ("hot", None, str(rng.randrange(400)))[k % 3]
+        kind = rng.choice(("scene", "tp", "sub_tp", "other")) if id_ != "hot" else ("tp" if k % 100 == 0 else "scene")
+        rows.append((rng.choice("aab") if k % 50 else None, "N", id_, f"u{k % 7}", rng.choice(("1", "1", "2", None)), [str(k)], None, kind, f"x{k % 90}"))
+    frame = spark.createDataFrame(rows, JOINED).repartition(5)
+    large = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in large}
+    try:
+        for name, value in large.items():
+            spark.conf.set(name, value)
+        found = scene_touch(frame)
+        order = ["people_type", "people_angle", "id", "user_id", "platform_id", "categoryids", "brands", "scene", "tp", "attr_type"]
+        result = sorted((tuple(tuple(v or ()) if n == 5 else v for n, v in enumerate(r)) for r in found.select(*order).collect()), key=repr)
+        assert result == joined_rows(rows)
+        found.collect()
+        plan = plan_of(found)
+        assert "skew=true" in plan and "FullOuter" not in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_aligned_rows(spark):
     metric = spark.createDataFrame([(None, "x", None, 3), (5, None, 2, 3)], "category int, scene string, user_count bigint, data_model bigint")
     rows = align_to_target(metric, "2018-04-14", ["daterange", "data_model", "scene", "category", "user_count"])

@@ -151,6 +151,24 @@ def test_parents_alone_can_be_left_out(spark):
     assert {(r.parent_scene, r.scene) for r in metrics.subscene(need_child=True).collect()} == {("Home", "x")}
 
 
+def test_posts_are_summed_over_persons_where_ids_are_theirs(spark):
+    """No post is copied for an angle, and the counts are those of the other way; repeated people add nothing."""
+    small = "/root/testdata/sf0.001"
+    people = fx.people(spark, small)
+    inputs = fx.post_attr(spark, small), people.union(people), fx.special_people(spark)
+    summed, copied = (TouchPointMetrics(*inputs, late_angles=True, own_ids=own) for own in (None, False))
+    assert summed.own_ids
+    for name in ("tpa_subscene_data", "tpa_subscene_category_data"):
+        rows = [sorted(collected(m.table(name), name), key=repr) for m in (summed, copied)]
+        assert rows[0] == rows[1] and rows[0]
+        plan = summed.table(name)._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("Join ")]
+        assert "id#" not in above.replace("user_id#", "").replace("platform_id#", "")
+    rng = random.Random(1)
+    shared = TouchPointMetrics(spark.createDataFrame(random_posts(rng, 80, True, False), POSTS), people, late_angles=True)
+    assert not shared.own_ids
+
+
 def test_one_user_with_most_posts_counts_once(spark):
     posts = [(str(i), "hot", "1", "场景.Home", None, None) for i in range(300)] + [("x", "cold", "1", "场景.Home", None, None)]
     people = spark.createDataFrame([("1", "hot", "a", ["N"]), ("1", "cold", "a", ["N"])], PEOPLE)
