@@ -7,7 +7,7 @@ its result keeps each pattern to one match.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,16 +94,38 @@ def apply_dimensions(tagged: DataFrame, lexicon: Lexicon, group_wildcards: bool
     return tagged.withColumn("labels", F.expr(label_array(_rules(tagged, lexicon, group_wildcards))))
 
 
-def combine_clauses(labelled: DataFrame, lexicon: Lexicon, columns: Sequence[str]) -> DataFrame:
+def row_digest(columns: Sequence[str]) -> Column:
+    """128 bits by which equal rows are brought together; rows that only share them are told apart later."""
+    values = [F.col(c) for c in columns]
+    return F.struct(F.xxhash64(*values).alias("one"), F.xxhash64(F.lit("other"), *values, F.lit(1)).alias("two"))
+
+
+Digest = Callable[[Sequence[str]], Column]
+
+
+def combine_clauses(labelled: DataFrame, lexicon: Lexicon, columns: Sequence[str], digest: Digest = row_digest) -> DataFrame:
     """One row per different post (``columns``), with the labels any of its rows has.
 
-    One boolean per dimension is aggregated, so a post with many clauses or copies stays small.
+    Rows of a post meet by its digest, not by its text. A digest holds its different pairs of post and
+    labels, so a post with many clauses or copies stays small, and posts that share one stay apart.
     """
-    names = list(lexicon.dimensions)
-    any_row = [F.bool_or(F.array_contains("labels", name)) for name in names]
-    labels = [F.when(flag, F.lit(name)) for flag, name in zip(any_row, names)]
-    kept = F.array_compact(F.array(*labels)) if labels else F.array().cast(_NAMES)
-    return labelled.groupBy(*columns).agg(kept.alias("labels"))
+    pair = F.struct(F.struct(*columns).alias("post"), F.col("labels").alias("labels"))
+    met = labelled.groupBy(digest(columns).alias("digest")).agg(F.collect_set(pair).alias("pairs"))
+    order = F.array(*[F.lit(n) for n in lexicon.dimensions]).cast(_NAMES)
+
+    def of_post(post: Column) -> Column:
+        own = F.filter("pairs", lambda p: p["post"].eqNullSafe(post))
+        held = F.flatten(F.transform(own, lambda p: p["labels"]))
+        return F.struct(post.alias("post"), F.filter(order, lambda n: F.array_contains(held, n)).alias("labels"))
+
+    posts = F.array_distinct(F.transform("pairs", lambda p: p["post"]))
+    return met.select(F.inline(F.transform(posts, of_post))).select("post.*", "labels")
+
+
+def distinct_posts(rows: DataFrame, digest: Digest = row_digest) -> DataFrame:
+    """Different rows of ``rows``. They meet by digest, each in one copy for a task; a digest keeps all that differ."""
+    met = rows.groupBy(digest(rows.columns).alias("digest")).agg(F.collect_set(F.struct(*rows.columns)).alias("rows"))
+    return met.select(F.inline("rows"))
 
 
 def explode_labels(labelled: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -140,5 +162,4 @@ def label_posts(
         return explode_labels(labelled, columns)
     some = F.filter(F.array("labels"), lambda names: F.size(names) > 0)
     kept = labelled.select(*columns, F.explode_outer(some).alias("labels")).filter(F.col("labels").isNotNull())
-    # Equal posts have equal labels; labels are part of the key so that nothing is aggregated.
-    return explode_labels(kept.dropDuplicates(), columns)
+    return explode_labels(distinct_posts(kept), columns)

@@ -10,6 +10,7 @@ from checks import fixtures as fx
 from tagweave.operators.tagging import (
     apply_dimensions,
     combine_clauses,
+    distinct_posts,
     explode_labels,
     flag_objects,
     label_posts,
@@ -130,6 +131,29 @@ def test_text_is_matched_once(spark, sf_dir):
     assert plan.count("[a-z0-9._]+@[a-z0-9.]+") == 2
 
 
+def keys_of_exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_texts_are_no_keys(spark, posts):
+    steps = apply_dimensions(retag_clauses(flag_objects(tag_posts(posts, LEXICON), LEXICON), LEXICON), LEXICON)
+    for rows in (label_posts(posts, LEXICON), combine_clauses(steps, LEXICON, posts.columns)):
+        keys = keys_of_exchanges(rows)
+        assert keys and not any("content" in line.split("hashpartitioning")[1] for line in keys)
+
+
+def test_posts_that_share_a_digest_stay_apart(spark, posts):
+    odd = posts.union(spark.createDataFrame([(None, "a", None), (None, None, "a"), (None, "a", None), (7, "", ""), (7, None, "")], SCHEMA))
+    same = lambda columns: F.lit(1)
+    assert sorted(map(tuple, distinct_posts(odd, same).collect()), key=repr) == sorted(map(tuple, odd.distinct().collect()), key=repr)
+    steps = apply_dimensions(retag_clauses(flag_objects(tag_posts(odd, LEXICON), LEXICON), LEXICON), LEXICON)
+    own, collided = (combine_clauses(steps, LEXICON, odd.columns, *d) for d in ((), (same,)))
+    rows = lambda df: sorted(((r.id, r.content, r.place, tuple(r.labels)) for r in df.collect()), key=repr)
+    assert rows(own) == rows(collided)
+    assert [r.labels for r in own.filter("id = 1").collect()] == [["x good", "mood.bad", "a,b"]]
+
+
 def test_a_lexicon_of_thousands_is_one_pass(spark):
     """The same rows as a plain search, from a plan that has no expression for each tag."""
     posts = fx.posts(spark, "/root/testdata/sf0.001")
