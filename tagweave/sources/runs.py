@@ -13,6 +13,8 @@ RUN = "data_model"
 
 # Values of ``run_key``: a row in every run, a scene only in runs without a limit, a scene some run names.
 EVERY, WHOLE, NAMED = "every", "whole", "named "
+# Runs that a row of a finished metric meets at once, and keys over which rows that no run limits are spread.
+AT_ONCE, SPREAD = 1024, 4096
 
 
 class Runs:
@@ -42,12 +44,16 @@ class Runs:
             self._runs = runs.select(RUN, whole.alias("run_whole"), keys.alias("run_names"))
 
     def limit(self, rows: DataFrame, is_scene: Column, word: Column) -> DataFrame:
-        """``rows`` with their ``run_key``; scenes that are in no run are dropped."""
+        """``rows`` (platform_id, user_id, attr) with their ``run_key``; scenes that are in no run are dropped."""
         if self._runs is None:
             return rows.withColumn("run_key", F.when(is_scene, F.lit(WHOLE)).otherwise(EVERY))
         names = self._runs.select(F.explode("run_names").alias("run_name")).distinct()
         any_whole = self._runs.agg(F.coalesce(F.bool_or("run_whole"), F.lit(False))).scalar()
-        named = rows.withColumn("run_word", F.when(is_scene, F.concat(F.lit(NAMED), word)))
+        # Only scenes can meet a name. Other rows, and scenes without a word, have one of many keys that are
+        # none, by author and path, so that a join by sorting does not bring them together.
+        author = F.xxhash64("platform_id", "user_id", "attr")
+        spread = F.concat(F.lit(f"{EVERY} "), F.pmod(author, F.lit(SPREAD)))
+        named = rows.withColumn("run_word", F.coalesce(F.when(is_scene, F.concat(F.lit(NAMED), word)), spread))
         named = named.join(names, F.col("run_word") == F.col("run_name"), "left")
         key = F.coalesce("run_name", F.when(is_scene, F.lit(WHOLE)).otherwise(EVERY))
         keyed = named.withColumn("run_key", key).drop("run_word", "run_name")
@@ -70,13 +76,17 @@ class Runs:
         return copied.drop("run_key", "by_key")
 
     def stamp(self, metric: DataFrame) -> DataFrame:
-        """One copy of a finished metric for each pending run, for metrics that no run changes."""
-        return metric.withColumn(RUN, F.explode(self._ids()))
+        """One copy of a finished metric for each pending run, for metrics that no run changes.
 
-    def _ids(self) -> Column:
+        Runs are dealt over groups of about AT_ONCE by a hash, and rows are joined to them by group.
+        """
         if self._runs is None:
-            return F.array(F.lit(DEFAULT_RUN).cast("bigint"))
-        return self._runs.agg(F.sort_array(F.collect_list(RUN))).scalar()
+            return metric.withColumn(RUN, F.lit(DEFAULT_RUN).cast("bigint"))
+        n_groups = lambda: self._runs.agg(F.ceil(F.count(F.lit(1)) / AT_ONCE).cast("int")).scalar()
+        runs = self._runs.select(RUN, F.pmod(F.xxhash64(RUN), n_groups()).cast("int").alias("run_group"))
+        groups = F.when(n_groups() > 0, F.sequence(F.lit(0), n_groups() - 1))
+        dealt = metric.withColumn("of_group", F.explode(groups))
+        return dealt.join(runs, F.col("of_group") == F.col("run_group")).drop("of_group", "run_group")
 
 
 def keys_of(condition: Column, name: str) -> list[Column]:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from brute import COLUMNS, brute_metrics
 from checks import fixtures as fx
+from tagweave.operators.attrs import classed_rows
 from tagweave.operators.metrics import TABLES, TouchPointMetrics, may_join_late
+from tagweave.sources.runs import Runs
 
 POSTS = "id string, user_id string, platform_id string, attr string, categoryids array<string>, brands array<string>"
 PEOPLE = "platform_id string, user_id string, people_type string, regex_rule array<string>"
@@ -123,6 +125,33 @@ def test_any_number_of_runs(spark, n):
     assert sorted(r.data_model for r in metrics.tp().collect()) == list(range(n))
 
 
+def test_finished_metrics_meet_many_runs_by_group(spark):
+    runs = spark.range(5000).select("id", F.lit("x").alias("value"), F.lit(2).alias("state"))
+    posts = spark.createDataFrame([("1", "1", "1", "TP.shop", ["1"], ["1_1"]), ("2", "2", "1", "TP.bar", ["1"], None)], POSTS)
+    people = spark.createDataFrame([("1", user, "a", ["N"]) for user in "12"], PEOPLE)
+    metrics = TouchPointMetrics(posts, people, runs, late_angles=True)
+    for name, n in (("tpa_tp_data", 2), ("tpa_tp_brand_data", 1), ("tpa_tp_category_data", 2)):
+        table = metrics.table(name)
+        counts = table.groupBy("data_model").count().groupBy("count").count().collect()
+        assert [tuple(r) for r in counts] == [(n, 5000)]
+        assert "collect_list(data_model" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_no_run_limits_are_spread(spark):
+    """Without broadcasts, rows that are no scene have keys of their own in the join with the names of runs."""
+    rows = [("1", f"u{k}", "1", "TP.shop" if k % 3 else "场景.Home.x", None, None) for k in range(300)]
+    runs = Runs(spark.createDataFrame([(1, "x", 2), (2, "y", 2)], RUNS))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = classed_rows(spark.createDataFrame(rows, POSTS), runs)
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        assert sorted(tuple(r) for r in rows.groupBy("kind", "run_key").count().collect()) == [("scene", "named x", 100), ("tp", "every", 200)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    project = next(line for line in plan.toString().splitlines() if "run_word" in line and "Project" in line)
+    assert "coalesce(" in project and "every " in project and "xxhash64(" in project
+
+
 def test_no_pending_run_gives_no_row(spark):
     posts = spark.createDataFrame([("1", "1", "1", "TP.shop", ["1"], ["1_1"])], POSTS)
     people = spark.createDataFrame([("1", "1", "a", ["N"])], PEOPLE)
