@@ -357,3 +357,26 @@ hits as (select tag, count(*) as n from (select unnest(tags) as tag from tagged)
 select name, kind, entry, body, coalesce(n, 0) as post_count
 from entries left join hits on name = 'fx1' and kind = 'tag' and entry = tag""",
 }
+
+_DATED = "(select cast('2018-04-14' as date) as daterange union all select cast('2018-05-14' as date))"
+ORACLES["replaced_metric"] = f"select t.*, d.daterange from ({TP_METRICS}) t cross join {_DATED} d"
+
+# The tables of the job and the queries that give them.
+JOB_TABLES = {
+    "tpa_scene_data": "scene_metrics",
+    "tpa_scene_category_data": "scene_category_metrics",
+    "tpa_scene_brand_data": "scene_brand_metrics",
+    "tpa_subscene_data": "subscene_metrics",
+    "tpa_subscene_category_data": "subscene_category_metrics",
+    "tpa_scene_tp_data": "scene_tp_metrics",
+    "tpa_scene_tp_category_data": "scene_tp_category_metrics",
+    "tpa_scene_tp_brand_data": "scene_tp_brand_metrics",
+    "tpa_tp_data": "tp_metrics",
+    "tpa_tp_brand_data": "tp_brand_metrics",
+    "tpa_tp_category_data": "tp_category_metrics",
+}
+ORACLES["metrics_job"] = " union all ".join(
+    f"select '{table}' as metric, data_model, people_type, count(*) as row_count, cast(sum(user_count) as bigint) as users"
+    f" from ({ORACLES[query]}) group by all"
+    for table, query in JOB_TABLES.items()
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from checks import fixtures as fx
 from tagweave.functions.paths import piece
 from tagweave.operators.attrs import classify_attrs
 from tagweave.operators.audience import ANGLE, angle_list, audience, audience_of, scene_touch
-from tagweave.operators.metrics import TouchPointMetrics
+from tagweave.operators.metrics import TABLES, TouchPointMetrics
 from tagweave.operators.tagging import (
     apply_dimensions,
     combine_clauses,
@@ -24,7 +25,8 @@ from tagweave.operators.tagging import (
     tag_posts,
 )
 from tagweave.plans.tagging import tag_table
-from tagweave.sinks.tables import align_to_target, append_metric, save_orc
+from tagweave.plans.touch_points import run
+from tagweave.sinks.tables import align_to_target, append_metric, replace_metric, save_orc
 from tagweave.sources.lexicon import lexicon_entries, load_lexicon
 from tagweave.sources.tables import read_table
 
@@ -83,6 +85,34 @@ def _appended_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, name, "daterange = date '2018-05-14'")
 
 
+def _replaced_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric written for two dates, and for one of them again, as by a job that is repeated."""
+    name = f"metric_{uuid.uuid4().hex}"
+    metric = _metric("tpa_tp_data")(spark, sf_dir)
+    for date in ("2018-04-14", "2018-05-14", "2018-04-14"):
+        replace_metric(metric, name, date)
+    return read_table(spark, name)
+
+
+def _metrics_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as it is run by default, and in part again: rows and users of its eleven tables by run and type.
+
+    Nothing is stated of the input, so the order of joins is looked up, and all tables start from rows
+    that are kept once and let go at the end.
+    """
+    prefix = f"job_{uuid.uuid4().hex}_"
+    inputs = fx.post_attr(spark, sf_dir), fx.people(spark, sf_dir), fx.special_people(spark)
+    for tables in (tuple(TABLES), ("tpa_tp_brand_data",)):
+        run(*inputs, "2018-04-14", lambda metric, name, date: replace_metric(metric, prefix + name, date), tables=tables)
+    counts = [
+        read_table(spark, prefix + name).groupBy("data_model", "people_type")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.sum("user_count").alias("users"))
+        .withColumn("metric", F.lit(name))
+        for name in TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(classify_attrs(fx.post_attr(spark, sf_dir)))
 
@@ -187,6 +217,8 @@ QUERIES: dict[str, Query] = {
     "line_tp_metrics": _job_metric("tpa_tp_data"),
     "line_scene_touch": _scene_touch_of_lines,
     "appended_metric": _appended_metric,
+    "replaced_metric": _replaced_metric,
+    "metrics_job": _metrics_job,
     "orc_labels": _orc_labels,
     "tag_posts": _tag_posts,
     "word_lexicon": _word_lexicon,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagweave.operators.attrs import AttrScheme
 from tagweave.operators.metrics import TABLES, TouchPointMetrics
 from tagweave.plans.staging import staging
-from tagweave.sinks.tables import append_metric, append_metric_jdbc
+from tagweave.sinks.tables import append_metric_jdbc, replace_metric
 from tagweave.sources.tables import jdbc_options, read_jdbc, read_table, target_columns
 
 
@@ -38,13 +38,14 @@ def run(
     people: DataFrame,
     special_people: DataFrame | None,
     daterange: str,
-    write: Callable[[DataFrame, str, str], None] = append_metric,
+    write: Callable[[DataFrame, str, str], None] = replace_metric,
     staging_folder: str | None = None,
     **options,
 ) -> None:
-    """Computes and appends every metric. ``write`` takes the metric, its table and the date.
+    """Computes and writes every metric. ``write`` takes the metric, its table and the date.
 
-    Shared rows lie below ``staging_folder``, else below ``spark.checkpoint.dir``, until all is written.
+    As it stands, a job that is run again replaces what it wrote. Shared rows lie below
+    ``staging_folder``, else below ``spark.checkpoint.dir``, until all is written.
     """
     with staging(post_attr.sparkSession, staging_folder) as shared:
         for name, metric in all_metrics(post_attr, people, special_people, keep=shared.keep, **options).items():
@@ -52,7 +53,7 @@ def run(
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description="Append the metric tables of all pending runs.")
+    parser = argparse.ArgumentParser(description="Write the metric tables of all pending runs.")
     parser.add_argument("daterange", help="date of the metrics, yyyy-mm-dd")
     parser.add_argument("--posts", required=True, help="table or path of post attributes")
     parser.add_argument("--people", required=True, help="table or path of people angles")
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.jdbc_targets:
             append_metric_jdbc(metric, table, date, target_columns(read_jdbc(spark, table, options)), options)
         else:
-            append_metric(metric, table, date, form=args.format)
+            replace_metric(metric, table, date, form=args.format)
 
     run(read_table(spark, args.posts), read_table(spark, args.people), runs, args.daterange, write, args.staging)
 

@@ -13,7 +13,7 @@ from tagweave.operators.audience import ANGLE, angle_list, audience, audience_of
 from tagweave.operators.metrics import TABLES, TouchPointMetrics
 from tagweave.plans import tagging, touch_points
 from tagweave.plans.staging import Staging, staging
-from tagweave.sinks.tables import align_to_target, append_metric, jdbc_write_options, save_orc
+from tagweave.sinks.tables import align_to_target, append_metric, jdbc_write_options, replace_metric, save_orc
 from tagweave.sources.lexicon import load_lexicon
 from tagweave.sources.tables import jdbc_options, read_table, target_columns
 
@@ -201,6 +201,55 @@ def test_staging_goes_with_the_job(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["other"]
 
 
+def test_rows_without_a_folder_are_held_and_let_go(spark):
+    rows = classify_attrs(fx.post_attr(spark, SMALL))
+    shared = Staging(None)
+    try:
+        kept = shared.keep(rows)
+        assert kept.storageLevel.useDisk and not kept.storageLevel.useMemory
+        kept.count()
+        names = ["tpa_scene_data", "tpa_tp_data"]
+        inputs = fx.post_attr(spark, SMALL), fx.people(spark, SMALL), fx.special_people(spark)
+        held = touch_points.all_metrics(*inputs, late_angles=True, tables=names, keep=shared.keep)
+        for name in names:
+            plan = plan_of(held[name])
+            assert "InMemoryTableScan" in plan and held[name].exceptAll(TouchPointMetrics(*inputs, late_angles=True).table(name)).isEmpty()
+    finally:
+        shared.remove(spark)
+    assert not kept.storageLevel.useDisk and not shared._held
+
+
+def test_a_repeated_or_broken_job_leaves_each_metric_once(spark):
+    inputs = fx.post_attr(spark, SMALL), fx.people(spark, SMALL), fx.special_people(spark)
+    spark.sql("create database if not exists again")
+    names = ["tpa_scene_data", "tpa_tp_brand_data"]
+    write = lambda metric, name, date: replace_metric(metric, f"again.{name}", date)
+
+    def broken(metric, name, date):
+        if name == names[1]:
+            raise OSError("lost")
+        write(metric, name, date)
+
+    with pytest.raises(OSError):
+        touch_points.run(*inputs, "2018-04-14", broken, late_angles=True, tables=names)
+    for date in ("2018-04-14", "2018-04-14", "2018-04-15"):
+        touch_points.run(*inputs, date, write, late_angles=True, tables=names)
+    for name in names:
+        own = TouchPointMetrics(*inputs, late_angles=True).table(name).count()
+        assert [tuple(r) for r in spark.table(f"again.{name}").groupBy("daterange").count().orderBy("daterange").collect()] == [
+            (datetime.date(2018, 4, 14), own),
+            (datetime.date(2018, 4, 15), own),
+        ]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "STATIC"
+
+
+def test_only_the_runs_of_a_metric_are_replaced(spark):
+    metric = spark.createDataFrame([("s", 4, 1), ("s", 5, 2)], "scene string, user_count bigint, data_model bigint")
+    replace_metric(metric, "replaced", "2018-04-14", form="orc")
+    replace_metric(metric.filter("data_model = 2").withColumn("user_count", F.lit(9)), "replaced", "2018-04-14")
+    assert sorted((r.data_model, r.user_count) for r in spark.table("replaced").collect()) == [(1, 4), (2, 9)]
+
+
 def test_main_of_the_metrics_job(spark, tmp_path):
     for name, rows in (("posts", fx.post_attr(spark, SMALL)), ("people", fx.people(spark, SMALL)), ("runs", fx.special_people(spark))):
         rows.write.parquet(str(tmp_path / name))
