@@ -45,9 +45,9 @@ def _audience(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _metric(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        # An order has one customer and one list of categories and of brands, hence so has a post.
+        # An order has one customer, one priority and one list of categories and of brands, hence so has a post.
         inputs = fx.post_attr(spark, sf_dir), fx.people(spark, sf_dir), fx.special_people(spark)
-        return TouchPointMetrics(*inputs, late_angles=True, lists_of_post=True).table(name)
+        return TouchPointMetrics(*inputs, late_angles=True, lists_of_post=True, own_ids=True).table(name)
 
     return query
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import brand_of, category_of, segment
@@ -290,10 +290,11 @@ class TouchPointMetrics:
         keys = [*ANGLE, "tp"]
         grains = [keys, ANGLE, [*keys, RUN]]
         counts = grain_counts(users, [*keys, RUN], grains)
-        of_tp, of_all, of_run = (counts.filter(F.col("of") == g) for g in grain_ids([*keys, RUN], grains))
-        own = self.runs.stamp(of_tp.select(*keys, "user_count"))
-        table = _with_total(own, of_all, ANGLE, "user_count", "tp_all_user")
-        scened = of_run.filter(F.col(RUN).isNotNull()).select(*[F.col(c).alias(f"{c}_") for c in [RUN, *keys]], F.col("user_count").alias("scene_user"))
+        of_tp, of_all, of_run = grain_ids([*keys, RUN], grains)
+        own = counts.withColumn("tp_all_user", _total(of_tp, of_all, ANGLE, "user_count")).filter(F.col("of") == of_tp)
+        table = self.runs.stamp(own.select(*keys, "user_count", "tp_all_user"))
+        scened = counts.filter((F.col("of") == of_run) & F.col(RUN).isNotNull())
+        scened = scened.select(*[F.col(c).alias(f"{c}_") for c in [RUN, *keys]], F.col("user_count").alias("scene_user"))
         same = _all([F.col(c).eqNullSafe(F.col(f"{c}_")) for c in [RUN, *keys]])
         table = table.join(scened, same, "left").fillna(0, subset=["scene_user"])
         return table.select(RUN, *keys, "scene_user", "user_count", "tp_all_user")
@@ -397,11 +398,17 @@ def grain_counts(
     return per_user.groupBy(*keys, "grain").agg(*[F.count_if(m).alias(name) for name, m in measures.items()], F.max("grain").alias("of"))
 
 
-def _with_total(rows: DataFrame, totals: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
-    """``rows`` with a column of ``totals`` as ``name``, matched by ``keys``; 0 where a key is null."""
-    totals = totals.select(*[F.col(k).alias(f"{k}_of") for k in keys], F.col(column).alias(name))
-    joined = rows.join(totals, _all([F.col(k) == F.col(f"{k}_of") for k in keys]), "left")
-    return joined.drop(*[f"{k}_of" for k in keys]).fillna(0, subset=[name])
+def _total(fine: int, coarse: int, of: Sequence[str], measure: str) -> Column:
+    """For rows of the grain ``fine``: a measure of their row in the grain ``coarse``, whose keys are ``of``.
+
+    It is 0 where one of these keys is null. Counts of all grains are one finished table with as many
+    rows as there are names, and a window over the keys takes the total from its row to the others; so
+    the counts are planned and worked out once, however many totals are taken from them.
+    """
+    alike = Window.partitionBy(*of, F.col("of").isin(fine, coarse))
+    total = F.max(F.when(F.col("of") == coarse, F.col(measure))).over(alike)
+    known = _all([F.col(k).isNotNull() for k in of])
+    return F.when(known, F.coalesce(total, F.lit(0))).otherwise(0)
 
 
 def user_counts(
@@ -423,10 +430,9 @@ def user_counts(
     conditions = {name: F.lit(True) if condition is None else condition for name, (_, condition) in totals.items()}
     counts = grain_counts(facts, keys, grains, flags, {**measures, **conditions})
     fine, *coarse = grain_ids(keys, grains)
-    table = counts.filter(F.col("of") == fine).select(*keys, *measures)
     for (name, (of, _)), grain in zip(totals.items(), coarse):
-        table = _with_total(table, counts.filter(F.col("of") == grain), of, name, name)
-    return table
+        counts = counts.withColumn(f"total {name}", _total(fine, grain, of, name))
+    return counts.filter(F.col("of") == fine).select(*keys, *measures, *[F.col(f"total {name}").alias(name) for name in totals])
 
 
 def _brand_share(users: DataFrame, names: list[str]) -> DataFrame:
