@@ -11,16 +11,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _unset: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of this process where it is unset, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset, one of this machine in local mode, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return _unset.setdefault("folder", tempfile.mkdtemp(prefix="tagweave-"))
 
 
@@ -42,6 +45,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tagged(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number for each row, and the name of that column.
+
+    The number is read from then on, so that rows stay told apart also where ids are null or repeated.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "tagged"), name
+
+
 def byte_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts after one another, and where each begins and ends; null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -9,8 +9,8 @@ What is broadcast has a bound: items are dealt into blocks by a hash so that a b
 between them. Memory in a task is some 60 times ``PART_BYTES``, or the same multiple of one longer
 text.
 
-Defined results: null text has no words; an item without words has no windows; items without an id
-are left out; rows that repeat an item_id count as one item; repeated documents each give a row; an
+Defined results: null text has no words; an item without words has no windows; an item without
+an id is looked for as well and has the empty id; rows that repeat an item_id count as one item; repeated documents each give a row; an
 empty benchmark hits nothing; further columns of either table may have any name that does not begin
 with ``_hit_``.
 """
@@ -119,8 +119,8 @@ def _scan(index):
 def find_hits(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with three more columns: the number of words, the runs of hit words, the items found."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item is not null and text is not null")
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item")
+    items = benchmark.select(item, F.col("text").cast("string").alias("text")).filter("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = 1 + 2 * int(size) // block_bytes
     names = docs.columns

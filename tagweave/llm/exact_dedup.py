@@ -10,8 +10,9 @@ of the text, and only rows that agree in all of them are merged.
 
 Only DataFrame functions are used. Defined results: a null text is empty, and empty texts are equal;
 of equal texts the longest original stays, then the smallest id, and null ids come last; rows that
-agree in id and text stay or go together; an empty table gives an empty result; further columns of
-the input are neither read nor returned.
+agree in id and text are marked alike, while ``drop_copies`` keeps one of them; an empty table gives an
+empty result; further columns of the input are neither read nor returned by ``exact_dedup``. The runs
+are numbers dealt by a hash of the row, and a merge is an aggregation by digest and run.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import stage
+from tagweave.llm.common import stage, tagged
 
 WHITE = " \t\n\x0b\x0c\r"
 RUNS, FAN = 4096, 64
@@ -30,8 +31,11 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE, "")
 
 
-def digest_runs(docs: DataFrame, runs: int = RUNS) -> DataFrame:
-    """A row for each document, without its text: digest, length of the original, number of a run."""
+def digest_runs(docs: DataFrame, runs: int = RUNS, row: Column | None = None) -> DataFrame:
+    """A row for each document, without its text: digest, length of the original, number of a run.
+
+    ``row`` numbers the rows where they have numbers already.
+    """
     text = normalised(F.col("text"))
     rows = docs.select(
         "doc_id",
@@ -39,7 +43,7 @@ def digest_runs(docs: DataFrame, runs: int = RUNS) -> DataFrame:
         F.xxhash64(text).alias("check"),
         F.length(text).alias("size"),
         F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
     )
     return rows.withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int"))
 
@@ -50,10 +54,9 @@ def _merge(runs: DataFrame, fan: int) -> DataFrame:
     return merged.agg(F.min("best").alias("best"), F.sum("n").alias("n"))
 
 
-def exact_dedup(docs: DataFrame, runs: int = RUNS, fan: int = FAN) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 for each row of ``docs``."""
-    rows = stage(digest_runs(docs, runs), "digests")
-    best = F.struct((-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"), "doc_id")
+def _answered(rows: DataFrame, runs: int, fan: int, *last_resort: str) -> DataFrame:
+    """Rows of ``digest_runs`` with ``best``, what tells the row that stays, and ``n``, the size of their group."""
+    best = F.struct((-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"), "doc_id", *last_resort)
     levels = [stage(_merge(rows.select(*DIGEST, "run", best.alias("best"), F.lit(1).cast("long").alias("n")), 1), "level")]
     left = runs
     while left > 1:
@@ -63,17 +66,23 @@ def exact_dedup(docs: DataFrame, runs: int = RUNS, fan: int = FAN) -> DataFrame:
     for level in reversed(levels[:-1]):
         below = level.select(*DIGEST, "run", F.expr(f"run div {fan}").cast("int").alias("above"))
         answer = below.join(answer.withColumnRenamed("run", "above"), [*DIGEST, "above"]).drop("above")
-    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
-    return rows.join(answer, [*DIGEST, "run"]).select(
+    return rows.join(answer, [*DIGEST, "run"])
+
+
+def exact_dedup(docs: DataFrame, runs: int = RUNS, fan: int = FAN) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 for each row of ``docs``."""
+    return _answered(stage(digest_runs(docs, runs), "digests"), runs, fan).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         F.col("n").alias("group_size"),
-        kept.alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+def drop_copies(docs: DataFrame, runs: int = RUNS, fan: int = FAN) -> DataFrame:
+    """Exactly one row of each group of equal texts, with all its columns, whatever ids are null or repeated."""
+    rows, tag = tagged(docs)
+    found = _answered(stage(digest_runs(rows, runs, F.col(tag)), "digests"), runs, fan, "row")
+    kept = found.filter(F.col("row") == F.col("best.row")).select(F.col("row").alias("_kept_row"))
+    return rows.join(kept, rows[tag] == kept["_kept_row"], "left_semi").drop(tag)

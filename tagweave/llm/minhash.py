@@ -20,9 +20,10 @@ With ``BANDS`` bands of ``ROWS`` slots, a pair of similarity 0.75 shares no buck
 (1 - 0.75 ** 4) ** 32, about 5e-6, and less above.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; texts of fewer
-than five words are one shingle; rows that repeat an id count as one document that is linked with
-whatever one of them is linked with; rows with a null id are only linked with equal sets; an empty
-table gives an empty result; further columns are not read. A text is taken whole; a task needs some
+than five words are one shingle; each row is a document of its own, also where its id is null or
+repeated, and of a group the smallest id that is not null stands for it (with its smallest row in
+``drop_near_copies``, which keeps exactly one); an empty table gives an empty result; further columns
+are not read. A text is taken whole; a task needs some
 40 times the bytes of its longest text.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.llm.common import MIX1, MIX2, STEP, Words, byte_rows, mixed, slices, stage
+from tagweave.llm.common import MIX1, MIX2, STEP, Words, byte_rows, mixed, slices, stage, tagged
 from tagweave.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -118,13 +119,13 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text", PART_BYTES):
-            codes, bounds = shingle_sets(batch.column(1))
+            codes, bounds = shingle_sets(batch.column(2))
             bands = bands_of(super_minhash(codes, bounds))
             filled = np.diff(bounds) > 0
             lists = pa.array([b if f else [] for b, f in zip(bands, filled)], pa.list_(pa.int64()))
             sums = [pa.array(_sums(mixed(codes ^ key), bounds)) for key in (MIX1, MIX2)]
-            columns = [batch.column(0), pa.array(np.diff(bounds)), *sums, lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "sum1", "sum2", "bands"])
+            columns = [batch.column(0), batch.column(1), pa.array(np.diff(bounds)), *sums, lists]
+            yield pa.RecordBatch.from_arrays(columns, ["tag", "doc_id", "n", "sum1", "sum2", "bands"])
 
 
 def _links(sets: list[np.ndarray], outside: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
@@ -191,19 +192,24 @@ def _candidate_groups(classes: DataFrame) -> DataFrame:
     return components(members.join(hubs.drop("size"), "bucket").select(F.col("id").alias("a"), F.col("hub").alias("b")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each document."""
-    docs = docs.select("doc_id", "text")
+def _grouped(docs: DataFrame) -> DataFrame:
+    """tag, doc_id, n (size of its set) and best (of its group: what tells the row that stays) for each row.
+
+    ``docs`` is a written table with tag (which tells rows apart), doc_id and text.
+    """
     kind = docs.schema["doc_id"].dataType
     numbers = [T.StructField(c, T.LongType()) for c in ("n", "sum1", "sum2")]
-    schema = T.StructType([T.StructField("doc_id", kind), *numbers, T.StructField("bands", T.ArrayType(T.LongType()))])
+    named = [T.StructField("tag", T.LongType()), T.StructField("doc_id", kind)]
+    schema = T.StructType([*named, *numbers, T.StructField("bands", T.ArrayType(T.LongType()))])
     rows = stage(docs.mapInArrow(_sketch, schema), "sketches")
     sets = ["sum1", "sum2", "n"]
-    classes = stage(rows.filter("n > 0").groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag")
+    members = rows.filter("n > 0").groupBy(*sets)
+    classes = stage(members.agg(F.min("tag").alias("id"), F.min(own).alias("best"), F.first("bands").alias("bands")), "classes")
 
-    candidates = _candidate_groups(classes.filter("id is not null"))
+    candidates = _candidate_groups(classes)
     groups = stage(candidates.select(F.col("node").alias("id"), F.col("component").alias("group")), "groups")
-    texts = stage(docs.join(groups, F.col("doc_id") == F.col("id")).select("id", "text"), "texts")
+    texts = stage(docs.join(groups, F.col("tag") == F.col("id")).select("id", "text"), "texts")
     blocks = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = groups.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     units = dealt.select(F.xxhash64("group", "block").alias("unit"), "id", F.lit(True).alias("outside"), F.col("id").alias("component"))
@@ -232,13 +238,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stage(components(stars.union(across)), "components")
 
-    grouped = classes.join(found, classes["id"] == found["node"], "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
+    grouped = classes.join(found, classes["id"] == found["node"], "left").select(*sets, "best", F.coalesce("component", "id").alias("component"))
+    whole = grouped.groupBy("component").agg(F.min("best").alias("best"))
+    grouped = grouped.drop("best").join(whole, "component").drop("component")
     result = rows.drop("bands").join(grouped, sets, "left")
-    group = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return result.select("doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"), F.col("doc_id").eqNullSafe(group).alias("kept"))
+    return result.select("tag", "doc_id", "n", F.when(F.col("n") > 0, F.col("best")).otherwise(own).alias("best"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each document."""
+    rows, tag = tagged(docs.select("doc_id", "text"))
+    found = _grouped(rows.select(F.col(tag).alias("tag"), "doc_id", "text"))
+    group = F.col("best.doc_id")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), group.alias("component_id"), F.col("doc_id").eqNullSafe(group).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, one of each group, with all their columns."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """Exactly one row of each group, with all its columns, whatever ids are null or repeated."""
+    rows, tag = tagged(docs)
+    found = _grouped(rows.select(F.col(tag).alias("tag"), "doc_id", "text"))
+    kept = found.filter(F.col("tag") == F.col("best.tag")).select(F.col("tag").alias("_kept_row"))
+    return rows.join(kept, rows[tag] == kept["_kept_row"], "left_semi").drop(tag)

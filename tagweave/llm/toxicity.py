@@ -7,16 +7,17 @@ more than the word; the average is always over ``PASSAGE`` places. A document sc
 document are clean; a toxic document first stands for all its passages, and after ``WARM`` rounds
 only for the one that scores highest, as most of what it says may be harmless.
 
-Training sees at most ``TRAIN_ROWS`` labelled documents of each label and no text of more than
-``TRAIN_CHARS`` characters; they are taken by a hash of their ids, and never those that are held
-out. The model is the same size whatever the input. Scoring reads every text whole, in one pass
+Training sees at most ``TRAIN_ROWS`` labelled documents of each label, taken by a hash of their ids and
+never those that are held out; of a text of more than ``TRAIN_CHARS`` characters it sees ``STRETCHES``
+evenly spread stretches with as many characters in all. The model is the same size whatever the input. Scoring reads every text whole, in one pass
 without a shuffle, and keeps the scores of known words in a table of bounded size. Scores depend on
 the text alone.
 
 Defined results: a null or empty text has the score of a passage without words; a null id is not
 held out; labels other than 0 and 1, labels of unknown documents and contradicting labels (they
 count as toxic) do no harm; where training has no rows of one of the labels, every score is the
-share of toxic ones, 0 without any; repeated rows each give a row; further columns are not read.
+share of toxic ones, 0 without any, and likewise where no labelled text has a word; an empty table gives
+an empty result; repeated rows each give a row; further columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from tagweave.llm.common import slices
 
-TRAIN_ROWS, TRAIN_CHARS, PART_BYTES = 2000, 20_000, 4_000_000
+TRAIN_ROWS, TRAIN_CHARS, STRETCHES, PART_BYTES = 2000, 20_000, 20, 4_000_000
 PASSAGE, GRAMS, BUCKETS, SIZE = 32, (3, 4, 5), 1 << 15, 8
 ROUNDS, WARM, BATCH, RATE, STEPS = 6, 1, 256, 0.5, 400
 TOXIC_FROM, KNOWN_WORDS = 0.3, 250_000
@@ -66,6 +67,8 @@ class Model:
         if len(set(toxic.tolist())) < 2:
             return cls.constant(float(toxic.mean()) if len(toxic) else 0.0)
         split = [words_of(t.lower()) for t in texts]
+        if not any(split):
+            return cls.constant(float(toxic.mean()))
         names = sorted(set().union(*split))
         number = {w: k for k, w in enumerate(names)}
         of_word = [np.array(grams(w)) for w in names]
@@ -167,11 +170,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def _bounded(text: Column) -> Column:
+    """A text of at most TRAIN_CHARS characters, or stretches of it that come to as many."""
+    size = TRAIN_CHARS // STRETCHES
+    begins = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda k: F.floor(k * (F.length(text) - size) / (STRETCHES - 1)).cast("int") + 1)
+    spread = F.array_join(F.transform(begins, lambda begin: F.substr(text, begin, F.lit(size))), " ")
+    return F.when(F.length(text) > TRAIN_CHARS, spread).otherwise(text)
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Trains on at most ``rows`` documents of each label that are not held out."""
     labels = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     labels = labels.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("label"))
-    texts = docs.select("doc_id", "text").filter(F.length("text") <= TRAIN_CHARS)
+    texts = docs.select("doc_id", _bounded(F.col("text")).alias("text")).filter(F.col("text").isNotNull())
     order = [F.xxhash64("labelled_id"), "labelled_id"]
     sample = []
     for label in (0, 1):

@@ -103,8 +103,8 @@ def contamination(docs, benchmark, window=13):
     for item, text in benchmark:
         words = words_of(text, pattern)
         n = min(window, len(words))
-        for k in range(len(words) - n + 1 if n and item is not None else 0):
-            windows[tuple(words[k : k + n])].add(str(item))
+        for k in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[k : k + n])].add("" if item is None else str(item))
     found = []
     for doc_id, text in docs:
         words, hit, items = words_of(text, pattern), set(), set()

@@ -51,10 +51,31 @@ def test_near_copies(spark):
     assert sum(d != c for d, (_, c) in groups.items()) > 10
 
 
+LONG_A, LONG_B = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+ODD_IDS = [(None, LONG_A), (None, LONG_A), (1, LONG_A), (None, LONG_B), (2, LONG_A), (2, LONG_B), (9, LONG_B), (9, ""), (None, None), (None, "")]
+
+
 def test_near_copies_of_repeated_and_null_ids(spark):
-    found = minhash.near_duplicates(frame(spark, DOCS)).collect()
-    assert len(found) == len(DOCS)
-    assert {(r.doc_id, r.n_shingles) for r in found if r.doc_id is not None} == {(d, n) for d, (n, _) in near_groups(UNIQUE).items()}
+    """Rows are grouped as if each had an id of its own; the smallest id of a group stands for it."""
+    for docs in (DOCS, ODD_IDS):
+        groups = near_groups(list(enumerate(text for _, text in docs)))
+        smallest = {}
+        for k, (_, component) in groups.items():
+            smallest[component] = min(smallest.get(component, (True, 0)), (docs[k][0] is None, docs[k][0] or 0))
+        named = {c: None if last else d for c, (last, d) in smallest.items()}
+        expected = [(docs[k][0], n, named[c], docs[k][0] == named[c]) for k, (n, c) in groups.items()]
+        assert rows_of(minhash.near_duplicates(frame(spark, docs))) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("drop, n_empty", [(exact_dedup.drop_copies, 1), (minhash.drop_near_copies, 3)])
+def test_stages_keep_one_row_of_each_group_whatever_the_ids(spark, drop, n_empty):
+    docs = frame(spark, ODD_IDS, extra=["_row", "tag", "best", "n", "row", "lang"])
+    kept = drop(docs)
+    assert kept.columns == docs.columns
+    rows = sorted((r.doc_id, r.text) for r in kept.collect() if r.text)
+    assert rows == [(1, LONG_A), (2, LONG_B)]
+    assert kept.filter("text is null or text = ''").count() == n_empty
+    assert drop(docs.limit(0)).collect() == []
 
 
 @pytest.mark.parametrize("block", [3, 512])

@@ -5,6 +5,7 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plain import base_spans, contamination, documents, frame, sha
@@ -239,3 +240,28 @@ def test_byte_letters_are_those_of_the_vocabulary():
     with open(PATH) as file:
         ids = json.load(file)["model"]["vocab"]
     assert all(letter in ids for letter in bpe.byte_letters())
+
+
+def test_items_without_an_id_are_looked_for(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    benchmark = frame(spark, [(None, item), (7, "short item")], "item_id long, text string")
+    rows = decontaminate.decontaminate(frame(spark, [(1, item), (2, "clean words"), (3, f"{item} short item")]), benchmark).orderBy("doc_id").collect()
+    assert [(r.n_hit, r.n_items, r.contaminated) for r in rows] == [(20, 1, True), (0, 0, False), (22, 2, True)]
+    assert rows[2].items_sha256 == sha(",7") and rows[0].items_sha256 == sha("")
+
+
+def test_labelled_texts_without_words_give_a_constant_score(spark):
+    docs = frame(spark, [(1, ""), (2, "..."), (3, None), (4, "  "), (5, "some words")])
+    labels = frame(spark, [(k, k % 2) for k in range(1, 5)], "doc_id long, toxic int")
+    scores = {r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert len(scores) == 1 and 0 < scores.pop() < 1
+    assert toxicity.score_toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_long_texts_are_learned_from_by_stretches(spark):
+    long = "".join(chr(97 + k // 1000 % 26) for k in range(60_000))
+    short = "x" * toxicity.TRAIN_CHARS
+    rows = frame(spark, [(1, long), (2, short), (3, None)]).select("doc_id", toxicity._bounded(F.col("text")).alias("t"), "text").orderBy("doc_id").collect()
+    parts = rows[0].t.split(" ")
+    assert len(parts) == toxicity.STRETCHES and {len(p) for p in parts} == {toxicity.TRAIN_CHARS // toxicity.STRETCHES}
+    assert long.startswith(parts[0]) and long.endswith(parts[-1]) and rows[1].t == short and rows[2].t is None
