@@ -1,4 +1,11 @@
-"""From raw documents to token ids: toxic documents go, then copies, near copies and contaminated ones."""
+"""From raw documents to token ids: toxic documents go, then copies, near copies and contaminated ones.
+
+Defined results: each row is a document of its own, also where ids are null or repeated, and of a group
+of copies exactly one row stays: the longest of exact ones, else the one with the smallest id, null ids
+last; empty and null texts are copies of each other in exact dedup and go through all other stages;
+texts of any length pass whole; an empty table gives an empty result; further columns, whatever their
+names, stay until the last stage. Names that begin with ``_hit_`` or equal ``_toxic_score`` are taken.
+"""
 
 from __future__ import annotations
 
