@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from plain import contamination, exact_groups, near_groups
+from plain import contamination, exact_groups, frame, near_groups
+from tagweave.llm.common import stage
 from tagweave.llm.queries import ORACLES, QUERIES
 
 
@@ -38,3 +39,35 @@ def test_stages_keep_what_plain_loops_keep(spark, tmp_path):
     assert docs.columns == ["doc_id", "n_tokens", "ids", "decoded"]
     assert all(r.n_tokens == len(r.ids.split()) for r in docs.collect())
     assert {r.doc_id for r in corpus_pipeline.run(spark, small).collect()} == kept
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    """Null and repeated ids, empty and long texts, copies, clashing columns; then no documents at all."""
+    copy, other, item = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    near = copy.replace("a39", "changed")
+    rows = [
+        (None, copy), (None, copy), (1, copy + " "), (1, other), (2, other), (None, item), (3, f"say {item}"), (None, ""), (4, None),
+        (5, near), (6, "x" * 200_000), (6, "word " * 60_000), (None, "only without an id here"), (7, "...")
+    ]
+    docs = frame(spark, rows, extra=["lang", "source", "_row", "tag", "best", "n", "labelled_id"])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    frame(spark, [(1, 0), (2, 1), (None, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame(spark, [(None, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    folder = str(tmp_path)
+    kept = spark.read.parquet(f"{folder}/documents.parquet")
+    names = kept.columns
+    seen = []
+    for name, apply in corpus_pipeline.STAGES[1:4]:
+        kept = stage(apply(spark, kept, folder), "odd")
+        assert kept.columns == names
+        seen.append(sorted(((r.doc_id, (r.text or "")[:6]) for r in kept.collect()), key=repr))
+    without_copies = [(1, "a0 a1 "), (1, "b0 b1 "), (None, "c0 c1 "), (3, "say c0"), (4, ""), (5, "a0 a1 "), (6, "xxxxxx"), (6, "word w"), (None, "only w"), (7, "...")]
+    near_gone = [r for r in without_copies if r not in ((5, "a0 a1 "), (None, "c0 c1 "))]
+    clean = [r for r in near_gone if r[0] != 3]
+    assert seen == [sorted(x, key=repr) for x in (without_copies, near_gone, clean)]
+    assert corpus_pipeline.run(spark, folder).count() <= len(clean)
+    empty = tmp_path / "empty"
+    docs.limit(0).write.parquet(str(empty / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(str(empty / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).collect() == []
