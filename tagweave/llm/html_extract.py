@@ -8,11 +8,13 @@ taken but for parts that are mostly links, so that a heading or a short line bel
 element is the whole page, parts without content are left out as well.
 
 Nodes in elements that are never an article (navigation, footers, forms, scripts ...), or whose
-class or id says so (adverts, notices, sidebars, reader comments ...), take no part in any of this.
+class or id says so by all its words (adverts, notices, sidebars, reader comments ...), take no part
+in any of this.
 
 Pages are independent: one pass, no shuffle, and memory by page. Defined results: a null or empty
 page, or one without text, has an empty text; broken markup ends where the next tag of its kind
-begins or the page ends; a page without tags is one block; repeated rows each give a row; further
+begins or the page ends; a page without tags is one block; a page is read in time by its length,
+however broken, nested or long it is; an empty table gives an empty result; repeated rows each give a row; further
 columns are not read.
 """
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -56,105 +59,185 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 CLOSES_P = BLOCK - {"caption", "dd", "dt", "legend", "body", "head", "html", "tbody", "td", "tfoot", "th", "thead", "tr", "summary", "figcaption"}
-SAYS_NEVER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|"
-    r"nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|widget\w*|footer|foot|masthead|header|related|recommend\w*|share|sharing|social|"
-    r"comments?|commentlist|disqus\w*|reply|replies|respond|login|signup|search|pagination|pager|tags?|skip|copyright)(?:$|[\s_-])",
-    re.IGNORECASE,
-)
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>?", re.DOTALL)
+# Words of class names and ids, whole or as beginnings, that say what is no article.
+SAYS_NEVER = {
+    "ad", "ads", "adsense", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "newsletter",
+    "subscribe", "breadcrumb", "breadcrumbs", "sidebar", "side", "aside", "footer", "foot", "related", "share", "sharing", "social",
+    "comment", "comments", "commentlist", "reply", "replies", "respond", "login", "signup", "search", "pagination", "pager", "tag",
+    "tags", "skip", "copyright",
+}
+BEGINS_NEVER = ("advert", "sponsor", "promo", "nav", "menu", "widget", "recommend", "disqus")
+# What says so outside of an article only, as its last word, and words that say nothing.
+SAYS_HEADER = {"header", "masthead"}
+ENDS_NEVER = {"ad", "ads", "breadcrumbs", "comments", "commentlist", "newsletter", "pagination", "replies", "sidebar"}
+SAYS_NOTHING = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "form", "global", "icons", "inner", "item",
+    "items", "left", "links", "list", "main", "outer", "page", "post", "posts", "right", "section", "site", "slot", "top", "unit",
+    "wrap", "wrapper",
+}
+BEGIN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)", re.DOTALL)
+QUOTE_OR_END = re.compile("[\"'>]")
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 MARKS = re.compile(r"[.,;:!?…。，、؛،¿¡]")
 
 
+def says_never(names: str, in_article: bool) -> bool:
+    """Whether one of the names of an element says that it is no article.
+
+    A name says so by all its words, not by one: ``ad-slot`` and ``site-header`` do, ``side-effects``,
+    ``notice-period`` and ``entry-header`` do not. Inside of an article a header belongs to it.
+    """
+
+    def says(word: str) -> bool:
+        return word in SAYS_NEVER or word.startswith(BEGINS_NEVER) or (word in SAYS_HEADER and not in_article)
+
+    for name in names.lower().split():
+        words = [w for w in re.split("[-_]+", name) if w]
+        telling = [w for w in words if not (w in SAYS_NOTHING or w.isdigit())]
+        if telling and (all(map(says, telling)) or words[-1] in ENDS_NEVER):
+            return True
+    return False
+
+
 class _Page:
-    """Elements by number with parent, tag, path and whether they can hold content; text nodes in order."""
+    """Elements by number with parent, tag, path and whether they can hold content; text nodes in order.
+
+    A page is read once, and each step takes time by what it opens or closes, so broken pages are read
+    in linear time too. An unclosed quote in a tag is text of the tag; a tag without an end is text.
+    """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.open_to, self.linked = [-1], [""], [0], [True], [False]
+        self.parent, self.tag, self.path, self.open_to, self.linked, self.in_article = [-1], [""], [0], [True], [False], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.nodes: list[tuple[int, str, int]] = []  # element, text, block
         self.block = 0
-        stack = [0]
-        at = 0
-        while at < len(source):
-            found = TAG.search(source, at)
-            stop = found.start() if found else len(source)
-            if stop > at:
-                self._text(stack[-1], source[at:stop])
-            if not found:
-                break
-            at = found.end()
-            name = (found[2] or "").lower()
+        self.stack = [0]
+        #: Places in the stack by tag, and of all blocks.
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self._endless: set[int] = set()
+        at = told = 0  # told: where the text begins that is not a node yet
+        last_end = source.rfind(">")
+        while found := BEGIN.search(source, at) if at <= last_end else re.compile("<[!?]").search(source, at):
+            name, stop = "", found.end()
+            if at > last_end:
+                stop = len(source)
+            elif found[2]:
+                name = found[2].lower()
+                stop = self._end_of_tag(source, found.end())
+                if stop < 0:
+                    at = found.start() + 1
+                    continue
+            if found.start() > told:
+                self._text(self.stack[-1], source[told : found.start()])
+            at = told = stop
             if not name:
                 continue
             if found[1]:
-                self._close(stack, name)
+                self._close(name)
                 continue
-            self._imply(stack, name)
+            self._imply(name)
             if name in BLOCK:
                 self.block += 1
             elif name == "br":
-                self._text(stack[-1], "\n")
+                self._text(self.stack[-1], "\n")
             if name in VOID:
                 continue
-            self._open(stack, name, found[3])
+            self._open(name, source[found.end() : stop - 1])
             if name in RAW:
                 end = re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE).search(source, at)
-                at = end.start() if end else len(source)
+                at = told = end.start() if end else len(source)
+        if told < len(source):
+            self._text(self.stack[-1], source[told:])
 
-    def _open(self, stack: list[int], name: str, attributes: str) -> None:
+    def _end_of_tag(self, source: str, at: int) -> int:
+        """Behind the end of the tag whose name ends at ``at``; -1 if there is none.
+
+        Quotes from which no end is reached are remembered, as later tags come to them in the same state.
+        """
+        opened = []
+        while found := QUOTE_OR_END.search(source, at):
+            if found[0] == ">":
+                return found.end()
+            quote = found.start()
+            if quote in self._endless:
+                break
+            opened.append(quote)
+            closed = source.find(found[0], quote + 1)
+            at = closed + 1 if closed >= 0 else quote + 1
+        self._endless.update(opened)
+        return -1
+
+    def _open(self, name: str, attributes: str) -> None:
         held = {k.lower(): a or b or c for k, a, b, c in NAMED.findall(attributes)} if attributes else {}
         label = " ".join(held.get(k, "") for k in ("class", "id"))
-        above = stack[-1]
-        inside_article = name == "header" and any(self.tag[k] in ("article", "main") for k in stack)
-        never = name in NEVER or (name == "header" and not inside_article) or "hidden" in held or held.get("aria-hidden") == "true"
+        above = self.stack[-1]
+        in_article = self.in_article[above]
+        never = name in NEVER or (name == "header" and not in_article) or "hidden" in held or held.get("aria-hidden") == "true"
         never = never or held.get("role", "") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert")
         if not never and label.strip() and name not in ("html", "body", "article", "main"):
-            never = bool(SAYS_NEVER.search(label))
+            never = says_never(label, in_article)
         key = (self.path[above], f"{name}.{label.strip()}")
         self.parent.append(above)
         self.tag.append(name)
         self.path.append(self.paths.setdefault(key, len(self.paths) + 1))
         self.open_to.append(self.open_to[above] and not never)
         self.linked.append(self.linked[above] or name == "a")
-        stack.append(len(self.tag) - 1)
+        self.in_article.append(in_article or name in ("article", "main"))
+        self.at[name].append(len(self.stack))
+        if name in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(len(self.tag) - 1)
 
-    def _close(self, stack: list[int], name: str) -> None:
+    def _cut(self, size: int) -> None:
+        """Closes the elements of the stack from place ``size`` on."""
+        while len(self.stack) > size:
+            name = self.tag[self.stack.pop()]
+            self.at[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+
+    def _close(self, name: str) -> None:
         if name in BLOCK:
             self.block += 1
-        for k in range(len(stack) - 1, 0, -1):
-            here = self.tag[stack[k]]
-            if here == name:
-                del stack[k:]
-                return
-            # The end of an inline element does not end blocks around it.
-            if here in BLOCK and name not in BLOCK:
-                return
-
-    def _imply(self, stack: list[int], name: str) -> None:
+        places = self.at.get(name)
+        # The end of an inline element does not end blocks around it.
+        if places and (name in BLOCK or not self.blocks or places[-1] > self.blocks[-1]):
+            self._cut(places[-1])
+
+    def _imply(self, name: str) -> None:
         if name in CLOSES_P:
-            self._end(stack, {"p"}, {"article", "section", "div", "body", "td", "th", "li", "blockquote", "table", "button", "object"})
+            self._end({"p"}, {"article", "section", "div", "body", "td", "th", "li", "blockquote", "table", "button", "object"})
         if name in ENDS:
-            self._end(stack, *ENDS[name])
+            self._end(*ENDS[name])
 
-    def _end(self, stack: list[int], kinds: set[str], borders: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            here = self.tag[stack[k]]
-            if here in kinds:
-                del stack[k:]
-            elif here in borders:
-                return
+    def _end(self, kinds: set[str], borders: set[str]) -> None:
+        border = max((self.at[b][-1] for b in borders if self.at.get(b)), default=0)
+        lowest = [places[bisect_right(places, border)] for places in map(self.at.get, kinds) if places and places[-1] > border]
+        if lowest:
+            self._cut(min(lowest))
 
     def _text(self, element: int, text: str) -> None:
         if self.open_to[element]:
             self.nodes.append((element, html.unescape(text), self.block))
 
-    def up(self, element: int) -> list[int]:
-        line = [element]
-        while line[-1]:
-            line.append(self.parent[line[-1]])
-        return line[::-1]
+    def common(self, elements: set[int]) -> int:
+        """The deepest element that holds all of these; elements are numbered from the outside in."""
+        within = [0] * len(self.tag)
+        for element in elements:
+            within[element] = 1
+        for element in range(len(self.tag) - 1, 0, -1):
+            within[self.parent[element]] += within[element]
+        return max(k for k, n in enumerate(within) if n == len(elements))
+
+    def parts_below(self, root: int) -> list[int]:
+        """For each element the child of ``root`` it lies in, ``root`` for itself, -1 outside of it."""
+        part = [-1] * len(self.tag)
+        part[root] = root
+        for element in range(root + 1, len(self.tag)):
+            above = self.parent[element]
+            part[element] = element if above == root else part[above]
+        return part
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -192,22 +275,14 @@ def main_text(source: str) -> str:
         return ""
     content = _content(page, filled)
     chosen = [n for n in filled if page.path[n[0]] in content]
-    lines = [page.up(element) for element in dict.fromkeys(n[0] for n in chosen)]
-    common = lines[0]
-    for line in lines[1:]:
-        same = 0
-        while same < min(len(common), len(line)) and common[same] == line[same]:
-            same += 1
-        common = common[:same]
-    while len(common) > 1 and (page.tag[common[-1]] in LEAF or page.tag[common[-1]] not in BLOCK):
-        common = common[:-1]
-    root, depth = common[-1], len(common)
+    root = page.common({n[0] for n in chosen})
+    while root and (page.tag[root] in LEAF or page.tag[root] not in BLOCK):
+        root = page.parent[root]
+    part_of = page.parts_below(root)
     parts: dict[int, list[int]] = {}
     places = {}
     for element, text, _ in filled:
-        if element not in places:
-            line = page.up(element)
-            places[element] = (line[depth] if len(line) > depth else root) if len(line) >= depth and line[depth - 1] == root else -1
+        places[element] = part_of[element]
         if places[element] >= 0:
             sums = parts.setdefault(places[element], [0, 0, 0])
             sums[page.path[element] in content] += len(text)

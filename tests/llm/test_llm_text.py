@@ -1,7 +1,9 @@
 """Tokens, contamination, personal data, toxicity, pages and urls, against plain loops or known answers."""
 
 import json
+import math
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -265,3 +267,81 @@ def test_long_texts_are_learned_from_by_stretches(spark):
     parts = rows[0].t.split(" ")
     assert len(parts) == toxicity.STRETCHES and {len(p) for p in parts} == {toxicity.TRAIN_CHARS // toxicity.STRETCHES}
     assert long.startswith(parts[0]) and long.endswith(parts[-1]) and rows[1].t == short and rows[2].t is None
+
+
+ARTICLE = '<nav class="menu">Home | About</nav><article><header class="entry-header"><h1>Headline</h1></header><p>First text, with words.</p>'
+
+
+def test_article_text_stays_whatever_a_word_of_its_class_is():
+    text = html_extract.main_text
+    page = ARTICLE + '<p class="notice-period">The notice period, is long.</p><div class="side-effects"><p>Side effects, are rare.</p></div>'
+    page += '<div class="share-buttons">Share</div><div class="post-comments"><p>I, disagree.</p></div></article><div class="site-footer">Imprint, terms.</div>'
+    assert text(page) == "Headline\n\nFirst text, with words.\n\nThe notice period, is long.\n\nSide effects, are rare."
+    assert text('<div id="m"><div class="article-header"><h1>Headline</h1></div><p>Body text, with words. More.</p></div>').startswith("Headline")
+    for names in ("ad", "ad-slot", "site-header", "cookie-banner top", "article-comments", "left-sidebar", "NavBar", "social_links", "header"):
+        assert html_extract.says_never(names, False), names
+    for names in ("entry-header", "side-effects", "cookie-recipe", "tag-along", "content", "header"):
+        assert not html_extract.says_never(names, True), names
+
+
+@pytest.mark.parametrize(
+    "page, n_chars",
+    [
+        ('<a "' * 250_000, 1_000_000),
+        ('<a ">" ' * 150_000, None),
+        ("<div>x" * 160_000, None),
+        ("<div>" * 100_000 + "</section>" * 100_000, 0),
+        ("<i><div>" + "<b>" * 100_000 + "</i>" * 100_000 + "x", 1),
+        ("<p>" + "<span>" * 100_000 + "<td>x" * 100_000, None),
+        ("<a<a " * 200_000, None),
+        ("<article><p>" + "word, " * 300_000 + "</p></article>", 1_799_999),
+    ],
+)
+def test_broken_nested_and_long_pages_are_read_in_linear_time(page, n_chars):
+    begin = time.process_time()
+    found = html_extract.main_text(page)
+    assert time.process_time() - begin < 5
+    assert n_chars is None or len(found) == n_chars
+
+
+def test_an_unclosed_quote_is_text_of_its_tag():
+    assert html_extract.main_text('<p title="open>One, two.</p><p>Three, four.</p>') == "One, two.\n\nThree, four."
+    assert html_extract.main_text('<p>One <a "x>y" two.') == 'One <a "x>y" two.'
+
+
+def plain_content(page, filled):
+    """Paths by the fused ratios, one node after another."""
+    kernel = [0.05, 0.25, 0.4, 0.25, 0.05]
+    paths = [page.path[e] for e, _, _ in filled]
+    mine = {p: [t for (_, t, _), q in zip(filled, paths) if q == p] for p in paths}
+    length = {p: sum(len(t.strip()) for t in ts) for p, ts in mine.items()}
+    marks = {p: sum(sum(c in ".,;:!?…。，、؛،¿¡" for c in t) for t in ts) for p, ts in mine.items()}
+
+    def smooth(values):
+        out = []
+        for k in range(len(values)):
+            near = [(kernel[d + 2], values[k + d]) for d in range(-2, 3) if 0 <= k + d < len(values)]
+            out.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
+        return out
+
+    text = smooth([length[p] / len(mine[p]) for p in paths])
+    mark = smooth([(marks[p] + 0.1) / len(mine[p]) for p in paths])
+    fused = [math.sqrt(a * b) for a, b in zip(text, mark)]
+    mean = {p: sum(f for f, q in zip(fused, paths) if q == p) / len(mine[p]) for p in mine}
+    threshold = 0.5 * sum(mean[p] * length[p] for p in mean) / sum(length.values())
+    return {p for p, value in mean.items() if value >= threshold}
+
+
+def test_tag_path_ratios_equal_plain_loops(spark):
+    sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    rng = random.Random(2)
+    bits = ["<p>", "</p>", "<div class=a>", "</div>", "<a href=x>", "</a>", "<li>", "Some, text. ", "more words here ", "<b>", "</b>", "<h2>", "Title"]
+    sources += ["".join(rng.choice(bits) for _ in range(rng.randint(3, 80))) for _ in range(300)]
+    n = 0
+    for source in sources:
+        page = html_extract._Page(source or "")
+        filled = [x for x in page.nodes if x[1].strip()]
+        if filled:
+            n += 1
+            assert html_extract._content(page, filled) == plain_content(page, filled)
+    assert n > 400
