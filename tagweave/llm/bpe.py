@@ -3,8 +3,10 @@
 For each new word the longest tokens from left to right are a proposal. It is the encoding if every
 token encodes to itself and every two neighbours, put together, encode to just these two: then no
 merge ever crosses a border. Both facts are kept by token and by pair; the pairs of all new words of
-a part are looked up at once as sorted numbers, only unknown pairs are worked out, and only words
-with a failing pair are merged by rank. Known words are kept in a table of bounded size.
+a part are looked up at once as sorted numbers, and only unknown pairs are worked out. Words with a
+failing pair are merged by rank around that border: what the letters of its two tokens merge to takes
+their place, and is learned for all words, until all neighbours fit, which makes it the encoding. Words
+that do not come to rest are merged whole. Known words and pairs are kept in tables of bounded size.
 
 The tokenizer is the content of a JSON file of the tokenizers library, read on the driver and sent
 to tasks. Supported are BPE models with byte-level characters, an end-of-word suffix, a split
@@ -35,6 +37,8 @@ from tokenizers import Tokenizer
 from tagweave.llm.common import slices
 
 KNOWN_WORDS, KNOWN_PAIRS, PART_BYTES, SHORT = 200_000, 1_000_000, 4_000_000, 64
+#: Pairs whose exact merging is kept, and how often a word is mended before it is merged whole.
+REMADE, MENDED = 300_000, 16
 
 
 def byte_letters() -> list[str]:
@@ -68,15 +72,19 @@ class WordBpe:
         self.letters = byte_letters()
         self.name = {v: k for k, v in self.ids.items()}
         self.longest = max(map(len, self.ids))
-        #: The longest token that begins with two letters.
+        #: The longest token inside a word that begins with three letters.
         self.reach: dict[str, int] = {}
         for name in self.ids:
-            self.reach[name[:2]] = max(len(name), self.reach.get(name[:2], 0))
+            if not name.endswith(self.end):
+                self.reach[name[:3]] = max(len(name), self.reach.get(name[:3], 0))
+        self.of_byte = dict(enumerate(self.letters))
+        self.number = {i: str(i) for i in self.name}
         self.known = {token: (str(i), token) for token, i in special.items()}  # a word never equals one of these
         self.fixed = dict(self.known)
         self.stable: dict[int, bool] = {}
         self.pairs = np.zeros(0, np.int64)
         self.fits = np.zeros(0, bool)
+        self.remade: dict[int, tuple[int, ...]] = {}
         self.exact = 0
 
     def symbols(self, word: str) -> list[str]:
@@ -143,17 +151,44 @@ class WordBpe:
             return False
         return self.merge(self._letters_of(left) + self._letters_of(right)) == [self.name[left], self.name[right]]
 
+    def _remake(self, pair: int) -> tuple[int, ...]:
+        """What the letters of two neighbours merge to, themselves if they fit; empty where that is no token."""
+        found = self.merge(self._letters_of(pair >> 32) + self._letters_of(pair & 0xFFFFFFFF))
+        made = tuple(self.ids[s] for s in found) if all(s in self.ids for s in found) else ()
+        self.remade[pair] = made
+        return made
+
+    def mend(self, tokens: list[int]) -> list[int] | None:
+        """The encoding, found by merging around borders that do not fit; None where it is not found soon."""
+        tokens, at, left = list(tokens), 0, MENDED
+        known = self.remade.get
+        while at < len(tokens) - 1:
+            pair = tokens[at] << 32 | tokens[at + 1]
+            made = known(pair)
+            if made is None:
+                made = self._remake(pair)
+            if len(made) == 2 and made[0] == tokens[at]:
+                at += 1
+                continue
+            left -= 1
+            if not (made and left):
+                return None
+            tokens[at : at + 2] = made
+            at = max(at - 1, 0)
+        return tokens
+
     def propose(self, word: str) -> list[int]:
         """Longest tokens from the left; -1 where none fits."""
-        letters = "".join(self.letters[b] for b in word.encode())
-        found, at, ids = [], 0, self.ids
-        while at < len(letters):
-            token = ids.get(letters[at:] + self.end) if len(letters) - at + len(self.end) <= self.longest else None
+        letters = word if word.isalpha() and word.isascii() else word.encode().decode("latin-1").translate(self.of_byte)
+        found, at, ids, end, reach = [], 0, self.ids.get, self.end, self.reach.get
+        last, near = len(letters) - 1, len(letters) + len(self.end) - self.longest
+        while at <= last:
+            token = ids(letters[at:] + end) if at >= near else None
             if token is not None:
                 found.append(token)
                 break
-            for stop in range(min(len(letters) - 1, at + self.reach.get(letters[at : at + 2], 1)), at, -1):
-                token = ids.get(letters[at:stop])
+            for stop in range(min(last, at + reach(letters[at : at + 3], 2)), at, -1):
+                token = ids(letters[at:stop])
                 if token is not None:
                     break
             if token is None:
@@ -187,13 +222,15 @@ class WordBpe:
         if len(pairs):
             fit = self.fits[np.searchsorted(self.pairs, pairs)]
             wrong[owner[1:][joined][~fit]] = True
+        number, name = self.number, self.name
         for k, word in enumerate(words):
+            tokens = proposed[k]
             if wrong[k]:
                 self.exact += 1
-                tokens = [self.ids[s] for s in self.merge(self.symbols(word)) if s in self.ids]
-            else:
-                tokens = proposed[k]
-            self.known[word] = " ".join(map(str, tokens)), " ".join(self.name[t] for t in tokens)
+                tokens = self.mend(tokens) if len(tokens) > 1 and tokens[-1] >= 0 else None
+                if tokens is None:
+                    tokens = [self.ids[s] for s in self.merge(self.symbols(word)) if s in self.ids]
+            self.known[word] = " ".join([number[t] for t in tokens]), " ".join([name[t] for t in tokens])
 
     def unsure(self, text: str) -> bool:
         """Does a text have a character without a category in Python's tables?"""
@@ -228,6 +265,8 @@ class WordBpe:
         split = [self.split(t) for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known = dict(self.fixed)
+        if len(self.remade) > REMADE:
+            self.remade = {}
         self.learn([w for w in set().union(*split) if w not in self.known])
         known = self.known
         found = []
