@@ -34,15 +34,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     outlives lost executors. It stays as long as rows that are read from it may be asked for; the
     owner of the shared folder removes what lies below its folder ``tagweave``.
     """
+    return staged(df, name)[0]
+
+
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> tuple[DataFrame, str]:
+    """As ``stage``, with the path of the table for one that wants to ``discard`` it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tagweave/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``staged`` that nothing will be read from: what was made of it is written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def tagged(docs: DataFrame) -> tuple[DataFrame, str]:
