@@ -182,13 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Trains on at most ``rows`` documents of each label that are not held out."""
     labels = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     labels = labels.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("label"))
-    texts = docs.select("doc_id", _bounded(F.col("text")).alias("text")).filter(F.col("text").isNotNull())
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     order = [F.xxhash64("labelled_id"), "labelled_id"]
     sample = []
     for label in (0, 1):
         ids = labels.filter(F.col("label") == label).orderBy(*order).limit(rows)
         # Not more ids than ``rows``: broadcast, and a document may repeat.
-        found = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("labelled_id")).select("doc_id", "text", "label")
+        found = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("labelled_id"))
+        found = found.select("doc_id", _bounded(F.col("text")).alias("text"), "label")
         sample += found.limit(rows).collect()
     sample.sort(key=lambda r: (str(r["doc_id"]), r["text"]))
     return Model.train([r["text"] for r in sample], [int(r["label"]) for r in sample])
