@@ -2,19 +2,22 @@
 
 Candidates are the matches of fixed patterns (the base, which always stays) and of wider ones:
 addresses spelled with words, phone numbers without a plus, addresses of version 6, shorter card
-numbers. Three labelers vote for, against or not at all: the strict pattern, a gazetteer (top-level
-domains, issuers of cards, reserved networks, service prefixes) and the words just before the span.
+numbers, and secrets, long runs of letters and digits, which have no base. Three labelers vote for,
+against or not at all: the strict pattern (for secrets, a quoted value that is assigned), a gazetteer
+(top-level domains, issuers of cards, reserved networks, prefixes of keys) and the words just before
+the span.
 Expectation-maximisation (Dawid and Skene) estimates from the counts of vote patterns how reliable
 each labeler is for each kind. With the posteriors as soft labels, a naive Bayes classifier over
 features of the span is trained; wider candidates that it gives ``LEAST`` or more are added, unless
 they overlap a base span.
 
-Only DataFrame functions touch rows. The driver gets counts by vote pattern (at most 4 * 27 rows)
-and soft counts by feature value (at most 4 * 19 rows), whatever the number of documents. Each text
+Only DataFrame functions touch rows. The driver gets counts by vote pattern (at most 5 * 27 rows)
+and soft counts by feature value (at most 5 * 19 rows), whatever the number of documents. Each text
 is scanned once; what is found is written without the text, and both models read that table.
 
 Positions count code points, ends exclusive. Every pattern takes time in proportion to the text, as
-all repetitions are possessive and no match starts inside a run that has already failed.
+all repetitions are possessive and no match starts inside a run that has already failed; so do the
+steps that put places together, but for a root of their number.
 
 Defined results: a null or empty text has no spans, and the digest is that of the empty string; null
 ids and repeated rows each give a row; without any candidate nothing is added; counts are those of
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from tagweave.llm.common import stage
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 LEAST, ROUNDS = 0.9, 40
 
 # Base patterns. Each finds, from left to right, the same matches as the plain form of its kind.
@@ -48,6 +52,8 @@ WIDE = {
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){7}+(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,14}+(?![ -]?[0-9])",
     "phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3} )\(?[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![.-]?[0-9])",
+    # A whole run with a digit and a letter in it, that is no part of an address.
+    "secret": r"(?<![A-Za-z0-9_+/=@-])(?=[A-Za-z_+/=-]*+[0-9])(?=[0-9_+/=-]*+[A-Za-z])[A-Za-z0-9_+/=-]{20,}+(?!@)",
 }
 #: What a text must hold for a pattern to be tried, cheaper than the pattern.
 NEEDS = {
@@ -59,6 +65,7 @@ NEEDS = {
     ("ip", False): lambda t: t.rlike(r"[0-9A-Fa-f](?::[0-9A-Fa-f]{1,4}+){7}"),
     ("card", False): lambda t: t.rlike(r"[0-9](?:[ -]?[0-9]){12}"),
     ("phone", False): lambda t: t.rlike(r"[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}"),
+    ("secret", False): lambda t: t.rlike(r"[A-Za-z0-9_+/=-]{20}"),
 }
 
 # Gazetteers and context words, for and against.
@@ -67,20 +74,26 @@ KNOWN = {
     "ip": r"^(?!0+\.|127\.|255\.)[0-9A-Fa-f]",
     "card": r"^(4|5[1-5]|2[2-7]|3[47]|36|6011|65)",
     "phone": r"^[+(]?[1-9]",
+    "secret": r"^(AKIA|ASIA|AIza|gh[pousr]_|glpat-|sk_(live|test)_|xox[abprs]-|ey[JK])",
 }
 UNLIKELY = {
     "email": r"(?i)(png|jpg|gif|svg|css|js)$",
     "ip": r"^(0+\.|127\.0|255\.255)",
     "card": r"^(0|1|7|8|9)",
     "phone": r"^\(?(000|555[ .-]?0100)",
+    "secret": r"^[a-z]+([-_/][a-z0-9]+)+$|/.*/|^[0-9]{4}-[0-9]{2}-[0-9]{2}|^([0-9A-Fa-f])\2+$",
 }
 NEAR = {
     "email": r"(?i)(e-?mail|contact|write|reach|schreib|correo|courriel)",
     "ip": r"(?i)(\bip\b|address|host|server|login|adresse)",
     "card": r"(?i)(card|visa|master|amex|credit|karte|carte|tarjeta)",
     "phone": r"(?i)(tel|phone|call|fax|mobil|cell|contact)",
+    "secret": r"(?i)(tokens?|secrets?|passw(or)?d|passphrase|(api|access|private).?key|auth|authorization|bearer|credentials?)[^A-Za-z]*$",
 }
 AGAINST = r"(?i)(version|isbn|issn|doi|order|serial|invoice|section|\bv)[ .:#]*$"
+AGAINST_SECRET = r"(?i)(commit|revision|sha.?[0-9]*|md5|hash|digest|checksum|etag|uuid|version|file|image|build|://\S*)[^A-Za-z]*$"
+#: What stands before a value that is assigned, and what a value with a word in it holds.
+ASSIGNED, WORD_SHAPE = r"[=:] ?[\"'`]$", r"(^|[-_/+=])[A-Za-z][a-z]{7}"
 
 
 def _digits(value: Column) -> Column:
@@ -99,30 +112,49 @@ def _valid(kind: str, base: bool, value: Column) -> Column:
     return F.lit(True)
 
 
-def located(text: Column, pattern: str) -> Column:
-    """All matches with start, end, value and what stands before, by what lies between them.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(lengths: Column) -> Column:
+    """For each of an array's pairs of gap and size: the sum of all before it and its gap.
 
-    Positions are put together as one string; a growing array would be copied for each match.
+    A sum is carried along with a text of all sums so far, which is copied for each step. So the array is
+    summed in parts of about the root of its size, and then over the parts.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("places"))
+    width = F.ceil(F.sqrt(F.size(lengths))).cast("int")
+    parts = F.transform(F.sequence(F.lit(1), F.size(lengths), width), lambda first: F.slice(lengths, first, width))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("places"))
+    put = lambda places, n: F.concat(places, n.cast("string"), F.lit(" "))
+    numbers = lambda places: F.transform(F.split(F.rtrim(places), " "), lambda n: n.cast("int"))
 
     def step(state, pair):
-        start = state["at"] + F.length(pair["gap"])
-        return F.struct(
-            (start + F.length(pair["value"])).alias("at"),
-            F.concat(state["places"], start.cast("string"), F.lit(" ")).alias("places"),
-        )
+        begin = state["at"] + pair["gap"]
+        return F.struct((begin + pair["size"]).alias("at"), put(state["places"], begin).alias("places"))
+
+    def over(sums):
+        add = lambda state, part: F.struct((state["at"] + part["at"]).alias("at"), put(state["places"], state["at"]).alias("places"))
+        offsets = numbers(F.aggregate(sums, start, add)["places"])
+        moved = lambda part, offset: F.transform(numbers(part["places"]), lambda n: n + offset)
+        return F.flatten(F.zip_with(sums, offsets, moved))
+
+    summed = _let(F.transform(parts, lambda part: F.aggregate(part, start, step)), over)
+    return F.when(F.size(lengths) > 0, summed).otherwise(F.array().cast("array<int>"))
+
 
-    starts = F.split(F.aggregate(pairs, zero, step)["places"], " ", -1)
+def located(text: Column, pattern: str) -> Column:
+    """All matches with start, end, value and what stands before, by what lies between them."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
+    lengths = F.transform(pairs, lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["value"]).alias("size")))
     return F.zip_with(
-        F.slice(starts, F.lit(1), F.size(found)),
+        _let(lengths, _running),
         pairs,
-        lambda s, p: F.struct(
-            s.cast("int").alias("start"),
-            (s.cast("int") + F.length(p["value"])).alias("end"),
+        lambda start, p: F.struct(
+            start.alias("start"),
+            (start + F.length(p["value"])).alias("end"),
             p["value"].alias("value"),
             F.right(p["gap"], F.lit(30)).alias("before"),
         ),
@@ -136,21 +168,24 @@ def _vote(yes: Column, no: Column) -> Column:
 def _described(kind: str, base: bool, span: Column) -> Column:
     """A candidate as its place, three votes, and features with few values."""
     value, before = span["value"], span["before"]
-    plain = value if kind in ("email", "ip") else _digits(value)
+    plain = _digits(value) if kind in ("card", "phone") else value
     n = F.length(_digits(value))
+    secret = kind == "secret"
+    shape = _vote(before.rlike(ASSIGNED), value.rlike(WORD_SHAPE)) if secret else F.lit(1 if base else 0)
+    against = AGAINST_SECRET if secret else AGAINST
     return F.struct(
         F.lit(kind).alias("kind"),
         span["start"].alias("start"),
         span["end"].alias("end"),
         F.lit(base).alias("base"),
-        F.lit(1 if base else 0).alias("by_pattern"),
+        shape.alias("by_pattern"),
         _vote(plain.rlike(KNOWN[kind]), plain.rlike(UNLIKELY[kind])).alias("by_list"),
-        _vote(before.rlike(NEAR[kind]), before.rlike(AGAINST)).alias("by_context"),
+        _vote(before.rlike(NEAR[kind]), before.rlike(against)).alias("by_context"),
         F.array(
             F.concat(F.lit("digits "), F.least(n.cast("int") / 4, F.lit(5)).cast("int").cast("string")),
-            F.concat(F.lit("split "), value.rlike("[ ()-]").cast("string")),
+            F.concat(F.lit("split "), value.rlike("[ ()/-]" if secret else "[ ()-]").cast("string")),
             F.concat(F.lit("after "), F.when(before.rlike(r"[\s:(=]$"), "gap").when(F.length(before) == 0, "start").otherwise("text")),
-            F.concat(F.lit("near "), before.rlike(NEAR[kind]).cast("string")),
+            F.concat(F.lit("near "), F.when(before.rlike(NEAR[kind]), "for").when(before.rlike(against), "against").otherwise("none")),
             F.concat(F.lit("known "), plain.rlike(KNOWN[kind]).cast("string")),
         ).alias("features"),
     )
@@ -162,10 +197,25 @@ def _valid_spans(kind: str, base: bool, spans: Column) -> Column:
 
 
 def _clear_of(kind: str) -> Column:
-    def apart(wide):
-        return ~F.exists(kind, lambda b: (wide["start"] < b["end"]) & (b["start"] < wide["end"]))
+    """Wide spans that overlap no base span of their kind, by their neighbours in the order of both.
+
+    Spans of either sort do not overlap each other, and none is so long that two of the other sort lie
+    within it. So a wide one can only meet base ones among the next and the three before it.
+    """
+    place = lambda s, wide: F.struct(s["start"].alias("start"), F.lit(wide).alias("wide"), s.alias("span"))
+
+    def apart(spans):
+        def meets(s, other):
+            return F.coalesce(~other["wide"] & (other["start"] < s["span"]["end"]) & (s["start"] < other["span"]["end"]), F.lit(False))
+
+        def kept(s, i):
+            near = [meets(s, F.get(spans, i + k)) for k in (1, -1, -2, -3)]
+            return F.when(s["wide"] & ~(near[0] | near[1] | near[2] | near[3]), s["span"])
+
+        return F.array_compact(F.transform(spans, kept))
 
-    return F.filter(f"{kind}_wide", apart)
+    both = F.array_sort(F.concat(F.transform(kind, lambda s: place(s, False)), F.transform(f"{kind}_wide", lambda s: place(s, True))))
+    return F.when((F.size(kind) > 0) & (F.size(f"{kind}_wide") > 0), _let(both, apart)).otherwise(F.col(f"{kind}_wide"))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -173,12 +223,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     named, wide = [], []
     for base, patterns in ((True, BASE), (False, WIDE)):
-        for kind in KINDS:
+        for kind in patterns:
             spans = F.when(NEEDS[kind, base](text), _valid_spans(kind, base, located(text, patterns[kind])))
             none = F.array().cast(f"array<{SPAN}>")
             (named if base else wide).append(F.coalesce(spans, none).alias(kind if base else f"{kind}_wide"))
     rows = docs.select("doc_id", *named, *wide)
-    clear = [_clear_of(kind) for kind in KINDS]
+    clear = [_clear_of(kind) for kind in KINDS] + ["secret_wide"]  # there is no base of their kind
     return rows.select("doc_id", F.concat(*KINDS).alias("base"), F.concat(*clear).alias("wide"))
 
 
@@ -189,7 +239,7 @@ VOTES = ("by_pattern", "by_list", "by_context")
 def reliabilities(counts: list[Row], rounds: int = ROUNDS) -> dict[tuple, float]:
     """Posterior of each vote pattern of each kind, by expectation-maximisation over their counts."""
     posterior = {}
-    for kind in KINDS:
+    for kind in ALL_KINDS:
         mine = [(tuple(r[v] for v in VOTES), r["count"]) for r in counts if r["kind"] == kind]
         belief = {votes: 1 / (1 + math.exp(-2.0 * sum(votes) + 1)) for votes, _ in mine}
         for _ in range(rounds if mine else 0):
@@ -236,7 +286,7 @@ def _looked_up(key: Column, values: dict[str, float]) -> Column:
 
 
 def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, counts of base spans, their digest, all spans as text, and all spans as an array."""
+    """doc_id, counts of base spans, their digest, all spans as text, how many these are, and all spans as an array."""
     found = stage(candidates(docs), "spans")
     odds = train(found)
     added = F.col("wide")
@@ -252,7 +302,7 @@ def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
         added = F.filter("wide", lambda s: score(s) >= math.log(least / (1 - least)))
 
     def ordered(spans):
-        rank = F.create_map(*(F.lit(x) for k, kind in enumerate(KINDS) for x in (kind, k)))
+        rank = F.create_map(*(F.lit(x) for k, kind in enumerate(ALL_KINDS) for x in (kind, k)))
         keyed = F.transform(spans, lambda s: F.struct(rank[s["kind"]].alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
         return F.array_sort(keyed)
 
@@ -267,6 +317,7 @@ def find_pii(docs: DataFrame, least: float = LEAST) -> DataFrame:
         *map(count, KINDS),
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         joined(F.concat("base", added)).alias("spans"),
+        F.size(F.concat("base", added)).cast("long").alias("n_spans"),
         F.transform(ordered(F.concat("base", added)), lambda s: F.struct(*(s[c].alias(c) for c in ("kind", "start", "end")))).alias("found"),
     )
 

@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import re
 import time
 
 import public_tokenizers
@@ -345,3 +346,66 @@ def test_tag_path_ratios_equal_plain_loops(spark):
             n += 1
             assert html_extract._content(page, filled) == plain_content(page, filled)
     assert n > 400
+
+
+def secret_documents(n=400, seed=8):
+    """Tokens behind words that ask for secrecy, and the same shapes behind words that say what else they are."""
+    rng = random.Random(seed)
+    key = lambda size, letters="0123456789abcdef": "".join(rng.choice(letters) for _ in range(size))
+    mixed = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789"
+    rows, secrets = [], {}
+    for k in range(n):
+        value = key(40) if k % 2 else key(32, mixed) + "7aB"
+        if k % 4 < 2:
+            text = f'padding words {rng.choice(["token", "api_key", "password", "SECRET", "bearer"])} = "{value}" more words'
+            secrets[k] = f"secret:{text.index(value)}:{text.index(value) + len(value)}"
+        else:
+            quote = rng.choice(['"', ""])
+            text = f'padding words {rng.choice(["commit", "sha1", "checksum", "uuid", "revision"])}: {quote}{value}{quote} more words'
+        rows.append((k, text))
+    rows += [(n + 1, "a-long-name-of-a-page-2024-in-words"), (n + 2, "supercalifragilistic12345"), (n + 3, "x" * 500), (n + 4, "user12345678901234567890@example.org")]
+    return rows, secrets
+
+
+def test_secrets_are_told_from_digests_by_the_classifier(spark):
+    rows, secrets = secret_documents()
+    found = {r.doc_id: r for r in pii.find_pii(frame(spark, rows)).collect()}
+    added = {d: r.spans for d, r in found.items() if "secret" in r.spans}
+    assert added == secrets
+    plain = {d: base_spans(text) for d, text in rows}
+    assert all(r.base_sha256 == sha(",".join(plain[d][1])) and [r.n_email, r.n_ip, r.n_card, r.n_phone] == plain[d][0] for d, r in found.items())
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) == len(r.found) for r in found.values())
+
+
+def test_the_pattern_alone_would_take_digests_for_secrets(spark):
+    rows, secrets = secret_documents()
+    wide = pii.candidates(frame(spark, rows)).select("doc_id", F.explode("wide").alias("s")).filter("s.kind = 'secret'")
+    votes = {tuple(r) for r in wide.select("s.by_pattern", "s.by_list", "s.by_context").distinct().collect()}
+    assert wide.count() > 1.9 * len(secrets) and {(1, 0, 1), (1, 0, -1), (0, 0, -1)} <= votes
+
+
+def test_wide_spans_beside_base_spans(spark):
+    """By their neighbours, against every pair."""
+    rng = random.Random(1)
+    parts = ["+1 212 555 0199", "(212) 555-0123", "212-555-0123", " +49", "x", " ", "212 555 0100", "+44 (212) 555-0199 212-555-0188"]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))) for k in range(150)]
+    named = F.coalesce(pii.located(F.col("text"), pii.BASE["phone"]), F.array().cast("array<struct<start:int,end:int,value:string,before:string>>"))
+    wide = pii.located(F.col("text"), pii.WIDE["phone"])
+    spans = frame(spark, rows).select("text", named.alias("phone"), wide.alias("phone_wide"))
+    n = 0
+    for r in spans.select("text", "phone", "phone_wide", pii._clear_of("phone").alias("clear")).collect():
+        assert [(s.start, s.end) for s in r.phone] == [m.span() for m in re.finditer(pii.BASE["phone"], r.text)]
+        apart = [w for w in r.phone_wide if not any(w.start < b.end and b.start < w.end for b in r.phone)]
+        assert r.clear == apart
+        n += len(apart) < len(r.phone_wide)
+    assert n > 10
+
+
+def test_personal_data_takes_time_in_proportion(spark):
+    begin = time.time()
+    text = "a@b.c " * 400_000
+    row = pii.find_pii(frame(spark, [(1, text)])).select("n_email", "n_spans").first()
+    assert tuple(row) == (400_000, 400_000) and time.time() - begin < 20
+    begin = time.time()
+    row = pii.find_pii(frame(spark, [(1, "+1 212 555 0199 or 212-555-0123, " * 40_000)])).first()
+    assert row.n_phone == 40_000 and time.time() - begin < 20
