@@ -16,7 +16,7 @@ is left out. Words are split with Python's tables of characters; only a text wit
 these do not know is split by the library itself. A decoder of null joins tokens with one space.
 
 Defined results: a null or empty text has no tokens, and the digests are those of the empty string;
-repeated rows each give a row; further columns are not read. No text is cut, whatever its length.
+repeated rows each give a row; an empty table gives an empty result; further columns are not read. No text is cut, whatever its length.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ all repetitions are possessive and no match starts inside a run that has already
 steps that put places together, but for a root of their number.
 
 Defined results: a null or empty text has no spans, and the digest is that of the empty string; null
-ids and repeated rows each give a row; without any candidate nothing is added; counts are those of
+ids and repeated rows each give a row; without any candidate nothing is added; an empty table gives an
+empty result; texts are read whole, whatever their length; counts are those of
 base spans; further columns of the input are not read.
 """
 

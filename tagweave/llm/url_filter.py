@@ -13,7 +13,8 @@ DataFrame functions are used; the driver gets one row of sums for each level.
 Defined results: a null url, or one without ``://``, has an empty host and path, which form one host
 of their own; a host without outcomes takes the prior of its domain; outcomes that are null, neither
 0 nor 1, or of no page are left out; rows that repeat a page each give a row; of rules that fit, the
-longest wins, and a rule given twice with two verdicts is an error; further columns are not read.
+longest wins, and a rule given twice with two verdicts is an error; without pages the result is empty,
+and without outcomes all hosts have the same reputation; further columns are not read.
 """
 
 from __future__ import annotations

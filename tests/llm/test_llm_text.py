@@ -409,3 +409,23 @@ def test_personal_data_takes_time_in_proportion(spark):
     begin = time.time()
     row = pii.find_pii(frame(spark, [(1, "+1 212 555 0199 or 212-555-0123, " * 40_000)])).first()
     assert row.n_phone == 40_000 and time.time() - begin < 20
+
+
+def test_no_documents_and_no_pages(spark):
+    assert bpe.encode_digests(frame(spark, []), PATH).collect() == []
+    pages, outcomes = "page_id long, url string", "page_id long, good int"
+    none = frame(spark, [], pages), frame(spark, [(1, 0)], outcomes), [("org/", "allow")]
+    assert url_filter.filter_urls(*none).collect() == []
+    urls = [(1, "https://a.org/x"), (2, None), (3, "http://b.com/" + "y" * 500_000)]
+    found = url_filter.filter_urls(frame(spark, urls, pages), frame(spark, [], outcomes), [("org/", "block")]).orderBy("page_id").collect()
+    assert [(r.host, len(r.path), r.rule, r.verdict) for r in found] == [("a.org", 2, "org/", "block"), ("", 0, None, "allow"), ("b.com", 500_001, None, "allow")]
+
+
+def test_hosts_with_bad_outcomes_are_blocked_by_reputation(spark):
+    """Through the filter, beside rules: 40 bad pages block a host, 40 good ones do not, a rule wins over both."""
+    pages = [(k, f"http://{('bad', 'fine')[k % 2]}{k % 4}.example{k % 4}.net/p") for k in range(160)] + [(900, "http://bad0.example0.net/kept/x"), (901, "http://new.example7.net/")]
+    outcomes = [(k, k % 2) for k in range(160)]
+    found = url_filter.filter_urls(frame(spark, pages, "page_id long, url string"), frame(spark, outcomes, "page_id long, good int"), [("net/kept/", "allow")])
+    verdicts = {r.page_id: (r.rule, r.verdict) for r in found.collect()}
+    assert all(verdicts[k] == (None, ("block", "allow")[k % 2]) for k in range(160))
+    assert verdicts[900] == ("net/kept/", "allow") and verdicts[901] == (None, "allow")
