@@ -62,7 +62,8 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", paths.alias("paths"), category.alias("category"), code.alias("code"))
     line = F.col("l_linenumber")
     attr = F.get("paths", F.when(line.between(1, 6), line - 1).otherwise(6))
-    lines = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    # Parts grow with the lines, and a file is small beside its rows: joined by sorting, never through the driver.
+    lines = table(spark, sf_dir, "lineitem").join(parts.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     attrs = lines.select("l_orderkey", attr.alias("attr"))
     # Distinct first: an order has no more of these rows than parts have categories and brands.
     facts = lines.select(
@@ -75,8 +76,8 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_set("code")).alias("codes"),
     )
     # A left join by the keys of a group: dropped by the optimizer where no list is asked for.
-    posts = attrs.join(lists, "l_orderkey", "left").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    posts = attrs.join(lists.hint("merge"), "l_orderkey", "left").join(
+        table(spark, sf_dir, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     return posts.select(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -91,8 +92,8 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``post_attr``, but with an author and lists for each line, so that rows of a post differ in them."""
     part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = table(spark, sf_dir, "lineitem").join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
     line = F.col("l_linenumber")
     attr = (
