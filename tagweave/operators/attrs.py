@@ -64,9 +64,12 @@ def classify_attrs(
     ``tp`` is shortened to its second part.
     """
     runs = Runs(special_people)
-    rows = classed_rows(post_attr, runs, scheme)
+    # Rows are brought together before they are copied for runs and classes, by what all copies that can
+    # become equal have in common, so that copies are never shuffled.
+    rows = classed_rows(post_attr, runs, scheme).withColumn("second", segment("attr", 1))
+    rows = rows.repartition(*POST_COLUMNS, "second")
     classes = F.when(F.col("kind") == "scene", F.array(F.lit("sub_scene"), F.lit("scene"))).otherwise(F.array("kind"))
     typed = runs.copies(rows).withColumn("attr_type", F.explode(classes))
     short = F.col("attr_type").isin("tp", "scene")
     attr = F.when(short, segment("attr", 1)).otherwise(F.col("attr"))
-    return typed.select("data_model", *POST_COLUMNS, "attr_type", attr.alias("attr")).dropDuplicates()
+    return typed.select("data_model", *POST_COLUMNS, "attr_type", attr.alias("attr"), "second").dropDuplicates().drop("second")

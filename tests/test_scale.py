@@ -3,6 +3,7 @@
 import pytest
 
 from checks import fixtures as fx
+from tagweave.operators.attrs import classify_attrs
 
 
 def _executed(df):
@@ -21,3 +22,21 @@ def test_no_table_that_grows_is_sent_through_the_driver(spark, tmp_path, posts):
     rows = posts(spark, str(tmp_path))
     assert "BroadcastExchange" not in _executed(rows)
     assert rows.count() == 3
+
+
+def _posts(spark):
+    paths = ["场景.home.small", "场景.home.blue", "场景.home", "TP.shop", "TP.shop.web", "TP内圈.A.场景A"]
+    rows = [(str(i % 4), str(i % 4), "1", ["3"], ["3_7"], path) for i, path in enumerate(paths * 2)]
+    rows += [("9", None, "1", None, None, "场景.home.small"), (None, "2", None, ["3"], None, "TP.shop")]
+    return spark.createDataFrame(rows, "id string, user_id string, platform_id string, categoryids array<string>, brands array<string>, attr string")
+
+
+def test_copies_for_runs_and_classes_are_not_shuffled(spark):
+    """Two scenes of one parent meet in a run that names both words, without a shuffle of the copies."""
+    runs = fx._literal_table(spark, [(1, "small,blue", 2), (2, "", 4)], "id bigint, value string, state int")
+    typed = classify_attrs(_posts(spark), runs)
+    assert not [line for line in _executed(typed).splitlines() if "Exchange hashpartitioning" in line and "attr_type" in line]
+    assert typed.columns == ["data_model", "id", "user_id", "platform_id", "categoryids", "brands", "attr_type", "attr"]
+    rows = [tuple(map(str, row)) for row in typed.collect()]
+    assert len(rows) == len(set(rows))
+    assert sum(r[0] == "1" and r[6] == "scene" and r[1] == "9" for r in rows) == 1
