@@ -40,11 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as posts; each line gives an attribute path, and maybe a category and a brand.
-
-    An order can repeat a path; nothing downstream depends on rows being distinct.
-    """
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with the seven paths that a line of theirs may have, their category and their code of category and brand."""
     first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
     # Strings are put together once for each part, not for each line.
     root = F.lit("TP")
@@ -59,12 +56,24 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     category = (F.col("p_size") % 10).cast("string")
     code = F.concat_ws("_", category, F.substring("p_brand", 7, 100))
-    parts = table(spark, sf_dir, "part").select("p_partkey", paths.alias("paths"), category.alias("category"), code.alias("code"))
-    line = F.col("l_linenumber")
-    attr = F.get("paths", F.when(line.between(1, 6), line - 1).otherwise(6))
+    rows = table(spark, sf_dir, "part").select("p_partkey", paths.alias("paths"), category.alias("category"), code.alias("code"))
     # Parts grow with the lines, and a file is small beside its rows: joined by sorting, never through the driver.
-    lines = table(spark, sf_dir, "lineitem").join(parts.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
-    attrs = lines.select("l_orderkey", attr.alias("attr"))
+    return rows.hint("merge")
+
+
+def _path() -> F.Column:
+    """The path of a line, by its number."""
+    line = F.col("l_linenumber")
+    return F.get("paths", F.when(line.between(1, 6), line - 1).otherwise(6))
+
+
+def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as posts; each line gives an attribute path, and maybe a category and a brand.
+
+    An order can repeat a path; nothing downstream depends on rows being distinct.
+    """
+    lines = table(spark, sf_dir, "lineitem").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+    attrs = lines.select("l_orderkey", _path().alias("attr"))
     # Distinct first: an order has no more of these rows than parts have categories and brands.
     facts = lines.select(
         "l_orderkey",
@@ -91,28 +100,15 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``post_attr``, but with an author and lists for each line, so that rows of a post differ in them."""
-    part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem").join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
-    lines = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
-    line = F.col("l_linenumber")
-    attr = (
-        F.when(line == 1, F.concat(F.lit("场景."), "p_type"))
-        .when(line == 2, F.concat_ws(".", F.lit("场景"), "p_type", first))
-        .when(line == 3, F.concat_ws(".", F.lit("TP"), second))
-        .when(line == 4, F.concat_ws(".", F.lit("TP"), second, first))
-        .when(line == 5, "TP内圈.A.场景A")
-        .when(line == 6, "TP内圈.B.场景B")
-        .otherwise(F.concat_ws(".", F.lit("TP"), second, first, F.lit("deep")))
-    )
-    category = (F.col("p_size") % 10).cast("string")
+    lines = table(spark, sf_dir, "lineitem").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.join(table(spark, sf_dir, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("o_orderkey").cast("string").alias("id"),
-        (F.col("o_custkey") + line % 3).cast("string").alias("user_id"),
+        (F.col("o_custkey") + F.col("l_linenumber") % 3).cast("string").alias("user_id"),
         F.substring("o_orderpriority", 1, 1).alias("platform_id"),
-        F.when(F.col("l_returnflag") != "N", F.array(category)).alias("categoryids"),
-        F.when(F.col("l_linestatus") == "O", F.array(F.concat_ws("_", category, F.substring("p_brand", 7, 100)))).alias("brands"),
-        attr.alias("attr"),
+        F.when(F.col("l_returnflag") != "N", F.array("category")).alias("categoryids"),
+        F.when(F.col("l_linestatus") == "O", F.array("code")).alias("brands"),
+        _path().alias("attr"),
     )
 
 

@@ -19,8 +19,13 @@ def audience(rows: DataFrame, people: DataFrame) -> DataFrame:
     Both sides are distinct before they meet, so nothing needs the rows of a person together after
     the join, and Spark may split a person with a large part of all rows.
     """
+    return angled(rows.distinct(), people)
+
+
+def angled(rows: DataFrame, people: DataFrame) -> DataFrame:
+    """``rows`` for each angle of their author, repeated as they are: only the columns that are read get shuffled."""
     known = people.select(*PERSON, "people_type", F.explode("regex_rule").alias("people_angle")).distinct()
-    return rows.distinct().join(known, PERSON, "inner").select(*ANGLE, *rows.columns)
+    return rows.join(known, PERSON, "inner").select(*ANGLE, *rows.columns)
 
 
 def audience_of(post_attr: DataFrame, people: DataFrame, people_type: str, angle: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.paths import brand_of, category_of, segment
 from tagweave.operators.attrs import AttrScheme, classed_rows
-from tagweave.operators.audience import ANGLE, PERSON, audience
+from tagweave.operators.audience import ANGLE, PERSON, angled
 from tagweave.sources.runs import RUN, Runs, holds, keys_of
 
 POST = ["platform_id", "id"]
@@ -85,7 +85,7 @@ class TouchPointMetrics:
             # The author belongs to the post, so it may be part of the match.
             self.match, self.who, self.rows = [*POST, "user_id"], PERSON, rows
         else:
-            self.match, self.who, self.rows = [*ANGLE, *POST], [*ANGLE, "user_id"], keep(audience(rows, people))
+            self.match, self.who, self.rows = [*ANGLE, *POST], [*ANGLE, "user_id"], keep(angled(rows, people))
         self._own_ids = own_ids
 
     @property

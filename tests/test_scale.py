@@ -2,8 +2,11 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
+from tagweave.operators.metrics import TouchPointMetrics
 
 
 def _executed(df):
@@ -40,3 +43,21 @@ def test_copies_for_runs_and_classes_are_not_shuffled(spark):
     rows = [tuple(map(str, row)) for row in typed.collect()]
     assert len(rows) == len(set(rows))
     assert sum(r[0] == "1" and r[6] == "scene" and r[1] == "9" for r in rows) == 1
+
+
+@pytest.mark.parametrize("name", ["tpa_scene_data", "tpa_scene_category_data", "tpa_tp_data", "tpa_subscene_data"])
+def test_angles_first_takes_only_what_is_read(spark, name):
+    """Rows that go to angles first carry no column a table does not read, and count once however often they repeat."""
+    people = spark.createDataFrame([("1", str(n), "P", ["a", "b"]) for n in range(4)], "platform_id string, user_id string, people_type string, regex_rule array<string>")
+    table = lambda rows: TouchPointMetrics(rows, people, late_angles=False).table(name)
+    once, twice = table(_posts(spark)), table(_posts(spark).union(_posts(spark)))
+    assert not [line for line in _executed(once).splitlines() if "Exchange" in line and "brands" in line]
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect())) != []
+
+
+def test_paths_of_lines_are_made_once_for_each_part(spark, tmp_path):
+    _tables(spark, tmp_path)
+    rows = fx.line_posts(spark, str(tmp_path))
+    joined = _executed(rows.filter(F.col("attr").contains("."))).split("SortMergeJoin")[0]
+    assert "concat" not in joined and "split_part" not in joined
+    assert [r.attr for r in rows.orderBy("user_id").collect()] == ["TP.small", "场景.BRASS", "场景.BRASS.red"]
