@@ -17,11 +17,14 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagweave.functions.patterns import fold, found, is_lettered, needed_words, plain_words
+from tagweave.functions.patterns import fold, folded_pattern, found, is_lettered, needed_words, plain_words
 
 #: Branches that a trie tries one after another; more are halved by the range of their first characters.
 BRANCHES = 5
 
+# First characters that all words have, by which places are told before the trie is tried, and ranges in a class of them.
+OUTLINE, RANGES = 4, 32
+
 # Lexicons of more tags than this are looked up through an index of their words.
 INDEXED = 100
 # Tags per array expression. Keeps each generated method small.
@@ -30,7 +33,7 @@ CHUNK = 50
 # Needed words of a pattern that are looked up.
 LOOKED_UP = 8
 
-_NAMES, _NUMBERS, _HITS = "array<string>", "array<int>", "array<struct<n:int,part:int>>"
+_NAMES, _NUMBERS = "array<string>", "array<int>"
 
 
 def matched_tags(text: Column, tags: Mapping[str, str], folded: Column | None = None, indexed: int = INDEXED) -> Column:
@@ -86,6 +89,23 @@ def trie_pattern(words: Iterable[str]) -> str:
     return rest(root)
 
 
+def outline_pattern(words: Iterable[str]) -> str:
+    """A Java pattern of one class for each of the first characters, which the beginning of every word matches.
+
+    Most places of a text are told by it to begin no word, without a step into the trie.
+    """
+    words = list(words)
+
+    def any_of(characters: set[str]) -> str:
+        codes = sorted(map(ord, characters))
+        edges = [i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1]
+        runs = [(codes[a], codes[b - 1]) for a, b in zip([0, *edges], [*edges, len(codes)])]
+        runs = runs if len(runs) <= RANGES else [(codes[0], codes[-1])]
+        return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
+
+    return "".join(any_of({w[i] for w in words}) for i in range(min([OUTLINE, *map(len, words)])))
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -123,30 +143,34 @@ class LexiconIndex:
 
     def numbers(self, text: Column, folded: Column) -> Column:
         """Numbers of the patterns found in ``text``, ascending; empty for null text."""
-        patterns = _constant([f"(?i){p}" for p in self.tags.values()], "array<string>")
+        # In the folded text a pattern is searched by the bytes of its first word, without regard to case.
+        in_folded = [folded_pattern(p) for p in self.tags.values()]
+        patterns = _constant([f"(?i){p}" if q is None else q for p, q in zip(self.tags.values(), in_folded)], "array<string>")
+        on_folded = _constant([q is not None for q in in_folded], "array<boolean>")
         n_parts = _constant(self._parts, _NUMBERS)
         of_words = [_hits(source, table) for source, table in ((folded, self._folded), (text, self._as_is)) if table]
 
         def confirmed(hits: Column) -> Column:
-            sure = F.transform(F.filter(hits, lambda h: h["part"] == SURE), lambda h: h["n"])
-            codes = F.transform(F.filter(hits, lambda h: h["part"] != SURE), lambda h: h["n"] * LOOKED_UP + h["part"])
-            return F.concat(sure, _let(F.array_sort(F.array_distinct(codes)), candidates))
+            sure = F.transform(F.filter(hits, lambda h: h < 0), lambda h: SURE - h)
+            codes = F.filter(hits, lambda h: h >= 0)
+            return F.concat(sure, _let(F.sort_array(F.array_distinct(codes)), candidates))
 
         def candidates(codes: Column) -> Column:
             def complete(code: Column, i: Column) -> Column:
                 number = F.call_function("div", code, F.lit(LOOKED_UP)).cast("int")
                 more = F.get(n_parts, number) - 1
                 whole = (code % LOOKED_UP == 0) & F.get(codes, i + more).eqNullSafe(code + more)
-                return F.when(whole, F.when(F.rlike(text, F.get(patterns, number)), number))
+                source = F.when(F.get(on_folded, number), folded).otherwise(text)
+                return F.when(whole, F.when(F.rlike(source, F.get(patterns, number)), number))
 
             return F.array_compact(F.transform(codes, complete))
 
-        none = F.array().cast(_HITS)
+        none = F.array().cast(_NUMBERS)
         parts = [_let(F.concat(*[F.coalesce(h, none) for h in of_words]), confirmed)] if of_words else []
         if self.without_word:
             own = list(self.tags.values())
             parts.append(F.array_compact(F.array(*[F.when(found(text, own[n], folded), F.lit(n)) for n in self.without_word])))
-        return F.array_sort(F.array_distinct(F.concat(*parts))) if parts else F.array().cast(_NUMBERS)
+        return F.sort_array(F.array_distinct(F.concat(*parts))) if parts else F.array().cast(_NUMBERS)
 
     def names(self, text: Column, folded: Column) -> Column:
         """Names of the patterns found in ``text``, in the order of the lexicon."""
@@ -155,7 +179,7 @@ class LexiconIndex:
 
 
 def _hits(source: Column, table: _Table) -> Column:
-    """What the words of ``table`` that are in ``source`` are needed by."""
+    """What the words of ``table`` that are in ``source`` are needed by: codes of patterns and parts, below zero where sure."""
     ordered = sorted(table)
     buckets: list[list[dict]] = [[] for _ in range(len(ordered) // 2 + 1)]
     open_words: list[str] = []
@@ -166,8 +190,9 @@ def _hits(source: Column, table: _Table) -> Column:
         open_words.append(word)
         of = sorted({entry for w in open_words for entry in table[w]})
         bucket = buckets[zlib.crc32(word.encode()) % len(buckets)]
-        bucket.append({"word": word, "of": [{"n": n, "part": part} for n, part in of]})
-    index = _constant(buckets, f"array<array<struct<word:string,of:{_HITS}>>>")
-    found = F.array_distinct(F.regexp_extract_all(source, F.lit(f"(?=({trie_pattern(ordered)}))"), F.lit(1)))
+        bucket.append({"word": word, "of": [SURE - n if part == SURE else n * LOOKED_UP + part for n, part in of]})
+    index = _constant(buckets, f"array<array<struct<word:string,of:{_NUMBERS}>>>")
+    at_place = f"(?={outline_pattern(ordered)})(?=({trie_pattern(ordered)}))"
+    found = F.array_distinct(F.regexp_extract_all(source, F.lit(at_place), F.lit(1)))
     bucket_of = lambda word: F.get(index, (F.crc32(word.cast("binary")) % len(buckets)).cast("int"))
     return F.flatten(F.transform(found, lambda w: F.flatten(F.transform(F.filter(bucket_of(w), lambda e: e["word"] == w), lambda e: e["of"]))))

@@ -59,6 +59,21 @@ def needed_words(pattern: str) -> list[str]:
     return sorted(dict.fromkeys(words), key=len, reverse=True) if all(map(_is_word, words)) else []
 
 
+_CLASS, _RANGE = re.compile(r"\[\^?([^\]]*)\]"), re.compile("(.)-(.)", re.DOTALL)
+
+
+def folded_pattern(pattern: str) -> str | None:
+    """A pattern that is found in ``fold(text)``, case regarded, where ``pattern`` is found in ``text``; None where none is plain to see.
+
+    Only ASCII patterns of words and classes are looked at, whose ranges are of letters of one case or of digits.
+    """
+    if not pattern.isascii() or "\u0000" in pattern or not needed_words(pattern):
+        return None
+    ranges = [a + b for inner in _CLASS.findall(pattern) for a, b in _RANGE.findall(inner)]
+    alike = all(r.isdigit() or r.isalpha() and r in (r.lower(), r.upper()) for r in ranges)
+    return pattern.lower() if alike else None
+
+
 def needed_word(pattern: str) -> str | None:
     """The first of the longest words that every match of ``pattern`` holds, None where none is plain to see."""
     return next(iter(needed_words(pattern)), None)

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tagweave.functions.lexicon_index import LexiconIndex, matched_tags, trie_pattern
+from tagweave.functions.lexicon_index import LexiconIndex, matched_tags, outline_pattern, trie_pattern
 from tagweave.functions.paths import brand_of, category_of, last_segment, n_segments, piece, segment
-from tagweave.functions.patterns import clauses, fold, found, needed_word, plain_words
+from tagweave.functions.patterns import clauses, fold, folded_pattern, found, needed_word, plain_words
 from tagweave.functions.rules import RuleError, check_rules, label_array, rule_text
 
 
@@ -99,6 +99,30 @@ def test_a_trie_has_few_branches_at_each_place():
     assert re.match(pattern, "a好yyx")[0] == "a好yy" and re.match(pattern, "aex")[0] == "aex"
 
 
+def test_candidates_are_searched_in_the_folded_text(spark):
+    same = ["Kin[a-z]der", "kin.der", "Kin[^k]der", "kin[A-Z0-9]+der", "^kin[ -]der$", "12[a-c]+", "kin.{0,2}der", "kin-[a-d-]der"]
+    as_is = ["kin[A-z]der", "a{2,3}kin.", "kin[é]der", "kin[+-z]der", "\u212a.kin", "好.kin", "[a-z]+", "(?:a|b)kin", "kin|b.", "kin[\u0000a]der"]
+    assert [folded_pattern(p) for p in same] == [p.lower() for p in same]
+    assert not any(map(folded_pattern, as_is))
+    between = ["", "x", "X", "7", "\u212a", "İ", "é", "É", "\n", "\u0000", "k", "K", "𝄞", "Σ", "_", " ", "-", "--d", "a"]
+    texts = [f"{a}{b}{c}" for a, c in (("KIN", "Der"), ("kin", "der"), ("12", "AAKIN!")) for b in between]
+    tags = {f"{i}": p for i, p in enumerate([*same, *as_is])}
+    by_regex = values(spark, texts, lambda c: F.array_compact(F.array(*[F.when(c.rlike(f"(?i){p}"), F.lit(n)) for n, p in tags.items()])))
+    assert values(spark, texts, lambda c: matched_tags(c, tags, indexed=0)) == by_regex and sum(map(len, by_regex)) > 100
+
+
+def test_places_that_begin_no_word_are_told_before_the_trie():
+    import re
+
+    python = lambda p: re.sub(r"\\x\{(\w+)\}", lambda m: re.escape(chr(int(m[1], 16))), p)
+    words = ["abend", "acht", "zu好bc", "b]^-x"]
+    outline = python(outline_pattern(words))
+    assert all(re.match(outline, w) for w in words) and not any(re.match(outline, t) for t in ("abe", "x bend", "ab d", "cb]d"))
+    assert re.fullmatch(python(outline_pattern(["a", "bcd"])), "b") and outline_pattern(["𝄞"]) == r"[\x{1d11e}-\x{1d11e}]"
+    many = python(outline_pattern([chr(c) for c in range(0x4E00, 0x5E00, 3)]))
+    assert len(many) < 20 and re.fullmatch(many, "好")
+
+
 TAGS = ["a", "b1", "b2", "c d", "it's", "s-1"]
 
 
