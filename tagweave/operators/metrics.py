@@ -11,7 +11,7 @@ data (``late_angles=False``) rows are joined to angles first and matched within
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,13 +117,22 @@ class TouchPointMetrics:
 
     def _of_users(self, facts: DataFrame) -> DataFrame:
         """Distinct facts of persons, as facts of the users of each angle. May repeat a user."""
-        facts = facts.distinct()
-        return self._to_angles(facts) if self.late_angles else facts
+        return self._to_angles(facts.distinct())
 
     def _to_angles(self, facts: DataFrame) -> DataFrame:
-        """Facts of a person, keyed by PERSON, for each angle of that person."""
-        joined = facts.join(self.people, PERSON, "inner").withColumn("people_angle", F.explode("regex_rule"))
-        return joined.drop("regex_rule", "platform_id")
+        """Facts as those of the users of each angle, with all facts of a user in one partition.
+
+        Facts of a person meet that person, and go to the user before they are copied for angles: copies
+        for angles, and later for runs, are made and counted where the user is, and are never shuffled.
+        """
+        return self._angles(facts, _by_user)
+
+    def _angles(self, facts: DataFrame, place: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+        """Facts of a person, keyed by PERSON, for each angle of that person, copied where ``place`` puts them."""
+        if not self.late_angles:
+            return place(facts)
+        of_users = place(facts.join(self.people, PERSON, "inner"))
+        return of_users.withColumn("people_angle", F.explode("regex_rule")).drop("regex_rule", "platform_id")
 
     def _by_run(self, facts: DataFrame) -> DataFrame:
         return self.runs.copies(facts)
@@ -142,9 +151,7 @@ class TouchPointMetrics:
     def _scene_reach(self, category: list[str]) -> DataFrame:
         flags = ["counted", "has_tp", "in_a", "in_b", "of_scene"]
         facts = self._reach_facts(category)
-        facts = facts.groupBy(*[c for c in facts.columns if c not in flags]).agg(*_any(flags))
-        if self.late_angles:
-            facts = self._to_angles(facts)
+        facts = self._to_angles(facts.groupBy(*[c for c in facts.columns if c not in flags]).agg(*_any(flags)))
         # Counts of inside tracks are matched by category as well.
         for name in category:
             facts = facts.withColumns({c: F.col(c) & F.col(name).isNotNull() for c in ("in_a", "in_b")})
@@ -157,7 +164,7 @@ class TouchPointMetrics:
             "inside_track_B_user": F.col("in_b"),
         }
         totals = {"all_scene_user": (whole, F.col("of_scene"))}
-        return user_counts(facts, [*whole, "scene"], flags, measures, totals).filter(F.col("user_count") > 0)
+        return user_counts(facts, [*whole, "scene"], measures, totals).filter(F.col("user_count") > 0)
 
     def _reach_facts(self, category: list[str]) -> DataFrame:
         """Who is reached by a scene, by run, with flags for what else is on the post.
@@ -223,7 +230,7 @@ class TouchPointMetrics:
         else:
             # An id may be of several persons, so posts stay until the end.
             facts = scenes.select(*self.who, "id", *path)
-            facts = self._to_angles(facts) if self.late_angles else facts
+            facts = self._angles(facts)
             counts = facts.groupBy(*ANGLE, *path).agg(
                 F.countDistinct("user_id").alias("user_count"), F.countDistinct("id").alias("id_count")
             )
@@ -286,7 +293,7 @@ class TouchPointMetrics:
         scened = self._by_run(self._scenes().select(*self.match, "run_key")).distinct()
         wanted = dict.fromkeys([*self.match, "user_id", "tp"])
         touches = self._touches("tp").select(*wanted).distinct().join(scened, self.match, "left")
-        users = self._of_users(touches.select(*self.who, "tp", RUN))
+        users = self._angles(touches.select(*self.who, "tp", RUN).distinct())
         keys = [*ANGLE, "tp"]
         grains = [keys, ANGLE, [*keys, RUN]]
         counts = grain_counts(users, [*keys, RUN], grains)
@@ -323,7 +330,7 @@ class TouchPointMetrics:
             "brand_all_user": F.col("by_brand") & F.col("category").isNotNull() & _angled(),
         }
         totals = {"tp_all_user": (whole, F.col("by_category"))}
-        counts = user_counts(users, [*whole, "tp"], ["by_category", "by_brand"], measures, totals)
+        counts = user_counts(users, [*whole, "tp"], measures, totals)
         return self.runs.stamp(counts.filter(F.col("user_count") > 0))
 
 
@@ -349,6 +356,17 @@ def _brand_codes(rows: DataFrame) -> DataFrame:
     return codes.withColumns({"category": category_of("code"), "brand": brand_of("code")}).drop("code")
 
 
+def _by_user(rows: DataFrame) -> DataFrame:
+    """All rows of a user in one partition, of as many as the session has for a shuffle.
+
+    The number is named, as these partitions must not be merged: what is shuffled is small, and says little of
+    how many rows it becomes for angles and runs.
+    """
+    conf = rows.sparkSession.conf
+    n = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return rows.repartition(int(n), "user_id")
+
+
 def _any(flags: Sequence[str]) -> list[Column]:
     return [F.bool_or(c).alias(c) for c in flags]
 
@@ -414,25 +432,38 @@ def _total(fine: int, coarse: int, of: Sequence[str], measure: str) -> Column:
 def user_counts(
     facts: DataFrame,
     keys: Sequence[str],
-    flags: Sequence[str] = (),
     measures: dict[str, Column] | None = None,
     totals: dict[str, Total] | None = None,
 ) -> DataFrame:
     """Distinct users by ``keys``, with totals at coarser keys on every row.
 
-    A total is its keys and the condition its users meet. Rows with a null among the keys of a total
-    have 0 for it.
+    A measure counts the users with any row that meets its condition. A total is its keys and such a
+    condition, None for all users. Rows with a null among the keys of a total have 0 for it.
+
+    Facts of a user lie in one partition (``repartition("user_id")``), where the first row of the user by the
+    keys, and by those of each total, is marked after sorting. So rows go straight into counts by
+    ``keys``, users are in no hash table, and a total is the sum of its marks over the finished counts.
     """
-    measures = measures or {"user_count": F.lit(True)}
-    if not totals:
-        return facts.groupBy(*keys).agg(F.countDistinct("user_id").alias("user_count"))
-    grains = [keys, *[of for of, _ in totals.values()]]
-    conditions = {name: F.lit(True) if condition is None else condition for name, (_, condition) in totals.items()}
-    counts = grain_counts(facts, keys, grains, flags, {**measures, **conditions})
-    fine, *coarse = grain_ids(keys, grains)
-    for (name, (of, _)), grain in zip(totals.items(), coarse):
-        counts = counts.withColumn(f"total {name}", _total(fine, grain, of, name))
-    return counts.filter(F.col("of") == fine).select(*keys, *measures, *[F.col(f"total {name}").alias(name) for name in totals])
+    totals = totals or {}
+    marks = _first_of_user(keys, keys, measures or {"user_count": None})
+    for name, (of, condition) in totals.items():
+        marks |= _first_of_user(keys, of, {f"total {name}": condition})
+    # The marks by all keys come first: their order serves a total over the leading keys as well.
+    counts = facts.select(*keys, *[mark.alias(name) for name, mark in marks.items()]).groupBy(*keys).agg(*[F.count_if(name).alias(name) for name in marks])
+    for name, (of, _) in totals.items():
+        known = _all([F.col(k).isNotNull() for k in of])
+        summed = F.sum(f"total {name}").over(Window.partitionBy(*of))
+        counts = counts.withColumn(name, F.when(known, summed).otherwise(0))
+    return counts.select(*keys, *(measures or ["user_count"]), *totals)
+
+
+def _first_of_user(keys: Sequence[str], of: Sequence[str], conditions: Mapping[str, Column | None]) -> dict[str, Column]:
+    """For each condition: is this the first row of its user by ``of``, and does any row of that user there meet it?"""
+    rest = [k for k in keys if k not in of]
+    rows = Window.partitionBy("user_id", *of).orderBy(*(rest or [F.lit(0)]))
+    first = F.row_number().over(rows) == 1
+    whole = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return {name: first if condition is None else first & F.bool_or(condition).over(whole) for name, condition in conditions.items()}
 
 
 def _brand_share(users: DataFrame, names: list[str]) -> DataFrame:
