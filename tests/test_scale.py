@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
-from tagweave.operators.metrics import TouchPointMetrics, user_counts
+from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics, user_counts
+from tagweave.plans.touch_points import all_metrics
 
 
 def _executed(df):
@@ -110,3 +111,17 @@ def test_lines_of_orders_are_read_once(spark, tmp_path):
         ("1", "7", "1", ["2", "3"], ["3_11"], "场景.TIN.blue"),
         ("1", "7", "1", ["2", "3"], ["3_11"], "场景.TIN.blue"),
     ] + [("2", "8", "2", None, None, "TP.ball.red.deep")]
+
+
+def test_a_job_keeps_only_classes_that_its_tables_read(spark):
+    kept = []
+    keep = lambda rows: kept.append({r.kind for r in rows.select("kind").collect()}) or rows
+    part = all_metrics(_posts(spark), _people(spark), tables=["tpa_tp_brand_data"], keep=keep)
+    assert kept == [{"tp"}] and list(part) == ["tpa_tp_brand_data"]
+    assert set(KINDS) == set(TABLES)
+
+
+@pytest.mark.parametrize("name", list(TABLES))
+def test_a_table_is_the_same_alone_as_among_all(spark, name):
+    of = lambda tables: all_metrics(_posts(spark), _people(spark), late_angles=True, tables=tables)[name]
+    assert sorted(map(str, of([name]).collect())) == sorted(map(str, of(tuple(TABLES)).collect()))
