@@ -209,6 +209,38 @@ def test_chains_of_several_passages():
         assert abs(total - score[best]) < 1e-6
 
 
+def test_poor_pairs_are_told_before_alignment(monkeypatch):
+    """Of pairs with one run of equal words, those that are too poor around it are not aligned, and none that has a passage."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    rows, expected, poor = [], [], 0
+    for k in range(1500):
+        a, b = (rng.integers(0, 10**9, rng.integers(60, 260)).astype(np.uint32) for _ in range(2))
+        n = int(rng.choice((7, 9, 20, 31, 32, 40, 60)))
+        x, y = int(rng.integers(0, len(a) - n + 1)), int(rng.integers(0, len(b) - n + 1))
+        share = rng.choice((0, 0, 0.7, 0.84))  # words around the run that are equal, but no six of them in a row
+        beside = rng.random(600) < share
+        for j in range(-min(x, y), min(len(a) - x, len(b) - y)):
+            if 0 <= j < n or (beside[j] and j % 6 != (0 if j >= n else 5) and j not in (-1, n)):
+                b[y + j] = a[x + j]
+        px, py = substring_dedup._points(*(np.array([v]) for v in (x, y, n)))
+        (line,) = substring_dedup.chains(px, py)
+        assert line == list(range(len(px)))
+        expected.append([p for p in substring_dedup.passages_of(a, b, px, py)])
+        rows.append((k, 0, k, 0, [np.array([x, y, n], np.int32).tobytes()], a.tobytes(), b.tobytes()))
+        poor += n < 32 and not share
+    kinds = [*[pa.int64()] * 4, pa.list_(pa.binary()), pa.binary(), pa.binary()]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "early_id", "early_tag", "places", "words", "early_words"])
+    aligned, plain = [], substring_dedup.align
+    monkeypatch.setattr(substring_dedup, "align", lambda *args: aligned.append(1) or plain(*args))
+    found = [p for out in substring_dedup._chain(iter([batch])) for p in out.column(4).to_pylist()]
+    assert [[tuple(p.values()) for p in ps] for ps in found] == expected
+    assert 200 < sum(map(bool, expected)) and 300 < poor and len(aligned) <= len(rows) - poor
+
+
 def test_several_passages_of_one_pair(spark):
     rng = random.Random(7)
     fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
