@@ -229,9 +229,9 @@ def test_poor_pairs_are_told_before_alignment(monkeypatch):
         (line,) = substring_dedup.chains(px, py)
         assert line == list(range(len(px)))
         expected.append([p for p in substring_dedup.passages_of(a, b, px, py)])
-        rows.append((k, 0, k, 0, [np.array([x, y, n], np.int32).tobytes()], a.tobytes(), b.tobytes()))
+        rows.append((k, 0, k, 0, np.array([x, y, n], np.int32).tobytes(), a.tobytes(), b.tobytes()))
         poor += n < 32 and not share
-    kinds = [*[pa.int64()] * 4, pa.list_(pa.binary()), pa.binary(), pa.binary()]
+    kinds = [*[pa.int64()] * 4, *[pa.binary()] * 3]
     columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
     batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "early_id", "early_tag", "places", "words", "early_words"])
     aligned, plain = [], substring_dedup.align
@@ -241,6 +241,34 @@ def test_poor_pairs_are_told_before_alignment(monkeypatch):
     assert 200 < sum(map(bool, expected)) and 300 < poor and len(aligned) <= len(rows) - poor
 
 
+def test_links_of_a_pair_over_batches():
+    """Pairs whose links lie in several batches are told, and joined, as if they lay in one."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    rows = []
+    for pair in range(300):
+        for _ in range(rng.choice((1, 1, 2, 3, 40))):
+            links = [(rng.randrange(400), rng.randrange(400), rng.choice((6, 6, 6, 9))) for _ in range(rng.choice((1, 2, 60)))]
+            rows.append((pair // 9, pair % 3, pair // 3 % 3, 5, links))
+    expected = {}
+    for *pair, links in rows:
+        expected.setdefault(tuple(pair), []).extend(links)
+    reach = substring_dedup.SEED + substring_dedup.WIDEST
+    near = lambda p: any(0 < a[0] - b[0] <= reach and 0 < a[1] - b[1] <= reach for a in p for b in p)
+    expected = {k: p for k, p in expected.items() if any(n > 6 for *_, n in p) or len(p) > 100 or near(p)}
+    assert 100 < len(expected) < 290
+    rows = [(*r[:4], sum(n - 5 for *_, n in r[4]), np.array(r[4], np.int32).tobytes()) for r in sorted(rows, key=lambda r: r[:4])]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], substring_dedup._LINK.names)
+    for size in (1, 7, 100, len(rows)):
+        batches = [whole.slice(k, size) for k in range(0, len(rows), size)]
+        found = [r for b in substring_dedup._chained(iter([whole.slice(0, 0), *batches])) for r in b.to_pylist()]
+        assert [tuple(r.values())[:4] for r in found] == sorted(expected)
+        for r in found:
+            assert np.frombuffer(r["places"], np.int32).reshape(-1, 3).tolist() == [list(p) for p in expected[tuple(r.values())[:4]]]
+
+
 def test_several_passages_of_one_pair(spark):
     rng = random.Random(7)
     fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
