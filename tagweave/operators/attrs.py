@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import last_segment, n_segments, segment
+from tagweave.operators.audience import PERSON, POST_COLUMNS, share_of
 from tagweave.sources.runs import Runs
 
-POST_COLUMNS = ["id", "user_id", "platform_id", "categoryids", "brands"]
-
 
 @dataclass(frozen=True)
 class AttrScheme:
@@ -65,11 +64,12 @@ def classify_attrs(
     """
     runs = Runs(special_people)
     # Rows are brought together before they are copied for runs and classes, by what all copies that can
-    # become equal have in common, so that copies are never shuffled.
-    rows = classed_rows(post_attr, runs, scheme).withColumn("second", segment("attr", 1))
-    rows = rows.repartition(*POST_COLUMNS, "second")
+    # become equal have in common, so that copies are never shuffled: by person and share of a person, where
+    # the rows of a post lie beside each other, and an audience finds them.
+    rows = classed_rows(post_attr, runs, scheme).repartition(*PERSON, share_of())
     classes = F.when(F.col("kind") == "scene", F.array(F.lit("sub_scene"), F.lit("scene"))).otherwise(F.array("kind"))
     typed = runs.copies(rows).withColumn("attr_type", F.explode(classes))
     short = F.col("attr_type").isin("tp", "scene")
     attr = F.when(short, segment("attr", 1)).otherwise(F.col("attr"))
-    return typed.select("data_model", *POST_COLUMNS, "attr_type", attr.alias("attr"), "second").dropDuplicates().drop("second")
+    typed = typed.select("data_model", *POST_COLUMNS, "attr_type", attr.alias("attr"), share_of().alias("share"))
+    return typed.dropDuplicates().drop("share")

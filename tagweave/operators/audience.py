@@ -4,28 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.paths import n_segments
 
 ANGLE = ["people_type", "people_angle"]
 PERSON = ["platform_id", "user_id"]
+POST_COLUMNS = ["id", "user_id", "platform_id", "categoryids", "brands"]
+# Shares into which the posts of one person are dealt, so that no task gets all rows of a large one.
+SHARES = 4
+
+
+def share_of(columns: Sequence[str] = POST_COLUMNS) -> Column:
+    """The share of its person that a post is dealt to, by its ``POST_COLUMNS``; posts of nobody are dealt freely."""
+    post = F.xxhash64(*[c for c in POST_COLUMNS if c in columns])
+    nobody = F.col("platform_id").isNull() | F.col("user_id").isNull()
+    return F.when(nobody, post).otherwise(F.pmod(post, F.lit(SHARES)))
 
 
 def audience(rows: DataFrame, people: DataFrame) -> DataFrame:
     """Distinct rows of ``rows`` for each angle of their author.
 
-    Both sides are distinct before they meet, so nothing needs the rows of a person together after
-    the join, and Spark may split a person with a large part of all rows.
+    Rows that lie by person and share, as those of ``classify_attrs`` do, are made distinct and joined
+    where they lie: people, who are few beside their posts, are copied for each share instead.
     """
-    return angled(rows.distinct(), people)
+    share = "share"
+    while share in rows.columns:
+        share += "_"
+    known = _angles(people).withColumn(share, F.explode(F.array([F.lit(n).cast("long") for n in range(SHARES)])))
+    dealt = rows.withColumn(share, share_of(rows.columns)).distinct()
+    return dealt.join(known, [*PERSON, share], "inner").select(*ANGLE, *rows.columns)
+
+
+def _angles(people: DataFrame) -> DataFrame:
+    return people.select(*PERSON, "people_type", F.explode("regex_rule").alias("people_angle")).distinct()
 
 
 def angled(rows: DataFrame, people: DataFrame) -> DataFrame:
     """``rows`` for each angle of their author, repeated as they are: only the columns that are read get shuffled."""
-    known = people.select(*PERSON, "people_type", F.explode("regex_rule").alias("people_angle")).distinct()
-    return rows.join(known, PERSON, "inner").select(*ANGLE, *rows.columns)
+    return rows.join(_angles(people), PERSON, "inner").select(*ANGLE, *rows.columns)
 
 
 def audience_of(post_attr: DataFrame, people: DataFrame, people_type: str, angle: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
+from tagweave.operators.audience import SHARES, audience
 from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics
 from tagweave.plans.touch_points import all_metrics
 
@@ -99,3 +100,35 @@ def test_a_job_keeps_only_classes_that_its_tables_read(spark):
 def test_a_table_is_the_same_alone_as_among_all(spark, name):
     of = lambda tables: all_metrics(_posts(spark), _people(spark), late_angles=True, tables=tables)[name]
     assert sorted(map(str, of([name]).collect())) == sorted(map(str, of(tuple(TABLES)).collect()))
+
+
+def _without(spark, **settings):
+    """Settings for a test, and what they were."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    return before
+
+
+STATIC = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_an_audience_takes_classed_rows_where_they_lie(spark):
+    """Classed rows are shuffled once, by person and share; to be distinct and to meet people they stay there."""
+    people = _people(spark).union(_people(spark).limit(1))
+    before = _without(spark, **STATIC)
+    try:
+        found = audience(classify_attrs(_posts(spark)), people)
+        shuffles = [line for line in _executed(found).splitlines() if "Exchange hashpartitioning" in line]
+        assert sum("categoryids" in line or "attr" in line for line in shuffles) == 1
+        rows = [tuple(map(str, row)) for row in found.collect()]
+        assert len(rows) == len(set(rows)) > 0 and "share" not in found.columns
+        # Shares are by post, and people are there for each of them; posts of nobody have no angle.
+        many = spark.range(200).selectExpr("cast(id as string) id", "'1' user_id", "'1' platform_id", "array('3') categoryids", "cast(null as array<string>) brands", "'TP.shop' attr", "id share")
+        nobody = many.withColumn("user_id", F.lit(None).cast("string"))
+        posts = many.union(nobody)
+        assert audience(posts, people).count() == 400 and SHARES > 1
+        assert audience(posts, people).columns == ["people_type", "people_angle", *posts.columns]
+        assert audience(posts.select("platform_id", "user_id"), people).count() == 2
+    finally:
+        _without(spark, **before)
