@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,20 +71,22 @@ def scene_touch(rows: DataFrame, scope: Sequence[str] = ANGLE) -> DataFrame:
     This is a full outer join, put together from a left join and an anti join: Spark splits the rows of
     a post with a large part of all rows in both, which it can not in a full outer join. Rows without
     an id match nothing; a hash of their values stands for it, so that they do not meet in one task.
+    Both joins have the same keys, so that the rows of each side are shuffled by post once for both.
     """
     keys = [*scope, "platform_id"]
     values = ["user_id", "categoryids", "brands"]
     fields = [*keys, "id", *values]
     place = F.coalesce("id", F.xxhash64(*fields).cast("string")).alias("place")
-    scenes = rows.filter(F.col("attr_type") == "scene").select(*fields, F.col("attr").alias("scene"), place)
-    touches = rows.filter(F.col("attr_type").isin("tp", "sub_tp")).select(*fields, F.col("attr").alias("tp"), "attr_type", place)
-    a, b = scenes.alias("a"), touches.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a.place") == F.col("b.id")]
-    matched = a.join(b.filter(F.col("id").isNotNull()), [*same, F.col("a.id").isNotNull()], "left")
-    alone = F.col("b.id").isNull()
+    # 0 where nothing of the match is null: other rows have a number that only their own side has. Equality that
+    # takes nulls adds no filter of its own to either join.
+    null = reduce(Column.__or__, [F.col(k).isNull() for k in [*keys, "id"]])
+    lone = lambda side: F.when(null, side).otherwise(0).alias("lone")
+    a = rows.filter(F.col("attr_type") == "scene").select(*fields, F.col("attr").alias("scene"), place, lone(1)).alias("a")
+    b = rows.filter(F.col("attr_type").isin("tp", "sub_tp")).select(*fields, F.col("attr").alias("tp"), "attr_type", place, lone(2)).alias("b")
+    match = [*keys, "place", "lone"]
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in match]
+    alone = F.col("b.lone").isNull()
     picked = [F.when(alone, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in fields]
-    with_scenes = matched.select(*picked, "a.scene", "b.tp", "b.attr_type")
-    posts = scenes.filter(F.col("id").isNotNull()).select(*keys, F.col("id").alias("of_scene")).distinct().alias("a")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("b.place") == F.col("a.of_scene"), F.col("b.id").isNotNull()]
-    without = b.join(posts, same, "left_anti").withColumn("scene", F.lit(None).cast("string"))
+    with_scenes = a.join(b, same, "left").select(*picked, "a.scene", "b.tp", "b.attr_type")
+    without = b.join(a, same, "left_anti").withColumn("scene", F.lit(None).cast("string"))
     return with_scenes.unionByName(without.select(*with_scenes.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
-from tagweave.operators.audience import SHARES, audience
+from tagweave.operators.audience import SHARES, audience, scene_touch
 from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics
 from tagweave.plans.touch_points import all_metrics
 
@@ -132,3 +132,16 @@ def test_an_audience_takes_classed_rows_where_they_lie(spark):
         assert audience(posts.select("platform_id", "user_id"), people).count() == 2
     finally:
         _without(spark, **before)
+
+
+def test_scenes_and_touches_go_to_their_post_once(spark):
+    """The left and the anti join share the rows of touch points, and the angles that both sides are made of."""
+    before = _without(spark, **STATIC)
+    try:
+        found = scene_touch(audience(classify_attrs(_posts(spark)), _people(spark)))
+        lines = _executed(found).splitlines()
+        assert sum("Exchange hashpartitioning" in line and "place" in line and "Reused" not in line for line in lines) == 3
+        assert sum("Exchange hashpartitioning" in line and "CASE WHEN" in line and "Reused" not in line and "place" not in line for line in lines) == 1
+        assert sum(r.scene is not None and r.tp is not None for r in found.collect()) > 0
+    finally:
+        _without(spark, **before)
