@@ -102,14 +102,25 @@ def post_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``post_attr``, but with an author and lists for each line, so that rows of a post differ in them."""
     lines = table(spark, sf_dir, "lineitem").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+    # The one path and the names a line has go to its order, not all paths of its part.
+    has_category, has_code = F.col("l_returnflag") != "N", F.col("l_linestatus") == "O"
+    lines = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        has_category.alias("has_category"),
+        F.when(has_category, F.col("category")).alias("category"),
+        has_code.alias("has_code"),
+        F.when(has_code, F.col("code")).alias("code"),
+        _path().alias("attr"),
+    )
     lines = lines.join(table(spark, sf_dir, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(
         F.col("o_orderkey").cast("string").alias("id"),
         (F.col("o_custkey") + F.col("l_linenumber") % 3).cast("string").alias("user_id"),
         F.substring("o_orderpriority", 1, 1).alias("platform_id"),
-        F.when(F.col("l_returnflag") != "N", F.array("category")).alias("categoryids"),
-        F.when(F.col("l_linestatus") == "O", F.array("code")).alias("brands"),
-        _path().alias("attr"),
+        F.when(F.col("has_category"), F.array("category")).alias("categoryids"),
+        F.when(F.col("has_code"), F.array("code")).alias("brands"),
+        "attr",
     )
 
 

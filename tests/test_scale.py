@@ -1,5 +1,7 @@
 """Plans whose memory and shuffled bytes must not grow faster than the input."""
 
+import re
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -145,3 +147,19 @@ def test_scenes_and_touches_go_to_their_post_once(spark):
         assert sum(r.scene is not None and r.tp is not None for r in found.collect()) > 0
     finally:
         _without(spark, **before)
+
+
+def test_lines_go_to_their_order_with_one_path(spark, tmp_path):
+    """What a line of a post takes along is its own path, not all paths of its part; a null category stays one in its list."""
+    parts = [(1, "red ball", "BRASS", None, "Brand#11"), (2, "blue box", "TIN", 12, "Brand#12")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(1, 1, 1, "R", "O"), (1, 2, 2, "N", "F"), (1, 2, 3, None, None), (None, 1, 1, "R", "O")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7, "1-URGENT")], "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = fx.line_posts(spark, str(tmp_path))
+    above = _executed(rows).split("SortMergeJoin [l_orderkey")[1].split("SortMergeJoin [l_partkey")[0]
+    project = [line for line in above.splitlines() if "Project" in line and "l_orderkey" in line]
+    assert project and not any(re.search(r"paths#\d+[,\]]", line) for line in project)
+    assert sorted((r.user_id, r.categoryids, r.brands, r.attr) for r in rows.collect()) == [
+        ("7", None, None, "TP.box"), ("8", [None], ["11"], "场景.BRASS"), ("9", None, None, "场景.TIN.blue")
+    ]
