@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
 from tagweave.operators.audience import SHARES, audience, scene_touch
-from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics
+from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics, user_counts
 from tagweave.plans.touch_points import all_metrics
 
 
@@ -163,3 +163,16 @@ def test_lines_go_to_their_order_with_one_path(spark, tmp_path):
     assert sorted((r.user_id, r.categoryids, r.brands, r.attr) for r in rows.collect()) == [
         ("7", None, None, "TP.box"), ("8", [None], ["11"], "场景.BRASS"), ("9", None, None, "场景.TIN.blue")
     ]
+
+
+def test_users_are_counted_from_rows_beside_their_like(spark):
+    """Rows are sorted by group before they are copied for grains and shuffled, and counts are those of sets."""
+    rows = [(str(n % 7), "ab"[n % 2], str(n % 3) if n % 5 else None) for n in range(200)]
+    facts = spark.createDataFrame(rows, "user_id string, scene string, category string").repartition(5)
+    counts = user_counts(facts, ["scene", "category"], totals={"all_users": (["category"], None)})
+    plan = _executed(counts)
+    assert plan.index("Expand [") < plan.index("Sort [scene")
+    of = lambda scene, category: len({u for u, s, c in rows if c == category and scene in (s, None)})
+    assert {(r.scene, r.category, r.user_count, r.all_users) for r in counts.collect()} == {
+        (s, c, of(s, c), of(None, c) if c else 0) for _, s, c in rows
+    }
