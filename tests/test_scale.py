@@ -10,7 +10,7 @@ from checks import fixtures as fx
 from tagweave.operators.attrs import classify_attrs
 from tagweave.operators.audience import SHARES, audience, scene_touch
 from tagweave.operators.metrics import KINDS, TABLES, TouchPointMetrics, user_counts
-from tagweave.plans.touch_points import all_metrics
+from tagweave.plans.touch_points import all_metrics, run
 
 
 def _executed(df):
@@ -176,3 +176,17 @@ def test_users_are_counted_from_rows_beside_their_like(spark):
     assert {(r.scene, r.category, r.user_count, r.all_users) for r in counts.collect()} == {
         (s, c, of(s, c), of(None, c) if c else 0) for _, s, c in rows
     }
+
+
+def test_shuffle_files_of_a_metric_go_when_it_is_written(spark):
+    files = lambda: {b.toString() for b in _listed(spark) if b.isShuffle()}
+    held, at = files(), []
+    write = lambda metric, name, date: (metric.write.format("noop").mode("overwrite").save(), at.append(len(files() - held)))
+    run(_posts(spark), _people(spark), None, "2018-04-14", write, tables=["tpa_scene_data", "tpa_scene_tp_category_data"])
+    assert at == [0, 0]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def _listed(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return [blocks.apply(n) for n in range(blocks.size())]
