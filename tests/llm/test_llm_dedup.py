@@ -133,6 +133,24 @@ def test_repeated_strings_over_many_small_parts(spark):
     assert rows_of(found) == sorted(covered_bytes(rows), key=repr)
 
 
+def test_strings_of_left_over_stretches_go_in_waves(spark, monkeypatch):
+    """Each anchor is left over to one wave, and all waves together cover what one would."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    lines = [" ".join(word() for _ in range(14)) for _ in range(30)]
+    rows = [(k, f"{word()} {rng.choice(lines)} {word()} {rng.choice(lines)[rng.randint(0, 9):]} {word()}") for k in range(80)]
+    tables, write = [], suffix_dedup.stage
+    monkeypatch.setattr(suffix_dedup, "stage", lambda df, name: tables.append((name, write(df, name))) or tables[-1][1])
+    found = suffix_dedup.suffix_dedup(frame(spark, rows, extra=()).repartition(4)).drop("spans", "kept")
+    assert rows_of(found) == sorted(covered_bytes(rows), key=repr)
+    assert [name for name, _ in tables] == ["stretches", *["strings"] * suffix_dedup.WAVES] and suffix_dedup.WAVES > 1
+    waves = {}
+    for row in tables[0][1].filter("kind > 0").collect():
+        for code in suffix_dedup._unpacked(row.blob)[0].tolist():
+            waves.setdefault(code, set()).add(row.kind - suffix_dedup.LEFT)
+    assert all(len(w) == 1 for w in waves.values()) and set().union(*waves.values()) == set(range(suffix_dedup.WAVES))
+
+
 def test_suffixes_are_sorted_and_lies_of_hashes_seen(monkeypatch):
     import numpy as np
 
